@@ -23,7 +23,7 @@ from hirelake.operators.merge import first_per_key, load_audit, new_rows
 from hirelake.plans import gold as G
 from hirelake.plans import postings as P
 from hirelake.plans.silver import silver_job_skills, silver_jobs
-from hirelake.session import apply_sql_defaults, scratch_path
+from hirelake.session import apply_sql_defaults, checkpoint_root, scratch_path
 from hirelake.sources.landing import landing_rows, write_landing
 from hirelake.sources.tables import read_table
 from hirelake.sources.taxonomy import read_taxonomy
@@ -60,9 +60,17 @@ def silver(spark, sf):
     return silver_jobs(bronze(spark, sf))
 
 
+def materialized_silver(spark, sf):
+    """Silver written once (reliable checkpoint in ``spark.checkpoint.dir``) for the
+    layers above it, as the warehouse materializes it as a table: later filters on
+    silver columns then read stored values instead of re-deriving them."""
+    checkpoint_root(spark)
+    return silver(spark, sf).checkpoint(eager=True)
+
+
 def star(spark, sf):
-    s = silver(spark, sf)
-    skills = silver_job_skills(s, read_taxonomy(spark))
+    s = materialized_silver(spark, sf)
+    skills = silver_job_skills(s, read_taxonomy(spark)).checkpoint(eager=True)
     return {"silver": s, "skills": skills, "fact": G.fct_job_postings(s),
             "companies": G.dim_companies(s), "dim_skills": G.dim_skills(skills),
             "bridge": G.bridge_job_skills(skills), "dates": G.dim_date(spark)}

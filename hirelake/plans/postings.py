@@ -256,9 +256,8 @@ JOOBLE_MISSING_ID_EVERY = 13  # jooble rows with id 0 (falsy: dropped when loadi
 def fetch_log(docs: DataFrame) -> DataFrame:
     d = F.col("doc_id")
     h = F.md5(F.col("text"))
-    src = _pick(SOURCES, _mod(d, 3))
     jooble_id = F.when(_mod(d, JOOBLE_MISSING_ID_EVERY) == 1, F.lit(0).cast("bigint")) \
-        .otherwise(F.conv(F.substring(h, 1, 12), 16, 10).cast("bigint"))
+        .otherwise(F.conv(F.substring(F.col("_h"), 1, 12), 16, 10).cast("bigint"))
     p = posting_columns(docs.withColumn("_h", h))
     base = p.select(
         "doc_id", "source", "keyword", "title", "company", "body", "salary", "url",
