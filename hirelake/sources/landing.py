@@ -62,9 +62,11 @@ def read_landing(spark: SparkSession, root: str, day: str | None = None,
 
 
 def split_corrupt(df: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(good rows, corrupt rows): a bad file is reported, the others still load."""
-    bad = F.col("_corrupt_record").isNotNull()
-    return df.filter(~bad | bad.isNull()).drop("_corrupt_record"), df.filter(bad)
+    """(good rows, corrupt rows): a bad file is reported, the others still load.
+    A corrupt row has the raw text set and no parsed envelope field."""
+    bad = F.col("_corrupt_record").isNotNull() & F.col("source").isNull()
+    return (df.filter(~bad).drop("_corrupt_record"),
+            df.filter(bad).select("_source_file", "_corrupt_record"))
 
 
 def explode_jobs(df: DataFrame) -> DataFrame:
