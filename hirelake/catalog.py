@@ -494,3 +494,17 @@ def q_insert_only_merge(spark, sf):
     a1 = load_audit(batch, first).withColumn("load_run", F.lit(1))
     a2 = load_audit(batch, second).withColumn("load_run", F.lit(2))
     return a1.unionByName(a2).select("load_run", "batch_records", "new_records", "skipped_records")
+
+
+@register("stream_ingest", FIRST_SEEN_SQL + """
+SELECT job_key AS job_id, source, keyword, 'austria' AS country FROM kept
+WHERE NOT (source = 'jooble' AND jooble_id = 0)""")
+def q_stream_ingest(spark, sf):
+    from hirelake.streaming.ingest import ingest_available
+    kept = _first_seen(spark, sf)[1].withColumn("country", F.lit(B.TARGET_COUNTRY))
+    root = scratch_path(spark, "landing")
+    write_landing(kept.select("source", "country", "keyword", "raw_data"), root,
+                  extracted_at=F.lit(f"{LANDING_DAY} 06:00:00").cast("timestamp"))
+    base = scratch_path(spark, "stream")
+    bronze_t = ingest_available(spark, root, f"{base}/bronze", f"{base}/_checkpoint")
+    return bronze_t.select("job_id", "source", "keyword", "country")

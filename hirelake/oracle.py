@@ -247,9 +247,12 @@ def silver_ctes() -> str:
     )"""
 
 
-def taxonomy_values() -> str:
-    rows = ", ".join(f"({q(c)}, {q(n)}, {q(re2_ci(p))})" for c, n, p in taxonomy_rows())
-    return f"taxonomy_re2(skill_category, skill_name, re2) AS (VALUES {rows})"
+def skill_hits_sql(source: str) -> str:
+    """One branch per taxonomy row with a constant pattern (compiled once)."""
+    return "\n      UNION ALL ".join(
+        f"SELECT job_id, {q(c)} AS skill_category, {q(n)} AS skill_name FROM {source} "
+        f"WHERE regexp_matches(searchable_text, {q(re2_ci(p))})"
+        for c, n, p in taxonomy_rows())
 
 
 def gold_ctes() -> str:
@@ -257,12 +260,13 @@ def gold_ctes() -> str:
     from hirelake.functions.keys import SURROGATE_NULL
     from hirelake.plans.gold import DATE_END, DATE_START, MONTH_NAME_WIDTH
     return silver_ctes() + f""",
-    {taxonomy_values()},
+    searchable AS (
+      SELECT job_id, concat(job_title, ' ', job_description) AS searchable_text
+      FROM silver WHERE job_description IS NOT NULL AND job_description <> ''
+    ),
     job_skills AS (
-      SELECT DISTINCT j.job_id, t.skill_category, t.skill_name
-      FROM (SELECT job_id, concat(job_title, ' ', job_description) AS searchable_text
-            FROM silver WHERE job_description IS NOT NULL AND job_description <> '') j
-      JOIN taxonomy_re2 t ON regexp_matches(j.searchable_text, t.re2)
+      SELECT DISTINCT job_id, skill_category, skill_name FROM (
+      {skill_hits_sql('searchable')})
     ),
     dim_companies AS (
       SELECT md5(company_name) AS company_id, company_name

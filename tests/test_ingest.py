@@ -60,3 +60,26 @@ def test_insert_only_merge_idempotent(spark, tmpdir_path):
     assert kept["_source_pos"] == 0                            # first duplicate wins
     audit = load_audit(batch, new_rows(spark.read.parquet(target), batch)).first()
     assert (audit["batch_records"], audit["new_records"], audit["skipped_records"]) == (3, 0, 3)
+
+
+def test_stream_ingest_available_now(spark, tmpdir_path):
+    from hirelake.streaming.ingest import ingest_available
+    jobs = spark.createDataFrame([("adzuna", "austria", "Backend", '{"id":"1"}'),
+                                  ("jooble", "austria", "Cloud", '{"id":7}'),
+                                  ("jooble", "austria", "Cloud", '{"id":0}')],
+                                 "source string, country string, keyword string, js string") \
+        .withColumn("raw_data", F.parse_json("js")).drop("js")
+    land = f"{tmpdir_path}/landing"
+    write_landing(jobs, land, extracted_at=F.lit("2026-04-01 06:00:00").cast("timestamp"))
+    bronze = ingest_available(spark, land, f"{tmpdir_path}/bronze", f"{tmpdir_path}/ckpt")
+    assert sorted((r["job_id"], r["source"]) for r in bronze.collect()) == [("1", "adzuna"), ("7", "jooble")]
+    # a new day: only the new file is read; an already loaded key is not inserted again
+    more = jobs.filter(F.col("source") == "adzuna").unionByName(
+        spark.createDataFrame([("arbeitnow", "austria", "DevOps")], "source string, country string, keyword string")
+        .withColumn("raw_data", F.parse_json(F.lit('{"slug":"x-1"}'))))
+    write_landing(more, land, extracted_at=F.lit("2026-04-02 06:00:00").cast("timestamp"))
+    bronze = ingest_available(spark, land, f"{tmpdir_path}/bronze", f"{tmpdir_path}/ckpt")
+    assert bronze.count() == 3
+    # replaying with a fresh checkpoint (all files again) adds nothing
+    bronze = ingest_available(spark, land, f"{tmpdir_path}/bronze", f"{tmpdir_path}/ckpt2")
+    assert bronze.count() == 3
