@@ -254,9 +254,34 @@ def prefilter(pattern: str, lowered: Column, hazard: Column) -> Column | None:
     return hit | hazard
 
 
-def regex_any_ci(col: Column, pattern: str, lowered: Column | None = None,
-                 hazard: Column | None = None) -> Column:
-    """PostgreSQL ``col ~* pattern``: NULL on NULL input, else a boolean."""
+def _sql_safe(text: str) -> bool:
+    return "'" not in text and all(ch >= " " for ch in text)
+
+
+def regex_any_ci_sql(col: str, pattern: str, lowered: str, hazard: str) -> str | None:
+    """The same test as ``regex_any_ci`` as one SQL expression over named columns (one
+    round trip to build instead of one per needle); None when a literal needs escaping."""
+    java, nd = ci_pattern(pattern), needles(pattern)
+    if not _sql_safe(java) or (nd is not None and not all(_sql_safe(x) and "\\" not in x for x in nd)):
+        return None
+    match = f"(`{col}` RLIKE r'{java}')"
+    if nd is None:
+        return match
+    hits = " OR ".join(f"contains(`{lowered}`, '{x}')" for x in nd)
+    return f"((({hits}) OR `{hazard}`) AND {match})"
+
+
+def regex_any_ci(col: Column | str, pattern: str, lowered: Column | str | None = None,
+                 hazard: Column | str | None = None) -> Column:
+    """PostgreSQL ``col ~* pattern``: NULL on NULL input, else a boolean. With column
+    names for all three inputs the test is built as one SQL expression."""
+    if isinstance(col, str) and isinstance(lowered, str) and isinstance(hazard, str):
+        sql = regex_any_ci_sql(col, pattern, lowered, hazard)
+        if sql is not None:
+            return F.expr(sql)
+    col = F.col(col) if isinstance(col, str) else col
+    lowered = F.col(lowered) if isinstance(lowered, str) else lowered
+    hazard = F.col(hazard) if isinstance(hazard, str) else hazard
     match = col.rlike(ci_pattern(pattern))
     pre = prefilter(pattern,
                     lowered if lowered is not None else F.lower(col),

@@ -21,10 +21,15 @@ def classify_rules(rules: Iterable[tuple[Column, str]], default: Column | str |
     return dflt if out is None else out.otherwise(dflt)
 
 
-def regex_rules(text: Column, table: Iterable[tuple[str, str]], default: Column | str | None,
-                lowered: Column | None = None, hazard: Column | None = None) -> Column:
-    """``CASE WHEN text ~* p1 THEN l1 ...``: a table of (PostgreSQL pattern, label)."""
-    lowered = lowered if lowered is not None else F.lower(text)
-    hazard = hazard if hazard is not None else fold_hazard(text)
+def regex_rules(text: Column | str, table: Iterable[tuple[str, str]], default: Column | str | None,
+                lowered: Column | str | None = None, hazard: Column | str | None = None) -> Column:
+    """``CASE WHEN text ~* p1 THEN l1 ...``: a table of (PostgreSQL pattern, label).
+    ``text``, ``lowered`` and ``hazard`` may be column names (cheaper to build)."""
+    if not isinstance(text, str):
+        lowered = lowered if lowered is not None else F.lower(text)
+        hazard = hazard if hazard is not None else fold_hazard(text)
+    elif lowered is None or hazard is None:
+        lowered = lowered if lowered is not None else F.lower(F.col(text))
+        hazard = hazard if hazard is not None else fold_hazard(F.col(text))
     return classify_rules(((regex_any_ci(text, p, lowered, hazard), label)
                            for p, label in table), default)

@@ -112,11 +112,13 @@ WEEKEND_ISO_DAYS = [6, 7]
 # ----------------------------------------------------------------------------------
 
 
-def job_country(source: Column, area_first: Column, snippet: Column, location: Column,
-                snippet_lc: Column | None = None) -> Column:
+def job_country(source: Column, area_first: Column, snippet: Column | str, location: Column,
+                snippet_lc: Column | str | None = None,
+                snippet_hazard: Column | str | None = None) -> Column:
     """Country code per source; adzuna falls back to the raw area text."""
     adzuna = regex_rules(area_first, COUNTRY_AREA_RULES, area_first)
-    jooble = regex_rules(snippet, COUNTRY_SNIPPET_RULES, UNKNOWN_COUNTRY, lowered=snippet_lc)
+    jooble = regex_rules(snippet, COUNTRY_SNIPPET_RULES, UNKNOWN_COUNTRY, lowered=snippet_lc,
+                         hazard=snippet_hazard)
     arbeit = regex_rules(location, COUNTRY_LOCATION_RULES, UNKNOWN_COUNTRY)
     return (F.when(source == "adzuna", adzuna)
             .when(source == "jooble", jooble)
@@ -146,8 +148,8 @@ def job_city(source: Column, area_first: Column, area_last: Column, snippet: Col
 
 
 def employment_type(source: Column, contract_time: Column, jtype: Column,
-                    description: Column, desc_lc: Column | None = None,
-                    desc_hazard: Column | None = None) -> Column:
+                    description: Column | str, desc_lc: Column | str | None = None,
+                    desc_hazard: Column | str | None = None) -> Column:
     fields = {"contract_time": contract_time, "type": jtype}
     field_rules = [((source == src) & fields[f].ilike(pat), label)
                    for src, f, pat, label in EMPLOYMENT_FIELD_RULES]
@@ -155,8 +157,8 @@ def employment_type(source: Column, contract_time: Column, jtype: Column,
     return classify_rules(field_rules, text)
 
 
-def is_remote(source: Column, remote_flag: Column, description: Column,
-              desc_lc: Column | None = None, desc_hazard: Column | None = None) -> Column:
+def is_remote(source: Column, remote_flag: Column, description: Column | str,
+              desc_lc: Column | str | None = None, desc_hazard: Column | str | None = None) -> Column:
     arbeit = source == "arbeitnow"
     text = regex_rules(description, REMOTE_TEXT_RULES, NOT_SPECIFIED, desc_lc, desc_hazard)
     return classify_rules([(arbeit & (remote_flag == F.lit(True)), "yes"),
@@ -171,13 +173,14 @@ def position_level(source: Column, title: Column, job_types_text: Column) -> Col
     return F.coalesce(title_rules, types_rules, F.lit(NOT_SPECIFIED))
 
 
-def language_requirement(description: Column, desc_lc: Column | None = None,
-                         desc_hazard: Column | None = None) -> Column:
+def language_requirement(description: Column | str, desc_lc: Column | str | None = None,
+                         desc_hazard: Column | str | None = None) -> Column:
     return regex_rules(description, LANGUAGE_RULES, NOT_SPECIFIED, desc_lc, desc_hazard)
 
 
-def salary_period(salary_text_lc: Column) -> Column:
-    return regex_rules(salary_text_lc, SALARY_PERIOD_RULES, "yearly", lowered=salary_text_lc)
+def salary_period(salary_text_lc: Column | str, hazard: Column | str | None = None) -> Column:
+    return regex_rules(salary_text_lc, SALARY_PERIOD_RULES, "yearly", lowered=salary_text_lc,
+                       hazard=hazard)
 
 
 def normalized_currency(raw_currency: Column) -> Column:

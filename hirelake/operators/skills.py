@@ -27,7 +27,7 @@ def _unrolled(jobs: DataFrame, rows: list, id_col: str, text_col: str) -> DataFr
     prepared = jobs.select(F.col(id_col), text, F.lower(text).alias("_lc"),
                            fold_hazard(text).alias("_hz"))
     hits = F.array(*[
-        F.when(regex_any_ci(text, pattern, F.col("_lc"), F.col("_hz")),
+        F.when(regex_any_ci(text_col, pattern, "_lc", "_hz"),
                F.struct(F.lit(cat).alias("skill_category"), F.lit(name).alias("skill_name")))
         for cat, name, pattern in rows])
     return (prepared

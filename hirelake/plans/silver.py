@@ -76,16 +76,19 @@ def enrich(fields: DataFrame) -> DataFrame:
     stage2 = stage1.withColumns({
         "_desc_lc": F.lower(F.col("job_description")),
         "_desc_hz": fold_hazard(F.col("job_description")),
+        "_snip_hz": fold_hazard(F.col("_snippet")),
+        "_sal_hz": fold_hazard(F.col("salary_text")),
     })
     stage2 = S.with_salary_matches(stage2, "salary_text")
-    desc, dlc, dhz = F.col("job_description"), F.col("_desc_lc"), F.col("_desc_hz")
+    # rule inputs by name: each rule test is then built as one SQL expression
+    desc, dlc, dhz = "job_description", "_desc_lc", "_desc_hz"
     sal = S.salary_fields(F.col("_sal_pre"), F.col("_sal_suf"))
     stage3 = stage2.withColumns({
-        "job_country": C.job_country(src, F.col("_area_first"), F.col("_snippet"),
-                                     F.col("_location"), F.col("_snip_lc")),
+        "job_country": C.job_country(src, F.col("_area_first"), "_snippet",
+                                     F.col("_location"), "_snip_lc", "_snip_hz"),
         "job_city": C.job_city(src, F.col("_area_first"), F.col("_area_last"),
                                F.col("_snippet"), F.col("_location"), F.col("_snip_lc")),
-        "salary_period": C.salary_period(F.col("salary_text")),
+        "salary_period": C.salary_period("salary_text", "_sal_hz"),
         "employment_type": C.employment_type(src, F.col("_contract_time"), F.col("_jtype"),
                                              desc, dlc, dhz),
         "is_remote": C.is_remote(src, F.col("_remote"), desc, dlc, dhz),
@@ -100,7 +103,7 @@ def enrich(fields: DataFrame) -> DataFrame:
         "normalized_currency": C.normalized_currency(F.col("raw_currency")),
         "salary_min_yearly": S.salary_floor(S.to_yearly(F.col("base_salary_min"), F.col("salary_period"))),
         "salary_max_yearly": S.salary_floor(S.to_yearly(F.col("base_salary_max"), F.col("salary_period"))),
-        "description_quality_tier": C.description_quality_tier(desc, F.col("job_country")),
+        "description_quality_tier": C.description_quality_tier(F.col(desc), F.col("job_country")),
     })
     return stage4
 
