@@ -60,3 +60,21 @@ def materialize(df: DataFrame, path: str, as_view: str | None = None,
     if as_view:
         out.createOrReplaceTempView(as_view)
     return out
+
+
+LAYERS = ("bronze", "silver", "gold")
+
+
+def save_layer_table(df: DataFrame, layer: str, name: str, as_view: bool = False) -> DataFrame:
+    """Full refresh of ``<layer>.<name>`` in the session catalog (the warehouse keeps
+    bronze, silver and gold in separate namespaces). ``as_view`` registers a temporary
+    view ``<layer>_<name>`` instead of writing (a layer left as a view)."""
+    if layer not in LAYERS:
+        raise ValueError(f"unknown layer {layer!r}")
+    spark = df.sparkSession
+    if as_view:
+        df.createOrReplaceTempView(f"{layer}_{name}")
+        return spark.table(f"{layer}_{name}")
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {layer}")
+    df.write.mode("overwrite").format("parquet").saveAsTable(f"{layer}.{name}")
+    return spark.table(f"{layer}.{name}")

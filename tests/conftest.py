@@ -14,7 +14,8 @@ SF01 = "/root/testdata/sf0.01"
 def spark():
     from hirelake.session import build_session
     s = build_session("local[4]", app="hirelake-tests", shuffle_partitions=8,
-                      extra={"spark.checkpoint.dir": tempfile.mkdtemp(prefix="hl-test-ckpt-")})
+                      extra={"spark.checkpoint.dir": tempfile.mkdtemp(prefix="hl-test-ckpt-"),
+                             "spark.sql.warehouse.dir": tempfile.mkdtemp(prefix="hl-test-wh-")})
     s.sparkContext.setLogLevel("ERROR")
     yield s
     s.stop()

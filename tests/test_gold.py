@@ -44,3 +44,12 @@ def test_checks_find_failures(spark):
     got = {(r["column_name"], r["check_name"]): r["failures"]
            for r in table_checks("t", df, ["job_id"], ["job_id", "company_id"]).collect()}
     assert got == {("job_id", "unique"): 1, ("job_id", "not_null"): 1, ("company_id", "not_null"): 1}
+
+
+def test_layer_tables(spark):
+    from hirelake.sources.bronze import save_layer_table
+    df = spark.createDataFrame([("a", 1)], "k string, v int")
+    t = save_layer_table(df, "gold", "t_example")
+    assert t.count() == 1
+    assert save_layer_table(df.union(df), "gold", "t_example").count() == 2   # full refresh
+    assert save_layer_table(df, "silver", "v_example", as_view=True).count() == 1
