@@ -63,11 +63,11 @@ def skill_match(jobs: DataFrame, taxonomy: DataFrame, id_col: str = "job_id",
                 text_col: str = "searchable_text", unroll_limit: int = UNROLL_LIMIT) -> DataFrame:
     """(id, skill_category, skill_name) for every taxonomy pattern the text matches,
     one row per distinct triple."""
-    n = taxonomy.count()
-    if n <= unroll_limit:
-        rows = [(r["category"], r["standard_name"], r["regex_pattern"])
-                for r in taxonomy.select("category", "standard_name", "regex_pattern").collect()]
+    # size check and read in one step: at most unroll_limit + 1 seed rows reach the driver
+    head = taxonomy.select("category", "standard_name", "regex_pattern").limit(unroll_limit + 1).collect()
+    if len(head) <= unroll_limit:
+        rows = [(r["category"], r["standard_name"], r["regex_pattern"]) for r in head]
         pairs = _unrolled(jobs, rows, id_col, text_col)
     else:
-        pairs = _joined(jobs, taxonomy, n, id_col, text_col)
+        pairs = _joined(jobs, taxonomy, taxonomy.count(), id_col, text_col)
     return pairs.distinct()
