@@ -17,8 +17,16 @@ def first_per_key(batch: DataFrame, keys=KEY) -> DataFrame:
 
 
 def new_rows(target: DataFrame, batch: DataFrame, keys=KEY) -> DataFrame:
-    """Batch rows whose key is not in the target (``ON CONFLICT DO NOTHING``)."""
-    return first_per_key(batch, keys).join(target.select(*keys), list(keys), "left_anti")
+    """Batch rows whose key is not in the target (``ON CONFLICT DO NOTHING``).
+
+    Written as two steps so the large side is never shuffled for a small batch: the
+    keys of the target that occur in the batch (a semi join whose build side is the
+    batch, which AQE broadcasts when its measured size is small; otherwise both sides
+    shuffle), then the batch minus those keys (both sides batch-sized)."""
+    fresh = first_per_key(batch, keys)
+    batch_keys = fresh.select(*keys)
+    existing = target.select(*keys).join(batch_keys, list(keys), "left_semi")
+    return fresh.join(existing, list(keys), "left_anti")
 
 
 def load_audit(batch: DataFrame, new: DataFrame) -> DataFrame:
