@@ -11,7 +11,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from hirelake.functions.text import display_label
-from hirelake.operators.classify import TIER_MISSING
 from hirelake.operators.salary import YEARLY_FLOOR, drop_outliers, salary_midpoint
 
 # Dashboard thresholds.
@@ -92,5 +91,4 @@ def exclude_tier3(silver: DataFrame) -> DataFrame:
 
 
 __all__ = ["cross_filter", "exact_median", "skill_demand", "median_salary_by_role",
-           "remote_share", "highest_paying_skills", "without_outliers", "exclude_tier3",
-           "TIER_MISSING"]
+           "remote_share", "highest_paying_skills", "without_outliers", "exclude_tier3"]

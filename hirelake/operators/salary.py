@@ -71,7 +71,7 @@ def to_yearly(amount: Column, period: Column) -> Column:
 
 def salary_floor(amount: Column, floor: int = YEARLY_FLOOR) -> Column:
     """Amounts under the floor are parsing noise: NULL."""
-    return F.when(~(amount < F.lit(floor)) | amount.isNull(), amount).cast(AMOUNT)
+    return F.when(amount < F.lit(floor), F.lit(None)).otherwise(amount).cast(AMOUNT)
 
 
 def salary_midpoint(lo: Column, hi: Column) -> Column:

@@ -40,19 +40,20 @@ _needles_udf = F.udf(lambda p: needles(p) or [""], T.ArrayType(T.StringType()))
 
 
 def _joined(jobs: DataFrame, taxonomy: DataFrame, n: int, id_col: str, text_col: str) -> DataFrame:
+    # twice as many hash chunks as strictly needed: a chunk then averages half the bound
+    chunks = max(1, math.ceil(2 * n / BROADCAST_PATTERNS))
     text = F.col(text_col)
     prepared = jobs.select(F.col(id_col), text, F.lower(text).alias("_lc"),
                            fold_hazard(text).alias("_hz"))
     tax = taxonomy.select(
         F.col("category").alias("skill_category"), F.col("standard_name").alias("skill_name"),
         _java_udf("regex_pattern").alias("_java"), _needles_udf("regex_pattern").alias("_needles"),
-        F.pmod(F.xxhash64("standard_name", "regex_pattern"),
-               F.lit(max(1, math.ceil(n / BROADCAST_PATTERNS)))).alias("_chunk"))
+        F.pmod(F.xxhash64("standard_name", "regex_pattern"), F.lit(chunks)).alias("_chunk"))
     cond = ((F.exists("_needles", lambda x: F.col("_lc").contains(x)) | F.col("_hz"))
             & F.regexp(text, F.col("_java")))
     parts = [prepared.join(F.broadcast(tax.filter(F.col("_chunk") == i)), cond)
              .select(id_col, "skill_category", "skill_name")
-             for i in range(max(1, math.ceil(n / BROADCAST_PATTERNS)))]
+             for i in range(chunks)]
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
