@@ -1,0 +1,47 @@
+"""Single-pass multi-literal search (Aho-Corasick) as an Arrow-batched pandas UDF.
+
+The skill taxonomy's exact pre-filter needs ~140 literals per text. One automaton pass
+over the lower-cased text finds all of them at once (measured ~3x faster than one JVM
+byte search per literal at sf0.1); the regexes still run in the JVM, only for the
+patterns whose literals occur. Used only when ``pyahocorasick`` is importable.
+"""
+
+from __future__ import annotations
+
+import pandas as pd
+from pyspark.sql import Column
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+try:  # optional dependency: without it callers keep the JVM contains() pre-filter
+    import ahocorasick  # noqa: F401
+    AVAILABLE = True
+except ImportError:  # pragma: no cover
+    AVAILABLE = False
+
+
+def literal_hits(lowered: Column | str, needle_ids: dict[str, list[int]]) -> Column:
+    """array<int>: sorted ids whose literal occurs in the (lower-cased) text; NULL text
+    gives NULL. ``needle_ids`` maps each literal to the ids it stands for."""
+    items = tuple(sorted((w, tuple(sorted(set(ids)))) for w, ids in needle_ids.items()))
+
+    # self-contained on the workers: only the literal table travels with the function;
+    # the automaton (a few hundred words) is rebuilt per Arrow batch in microseconds
+    @F.pandas_udf(T.ArrayType(T.IntegerType()))
+    def hits(texts: pd.Series) -> pd.Series:
+        import ahocorasick
+        a = ahocorasick.Automaton()
+        for word, ids in items:
+            a.add_word(word, ids)
+        a.make_automaton()
+
+        def one(s):
+            if s is None:
+                return None
+            found: set[int] = set()
+            for _, ids in a.iter(s):
+                found.update(ids)
+            return sorted(found)
+        return texts.map(one)
+
+    return hits(F.col(lowered) if isinstance(lowered, str) else lowered)

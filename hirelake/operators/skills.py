@@ -16,20 +16,39 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from hirelake.functions import literals
+from hirelake.session import ship_package
 from hirelake.functions.regex import ci_pattern, fold_hazard, needles, regex_any_ci
 
 UNROLL_LIMIT = 512
 BROADCAST_PATTERNS = 2048
 
 
-def _unrolled(jobs: DataFrame, rows: list, id_col: str, text_col: str) -> DataFrame:
+def _unrolled(jobs: DataFrame, rows: list, id_col: str, text_col: str,
+              multi_literal: bool = True) -> DataFrame:
     text = F.col(text_col)
     prepared = jobs.select(F.col(id_col), text, F.lower(text).alias("_lc"),
                            fold_hazard(text).alias("_hz"))
+    needle_ids: dict[str, list[int]] = {}
+    for i, (_, _, pattern) in enumerate(rows):
+        for x in needles(pattern) or []:
+            needle_ids.setdefault(x, []).append(i)
+    if multi_literal and literals.AVAILABLE and needle_ids:
+        # one Aho-Corasick pass finds every pattern's literals; regexes stay in the JVM
+        prepared = prepared.withColumn("_cand", literals.literal_hits("_lc", needle_ids))
+
+        def test(i: int, pattern: str):
+            java = ci_pattern(pattern)
+            if needles(pattern) is None or "'" in java:
+                return regex_any_ci(text_col, pattern, "_lc", "_hz")
+            return F.expr(f"((array_contains(`_cand`, {i}) OR `_hz`) AND (`{text_col}` RLIKE r'{java}'))")
+    else:
+        def test(i: int, pattern: str):
+            return regex_any_ci(text_col, pattern, "_lc", "_hz")
     hits = F.array(*[
-        F.when(regex_any_ci(text_col, pattern, "_lc", "_hz"),
+        F.when(test(i, pattern),
                F.struct(F.lit(cat).alias("skill_category"), F.lit(name).alias("skill_name")))
-        for cat, name, pattern in rows])
+        for i, (cat, name, pattern) in enumerate(rows)])
     return (prepared
             .select(F.col(id_col), F.explode(F.filter(hits, lambda h: h.isNotNull())).alias("_s"))
             .select(id_col, "_s.skill_category", "_s.skill_name"))
@@ -61,14 +80,16 @@ def _joined(jobs: DataFrame, taxonomy: DataFrame, n: int, id_col: str, text_col:
 
 
 def skill_match(jobs: DataFrame, taxonomy: DataFrame, id_col: str = "job_id",
-                text_col: str = "searchable_text", unroll_limit: int = UNROLL_LIMIT) -> DataFrame:
+                text_col: str = "searchable_text", unroll_limit: int = UNROLL_LIMIT,
+                multi_literal: bool = True) -> DataFrame:
     """(id, skill_category, skill_name) for every taxonomy pattern the text matches,
     one row per distinct triple."""
+    ship_package(jobs.sparkSession)  # the UDF paths below run on Python workers
     # size check and read in one step: at most unroll_limit + 1 seed rows reach the driver
     head = taxonomy.select("category", "standard_name", "regex_pattern").limit(unroll_limit + 1).collect()
     if len(head) <= unroll_limit:
         rows = [(r["category"], r["standard_name"], r["regex_pattern"]) for r in head]
-        pairs = _unrolled(jobs, rows, id_col, text_col)
+        pairs = _unrolled(jobs, rows, id_col, text_col, multi_literal)
     else:
         pairs = _joined(jobs, taxonomy, taxonomy.count(), id_col, text_col)
     return pairs.distinct()

@@ -72,3 +72,30 @@ def default_parallelism(spark: SparkSession) -> int:
         return max(1, int(spark.sparkContext.defaultParallelism))
     except Exception:  # pragma: no cover - connect sessions
         return int(os.environ.get("BENCH_CPUS", "8"))
+
+
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``hirelake`` importable by Python workers (for its Python UDF paths): zip the
+    package into the shared checkpoint folder once per application and add it with
+    ``addPyFile`` (the programmatic form of ``--py-files``)."""
+    import zipfile
+    sc = spark.sparkContext
+    app = sc.applicationId
+    if app in _SHIPPED:
+        return
+    pkg = os.path.dirname(os.path.abspath(__file__))
+    target = f"{checkpoint_root(spark).rstrip('/')}/hirelake-{uuid.uuid4().hex[:8]}.zip"
+    local = target[len("file:"):] if target.startswith("file:") else target
+    if "://" in local:  # remote shared storage: build locally, the file system API copies it
+        local = tempfile.mkdtemp(prefix="hl-pkg-") + "/hirelake.zip"
+    with zipfile.ZipFile(local, "w") as zf:
+        for root, _, files in os.walk(pkg):
+            for f in files:
+                if f.endswith(".py"):
+                    full = os.path.join(root, f)
+                    zf.write(full, os.path.relpath(full, os.path.dirname(pkg)))
+    sc.addPyFile(local)
+    _SHIPPED.add(app)

@@ -64,5 +64,7 @@ def test_join_path_equals_unrolled(spark, tmpdir_path):
     jobs = searchable_postings(silver_jobs(bronze_from_documents(read_table(spark, SF001, "documents"))))
     unrolled = skill_match(jobs, tax)
     joined = skill_match(jobs, tax, unroll_limit=0)
+    plain = skill_match(jobs, tax, multi_literal=False)     # JVM contains() pre-filter
     assert unrolled.count() > 0
     assert unrolled.exceptAll(joined).count() == 0 and joined.exceptAll(unrolled).count() == 0
+    assert unrolled.exceptAll(plain).count() == 0 and plain.exceptAll(unrolled).count() == 0
