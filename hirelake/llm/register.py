@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from hirelake.llm import exact_dedup, mixing
+from hirelake.llm import exact_dedup, mixing, pii
 
 QUERIES = {
     "op2_exact_dedup": exact_dedup.op2_exact_dedup,
     "op6_systematic_mix": mixing.op6_systematic_mix,
+    "op8_pii": pii.op8_pii,
 }
 
 ORACLE = {
