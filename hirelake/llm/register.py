@@ -2,15 +2,17 @@
 
 from __future__ import annotations
 
-from hirelake.llm import exact_dedup, mixing, pii
+from hirelake.llm import exact_dedup, mixing, near_dedup, pii
 
 QUERIES = {
     "op2_exact_dedup": exact_dedup.op2_exact_dedup,
+    "op3_minmax_near_dedup": near_dedup.op3_minmax_near_dedup,
     "op6_systematic_mix": mixing.op6_systematic_mix,
     "op8_pii": pii.op8_pii,
 }
 
 ORACLE = {
     "op2_exact_dedup": exact_dedup.ORACLE_SQL,
+    "op3_minmax_near_dedup": near_dedup.op3_minmax_near_dedup,
     "op6_systematic_mix": mixing.ORACLE_SQL,
 }
