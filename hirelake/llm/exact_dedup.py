@@ -45,6 +45,8 @@ def _stream_session(spark: SparkSession) -> SparkSession:
         if value is not None:
             own.conf.set(key, value)
     own.conf.set("spark.sql.streaming.stateStore.providerClass", STATE_STORE)
+    # many small stores: no space set aside in advance, memory shared between them
+    own.conf.set("spark.sql.streaming.stateStore.rocksdb.allowFAllocate", "false")
     own.conf.set("spark.sql.streaming.stateStore.rocksdb.boundedMemoryUsage", "true")
     own.conf.set("spark.sql.streaming.stateStore.rocksdb.maxMemoryUsageMB", "256")
     return own
