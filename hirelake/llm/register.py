@@ -2,17 +2,20 @@
 
 from __future__ import annotations
 
-from hirelake.llm import exact_dedup, mixing, near_dedup, pii
+from hirelake.llm import exact_dedup, langid, mixing, near_dedup, pii, quality
 
 QUERIES = {
     "op2_exact_dedup": exact_dedup.op2_exact_dedup,
     "op3_minmax_near_dedup": near_dedup.op3_minmax_near_dedup,
+    "op4_language_id": langid.op4_language_id,
     "op6_systematic_mix": mixing.op6_systematic_mix,
     "op8_pii": pii.op8_pii,
+    "op9_quality_ranking": quality.op9_quality_ranking,
 }
 
 ORACLE = {
     "op2_exact_dedup": exact_dedup.ORACLE_SQL,
     "op3_minmax_near_dedup": near_dedup.op3_minmax_near_dedup,
+    "op4_language_id": langid.op4_language_id,
     "op6_systematic_mix": mixing.ORACLE_SQL,
 }
