@@ -2,15 +2,26 @@
 
 from __future__ import annotations
 
-from hirelake.llm import exact_dedup, langid, mixing, near_dedup, pii, quality
+from hirelake.llm import (
+    exact_dedup,
+    langid,
+    line_dedup,
+    mixing,
+    near_dedup,
+    packing,
+    pii,
+    quality,
+)
 
 QUERIES = {
+    "op1_best_fit_packing": packing.op1_best_fit_packing,
     "op2_exact_dedup": exact_dedup.op2_exact_dedup,
     "op3_minmax_near_dedup": near_dedup.op3_minmax_near_dedup,
     "op4_language_id": langid.op4_language_id,
     "op6_systematic_mix": mixing.op6_systematic_mix,
     "op8_pii": pii.op8_pii,
     "op9_quality_ranking": quality.op9_quality_ranking,
+    "op10_line_dedup": line_dedup.op10_line_dedup,
 }
 
 ORACLE = {
