@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from hirelake.llm import (
     exact_dedup,
+    fingerprint,
     langid,
     line_dedup,
     mixing,
@@ -19,6 +20,7 @@ QUERIES = {
     "op3_minmax_near_dedup": near_dedup.op3_minmax_near_dedup,
     "op4_language_id": langid.op4_language_id,
     "op6_systematic_mix": mixing.op6_systematic_mix,
+    "op7_paragraph_sketch": fingerprint.op7_paragraph_sketch,
     "op8_pii": pii.op8_pii,
     "op9_quality_ranking": quality.op9_quality_ranking,
     "op10_line_dedup": line_dedup.op10_line_dedup,
