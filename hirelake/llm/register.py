@@ -5,6 +5,7 @@ from __future__ import annotations
 from hirelake.llm import (
     exact_dedup,
     fingerprint,
+    html_extract,
     langid,
     line_dedup,
     mixing,
@@ -19,6 +20,7 @@ QUERIES = {
     "op2_exact_dedup": exact_dedup.op2_exact_dedup,
     "op3_minmax_near_dedup": near_dedup.op3_minmax_near_dedup,
     "op4_language_id": langid.op4_language_id,
+    "op5_html_extract": html_extract.op5_html_extract,
     "op6_systematic_mix": mixing.op6_systematic_mix,
     "op7_paragraph_sketch": fingerprint.op7_paragraph_sketch,
     "op8_pii": pii.op8_pii,
