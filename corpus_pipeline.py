@@ -1,7 +1,52 @@
-"""Placeholder until the stages are joined."""
-STAGES = []
+"""A training corpus from documents, stage by stage.
+
+Every stage reads what the one before wrote, and calls one operator of ``hirelake.llm``:
+documents without a determined language go, of equal texts and of near duplicates one stays,
+sources are mixed to their targets, and the mix is packed into sequences. All stages but the
+last return the columns of ``documents``.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+
+from hirelake.llm.common import staged, table
+from hirelake.llm.exact_dedup import drop_copies
+from hirelake.llm.langid import known_language
+from hirelake.llm.mixing import mixed_rows
+from hirelake.llm.near_dedup import drop_near_copies
+from hirelake.llm.packing import pack
+
+
+def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return known_language(docs)
+
+
+def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return drop_copies(docs, from_files=True)
+
+
+def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return drop_near_copies(docs)
+
+
+def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return mixed_rows(docs)
+
+
+def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return pack(docs)
+
+
+STAGES = [("language", language), ("exact", exact), ("near", near), ("mixing", mixing), ("packing", packing)]
+
+# Language models cannot be trained in SQL: the tests hold the stages against plain Python.
 ORACLE_SQL = None
 
 
-def run(spark, sf_dir):
-    return spark.read.parquet(f"{sf_dir}/documents.parquet")
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages on ``documents``; every result is written as Parquet and read again."""
+    docs = table(spark, sf_dir, "documents")
+    for name, stage in STAGES:
+        docs = staged(stage(spark, docs, sf_dir), f"stage-{name}")
+    return docs

@@ -10,6 +10,7 @@ each text gets its own group.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -19,6 +20,7 @@ from hirelake.llm.common import staged, table
 from hirelake.session import checkpoint_root, scratch_path
 
 STATE_STORE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+INDEX = "digest binary, keeper struct<doc_id: bigint, file: string, row: bigint>, n bigint"
 CARRIED_CONF = ("spark.sql.shuffle.partitions", "spark.sql.session.timeZone")
 
 
@@ -26,15 +28,12 @@ def sha256_digest(text: Column) -> Column:
     return F.unhex(F.sha2(text, 256))
 
 
-def located(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """(doc_id, text, file, row): a row's content locator is its file and its position there.
-    Rows that do not come from files are written to the shared folder first."""
-    columns = [F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text")]
-    place = [F.col("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("row")]
-    if not docs.inputFiles() or "_metadata" in docs.columns:
-        docs = staged(docs.select(*columns), "located")
-        columns = [F.col("doc_id"), F.col("text")]
-    return docs.select(*columns, *place)
+def located(docs: DataFrame, columns: list[Column], from_files: bool) -> DataFrame:
+    """``columns`` with a content locator (file, row): a row's file and its position there.
+    Unless ``docs`` is a plain read of files, it is written to the shared folder first."""
+    if not from_files:
+        docs = staged(docs, "located")
+    return docs.select(*columns, F.col("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("row"))
 
 
 def _stream_session(spark: SparkSession) -> SparkSession:
@@ -45,7 +44,9 @@ def _stream_session(spark: SparkSession) -> SparkSession:
         if value is not None:
             own.conf.set(key, value)
     own.conf.set("spark.sql.streaming.stateStore.providerClass", STATE_STORE)
-    # many small stores: no space set aside in advance, memory shared between them
+    # many small stores: none stays open after its task, no space is set aside in advance
+    own.conf.set("spark.sql.streaming.stateStore.unloadOnCommit", "true")
+    own.conf.set("spark.sql.streaming.stateStore.rocksdb.writeBufferSizeMB", "16")
     own.conf.set("spark.sql.streaming.stateStore.rocksdb.allowFAllocate", "false")
     own.conf.set("spark.sql.streaming.stateStore.rocksdb.boundedMemoryUsage", "true")
     own.conf.set("spark.sql.streaming.stateStore.rocksdb.maxMemoryUsageMB", "256")
@@ -53,48 +54,47 @@ def _stream_session(spark: SparkSession) -> SparkSession:
 
 
 def run_state(arrivals: DataFrame, state_dir: str) -> DataFrame:
-    """Feed the parquet rows ``arrivals`` (digest, doc_id, file, row) through the stateful
-    stream at ``state_dir`` and return its index: digest, keeper (doc_id, file, row), n.
+    """Add the rows (digest, doc_id, file, row) to the stateful stream at ``state_dir`` and
+    return its index: digest, keeper (doc_id, file, row), n, over all rows ever added.
 
     Every micro-batch writes the groups it changed under its own number, so a batch that is
     replayed after a failure overwrites itself; the newest state of a group has the largest n.
     """
     own = _stream_session(arrivals.sparkSession)
-    folder = arrivals.inputFiles()[0].rsplit("/", 1)[0] if arrivals.inputFiles() else None
+    arrivals.write.parquet(f"{state_dir}/arrivals/run-{uuid.uuid4().hex[:12]}")
     index_dir = f"{state_dir}/index"
-    schema = "digest binary, keeper struct<doc_id: bigint, file: string, row: bigint>, n bigint"
-    if folder is not None:
-        changed = (own.readStream.schema(arrivals.schema).parquet(folder)
-                   .groupBy("digest")
-                   .agg(F.max(F.struct("doc_id", "file", "row")).alias("keeper"), F.count(F.lit(1)).alias("n")))
-        query = (changed.writeStream.outputMode("update").trigger(availableNow=True)
-                 .option("checkpointLocation", f"{state_dir}/state")
-                 .foreachBatch(lambda batch, number: batch.write.mode("overwrite")
-                               .parquet(f"{index_dir}/batch={number}"))
-                 .start())
-        query.awaitTermination()
-        index = arrivals.sparkSession.read.schema(schema).parquet(index_dir)
-    else:
-        index = arrivals.sparkSession.createDataFrame([], schema)
+    changed = (own.readStream.schema(arrivals.schema).parquet(f"{state_dir}/arrivals/*")
+               .groupBy("digest")
+               .agg(F.max(F.struct("doc_id", "file", "row")).alias("keeper"), F.count(F.lit(1)).alias("n")))
+    query = (changed.writeStream.outputMode("update").trigger(availableNow=True)
+             .option("checkpointLocation", f"{state_dir}/state")
+             .foreachBatch(lambda batch, number: batch.write.mode("overwrite").parquet(f"{index_dir}/batch={number}"))
+             .start())
+    query.awaitTermination()
+    index = arrivals.sparkSession.read.schema(INDEX).parquet(index_dir)
     return index.groupBy("digest").agg(F.max(F.struct("n", "keeper")).alias("_newest")).select(
         "digest", F.col("_newest.keeper").alias("keeper"), F.col("_newest.n").alias("n"))
 
 
 def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                  digest: Callable[[Column], Column] = sha256_digest,
-                 state_dir: str | None = None) -> DataFrame:
+                 state_dir: str | None = None, from_files: bool = False) -> DataFrame:
     """Groups of equal texts, one row per input row: ``doc_id, digest, file, row, keep_id,
     group_size, kept``.
 
     Of equal texts the row with the largest id is kept. A null text counts as empty; a null
     id is smaller than any other; of rows that repeat id and text the last place (file, row)
     is kept and the others go. Texts are equal when identical: nothing is normalised. An
-    empty table gives no rows; other columns of the input are not looked at.
+    empty table gives no rows; other columns of the input are not looked at. With the
+    ``state_dir`` of an earlier run its rows count too (their bytes were compared then).
+    ``from_files``: ``docs`` is a plain read of files, whose places serve as locators.
     """
     spark = docs.sparkSession
     state_dir = state_dir or scratch_path(spark, "exact-state")
-    rows = located(docs, id_col, text_col).withColumn("digest", digest(F.col("text")))
-    arrivals = staged(rows.select("digest", F.col("doc_id").cast("long").alias("doc_id"), "file", "row"), "arrivals")
+    text = F.coalesce(F.col(text_col), F.lit(""))
+    rows = located(docs, [F.col(id_col).cast("long").alias("doc_id"), text.alias("text"),
+                          digest(text).alias("digest")], from_files)
+    arrivals = staged(rows.select("digest", "doc_id", "file", "row"), "arrivals")
     index = staged(run_state(arrivals, state_dir), "exact-index")
     # full bytes on hits: equal copies fold together before the shuffle
     hits = index.where("n > 1").select("digest")
@@ -103,7 +103,7 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
                     .where("_texts > 1").select("digest"), "shared-digests")
     grouped = arrivals.join(index, "digest")
     if not shared.isEmpty():
-        clash = rows.join(shared, "digest", "left_semi").withColumn("doc_id", F.col("doc_id").cast("long"))
+        clash = rows.join(shared, "digest", "left_semi")
         by_text = clash.groupBy("digest", "text").agg(
             F.max(F.struct("doc_id", "file", "row")).alias("keeper"), F.count(F.lit(1)).alias("n"))
         apart = clash.join(by_text, ["digest", "text"]).select(*grouped.columns)
@@ -113,31 +113,25 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
                           F.col("n").alias("group_size"), is_keeper.alias("kept"))
 
 
-def drop_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def drop_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+                from_files: bool = False) -> DataFrame:
     """The kept rows with all their columns: the places of dropped rows are removed."""
-    if not docs.inputFiles():
+    if not from_files:
         docs = staged(docs, "located")
-    dropped = exact_groups(docs, id_col, text_col).where("NOT kept").select(
+    dropped = exact_groups(docs, id_col, text_col, from_files=True).where("NOT kept").select(
         F.col("file").alias("_file"), F.col("row").alias("_row"))
-    whole = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_doc"),
-                        F.col("_metadata.file_path").alias("_file"), F.col("_metadata.row_index").alias("_row"))
-    return whole.join(dropped, ["_file", "_row"], "left_anti").select("_doc.*")
+    whole = located(docs, [F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_doc")], from_files=True)
+    return whole.withColumnsRenamed({"file": "_file", "row": "_row"}).join(
+        dropped, ["_file", "_row"], "left_anti").select("_doc.*")
 
 
 def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     checkpoint_root(spark)
-    groups = exact_groups(table(spark, sf_dir, "documents"))
+    groups = exact_groups(table(spark, sf_dir, "documents"), from_files=True)
     return groups.select("doc_id", "keep_id", "group_size", "kept",
                          F.lower(F.hex("digest")).alias("text_sha256"))
 
 
-def dedup_sql(docs: str) -> str:
-    """DuckDB: the relation ``docs`` with keep_id, group_size and the digest of each text."""
-    return f"""SELECT *, max(doc_id) OVER same AS _keep_id, count(*) OVER same AS _group_size,
-  row_number() OVER (same ORDER BY doc_id DESC) = 1 AS _kept, sha256(coalesce(text, '')) AS _sha
-FROM {docs} WINDOW same AS (PARTITION BY coalesce(text, ''))"""
-
-
 ORACLE_SQL = f"""SELECT doc_id, _keep_id AS keep_id, _group_size AS group_size, _kept AS kept,
   _sha AS text_sha256 FROM (
   SELECT *, max(doc_id) OVER (PARTITION BY coalesce(text, '')) AS _keep_id,

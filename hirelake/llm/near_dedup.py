@@ -1,7 +1,7 @@
 """Near-duplicate detection with min-max hashing.
 
 Each permutation of a document's shingles yields two signature values, the minimum and the
-maximum, so 64 hash evaluations per shingle give 128 values; they are banded five to a band.
+maximum, so 64 hash evaluations per shingle give 128 values; they are banded a few to a band.
 Documents with equal shingle sets form one class and only class representatives are compared.
 
 Inside a band bucket every member is first compared with the bucket's hub, the member that
@@ -27,7 +27,7 @@ from hirelake.llm.common import ship_by_value, staged, table
 SHINGLE_WORDS = 5
 SIMILARITY = 0.8
 PERMUTATIONS = 64
-BAND_ROWS = 5
+BAND_ROWS = 4
 CHUNK_BYTES = 1 << 20
 # Ids up to this many (16 MB of them) are broadcast to pick texts out of a scan.
 BROADCAST_IDS = 2_000_000
@@ -359,7 +359,7 @@ def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
 
 
 def op3_minmax_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return near_groups(table(spark, sf_dir, "documents"), words=3, similarity=0.85)
+    return near_groups(table(spark, sf_dir, "documents"), words=3, similarity=0.85, band_rows=5)
 
 
 ship_by_value(__name__)
