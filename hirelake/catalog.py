@@ -8,6 +8,7 @@ Time columns are emitted as TIMESTAMP_NTZ (UTC wall time), like the test tables.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -18,15 +19,17 @@ from hirelake.functions.text import clean_description
 from hirelake.operators import collect as B
 from hirelake.operators import metrics as J
 from hirelake.operators import quality as K
-from hirelake.operators.dedup import cross_source_dedup, dedup_first_seen, latest_per_key
-from hirelake.operators.merge import first_per_key, load_audit, new_rows
+from hirelake.operators.dedup import cross_source_dedup, latest_per_key
+from hirelake.operators.merge import insert_only_merge
 from hirelake.plans import gold as G
 from hirelake.plans import postings as P
 from hirelake.plans.silver import silver_job_skills, silver_jobs
-from hirelake.session import apply_sql_defaults, checkpoint_root, scratch_path
-from hirelake.sources.landing import landing_rows, write_landing
+from hirelake.session import apply_sql_defaults, scratch_path
+from hirelake.sources.bronze import materialize
+from hirelake.sources.landing import (accepted_rows, judged_rows, landing_rows, natural_key, read_landing,
+                                      rejected_rows, write_landing)
 from hirelake.sources.tables import read_table
-from hirelake.sources.taxonomy import read_taxonomy
+from hirelake.sources.taxonomy import read_taxonomy, write_seed
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -60,20 +63,42 @@ def silver(spark, sf):
     return silver_jobs(bronze(spark, sf))
 
 
-def materialized_silver(spark, sf):
-    """Silver written once (reliable checkpoint in ``spark.checkpoint.dir``) for the
-    layers above it, as the warehouse materializes it as a table: later filters on
-    silver columns then read stored values instead of re-deriving them."""
-    checkpoint_root(spark)
-    return silver(spark, sf).checkpoint(eager=True)
+class Star:
+    """The layers above bronze. Silver and the skill table are written as parquet on first
+    use, as the warehouse materializes them as tables, and read with pruned columns; a query
+    that needs no skills never matches them."""
 
+    def __init__(self, spark: SparkSession, sf: str) -> None:
+        self.spark, self.sf = spark, sf
 
-def star(spark, sf):
-    s = materialized_silver(spark, sf)
-    skills = silver_job_skills(s, read_taxonomy(spark)).checkpoint(eager=True)
-    return {"silver": s, "skills": skills, "fact": G.fct_job_postings(s),
-            "companies": G.dim_companies(s), "dim_skills": G.dim_skills(skills),
-            "bridge": G.bridge_job_skills(skills), "dates": G.dim_date(spark)}
+    @cached_property
+    def silver(self) -> DataFrame:
+        return materialize(silver(self.spark, self.sf), scratch_path(self.spark, "silver"))
+
+    @cached_property
+    def skills(self) -> DataFrame:
+        return materialize(silver_job_skills(self.silver, read_taxonomy(self.spark)),
+                           scratch_path(self.spark, "skills"))
+
+    @property
+    def fact(self) -> DataFrame:
+        return G.fct_job_postings(self.silver)
+
+    @property
+    def companies(self) -> DataFrame:
+        return G.dim_companies(self.silver)
+
+    @property
+    def dim_skills(self) -> DataFrame:
+        return G.dim_skills(self.skills)
+
+    @property
+    def bridge(self) -> DataFrame:
+        return G.bridge_job_skills(self.skills)
+
+    @property
+    def dates(self) -> DataFrame:
+        return G.dim_date(self.spark)
 
 
 SILVER_SQL = "WITH " + O.silver_ctes()
@@ -189,10 +214,10 @@ def _second_crawl(b: DataFrame) -> DataFrame:
 @register("latest_posting", f"""
 WITH p AS ({P.oracle_postings_sql()}),
 two AS (
-  SELECT CAST(doc_id AS VARCHAR) AS job_id, source, keyword, extracted_at, 'documents' AS f, doc_id
+  SELECT job_id, source, keyword, extracted_at, 'documents' AS f, doc_id
   FROM p
   UNION ALL
-  SELECT CAST(doc_id AS VARCHAR), source,
+  SELECT job_id, source,
          ([{", ".join(O.q(k) for k in P.KEYWORDS)}])[((doc_id + 1) % {len(P.KEYWORDS)}) + 1],
          CASE WHEN doc_id % 13 = 0 THEN NULL
               WHEN doc_id % 2 = 0 THEN extracted_at + INTERVAL 1 DAY
@@ -214,22 +239,22 @@ def q_latest_posting(spark, sf):
 
 @register("skill_match", GOLD_SQL + "SELECT job_id, skill_category, skill_name FROM job_skills")
 def q_skill_match(spark, sf):
-    return silver_job_skills(silver(spark, sf), read_taxonomy(spark))
+    return Star(spark, sf).skills
 
 
 @register("dim_companies", GOLD_SQL + "SELECT company_id, company_name FROM dim_companies")
 def q_dim_companies(spark, sf):
-    return G.dim_companies(silver(spark, sf))
+    return Star(spark, sf).companies
 
 
 @register("dim_skills", GOLD_SQL + "SELECT skill_id, skill_category, skill_name FROM dim_skills")
 def q_dim_skills(spark, sf):
-    return star(spark, sf)["dim_skills"]
+    return Star(spark, sf).dim_skills
 
 
 @register("bridge_job_skills", GOLD_SQL + "SELECT job_id, skill_id FROM bridge")
 def q_bridge(spark, sf):
-    return star(spark, sf)["bridge"]
+    return Star(spark, sf).bridge
 
 
 @register("fct_job_postings", GOLD_SQL + """
@@ -237,18 +262,18 @@ SELECT job_id, company_id, date_id, search_role, job_title, job_posted_at_utc, c
        platform_name, position_level, employment_type, is_remote, salary_min_yearly,
        salary_max_yearly, salary_midpoint_yearly FROM fact""")
 def q_fact(spark, sf):
-    f = star(spark, sf)["fact"]
+    f = Star(spark, sf).fact
     return f.select(*[ntz(c) if c.endswith("_utc") else F.col(c) for c in f.columns])
 
 
 @register("date_rollup", GOLD_SQL + """
 SELECT d.year, d.quarter, d.month, d.month_name, d.day_of_week, d.is_weekend,
        count(*) AS n_postings, count(DISTINCT f.company_id) AS n_companies
-FROM fact f JOIN dim_date d ON f.date_id = d.date_id
+FROM fact f LEFT JOIN dim_date d ON f.date_id = d.date_id
 GROUP BY d.year, d.quarter, d.month, d.month_name, d.day_of_week, d.is_weekend""")
 def q_date_rollup(spark, sf):
-    s = star(spark, sf)
-    return (s["fact"].join(F.broadcast(s["dates"]), "date_id")
+    s = Star(spark, sf)
+    return (s.fact.join(F.broadcast(s.dates), "date_id", "left")
             .groupBy("year", "quarter", "month", "month_name", "day_of_week", "is_weekend")
             .agg(F.count(F.lit(1)).alias("n_postings"),
                  F.countDistinct("company_id").alias("n_companies")))
@@ -263,12 +288,18 @@ LEFT JOIN dim_date d ON f.date_id = d.date_id
 JOIN bridge b ON f.job_id = b.job_id JOIN dim_skills s ON b.skill_id = s.skill_id
 GROUP BY f.search_role, d.year, s.skill_name""")
 def q_star_query(spark, sf):
-    s = star(spark, sf)
-    j = G.star_query(s["fact"], s["companies"], s["dates"], s["bridge"], s["dim_skills"])
-    return (j.groupBy("search_role", "year", "skill_name")
-            .agg(F.countDistinct("job_id").alias("n_postings"),
-                 F.countDistinct("company_name").alias("n_companies"),
-                 (F.count(F.lit(1)) - F.count("full_date")).alias("n_outside_calendar")))
+    s = Star(spark, sf)
+    keys = ["search_role", "year", "skill_name"]
+    j = G.star_query(s.fact, s.companies, s.dates, s.bridge, s.dim_skills)
+    # one row per posting, then per company: no row is expanded for a second distinct count
+    postings = (j.groupBy(*keys, "job_id").agg(F.count(F.lit(1)).alias("_n"), F.count("full_date").alias("_dated"))
+                .groupBy(*keys).agg(F.count(F.lit(1)).alias("n_postings"),
+                                    (F.sum("_n") - F.sum("_dated")).alias("n_outside_calendar")))
+    companies = (j.groupBy(*keys, "company_name").count()
+                 .groupBy(*keys).agg(F.count("company_name").alias("n_companies")))
+    same = [F.col(f"p.{k}").eqNullSafe(F.col(f"c.{k}")) for k in keys]
+    return postings.alias("p").join(companies.alias("c"), same).select(
+        *[F.col(f"p.{k}") for k in keys], "n_postings", "n_companies", "n_outside_calendar")
 
 
 # ----------------------------------------------------------------------- metrics
@@ -282,8 +313,8 @@ FROM (SELECT skill_id, count(DISTINCT job_id) AS n_postings FROM bridge GROUP BY
 JOIN dim_skills s ON c.skill_id = s.skill_id
 ORDER BY c.n_postings DESC, s.skill_name ASC LIMIT 10""")
 def q_skill_demand(spark, sf):
-    s = star(spark, sf)
-    return J.skill_demand(s["bridge"], s["dim_skills"], top_n=10)
+    s = Star(spark, sf)
+    return J.skill_demand(s.bridge, s.dim_skills, top_n=10)
 
 
 @register("skill_demand_by_role", GOLD_SQL + """
@@ -297,8 +328,8 @@ FROM (SELECT skill_id, count(DISTINCT job_id) AS n_postings FROM bridge
 JOIN dim_skills s ON c.skill_id = s.skill_id
 ORDER BY c.n_postings DESC, s.skill_name ASC LIMIT 10""")
 def q_skill_demand_by_role(spark, sf):
-    s = star(spark, sf)
-    return J.skill_demand(s["bridge"], s["dim_skills"], top_n=10, fact=s["fact"], role="Backend")
+    s = Star(spark, sf)
+    return J.skill_demand(s.bridge, s.dim_skills, top_n=10, fact=s.fact, role="Backend")
 
 
 @register("median_salary_by_role", GOLD_SQL + """
@@ -306,7 +337,7 @@ SELECT search_role, median(CAST(salary_midpoint_yearly AS DOUBLE)) AS median_sal
        count(salary_midpoint_yearly) AS n_postings
 FROM fact WHERE salary_midpoint_yearly IS NOT NULL GROUP BY search_role""")
 def q_median_salary(spark, sf):
-    return J.median_salary_by_role(star(spark, sf)["fact"])
+    return J.median_salary_by_role(Star(spark, sf).fact)
 
 
 @register("remote_share", GOLD_SQL + """
@@ -315,7 +346,7 @@ SELECT search_role, platform_name, count(*) AS n_postings,
        sum(CASE WHEN is_remote = 'yes' THEN 1 ELSE 0 END) / count(*) AS remote_share
 FROM fact GROUP BY search_role, platform_name""")
 def q_remote_share(spark, sf):
-    return J.remote_share(star(spark, sf)["fact"], ["search_role", "platform_name"])
+    return J.remote_share(Star(spark, sf).fact, ["search_role", "platform_name"])
 
 
 @register("highest_paying_skills", GOLD_SQL + f"""
@@ -327,8 +358,8 @@ SELECT s.skill_name, s.skill_category, m.n_postings, m.median_salary FROM (
   HAVING count(*) >= {J.MIN_POSTINGS_PER_SKILL}) m
 JOIN dim_skills s ON m.skill_id = s.skill_id""")
 def q_highest_paying(spark, sf):
-    s = star(spark, sf)
-    return J.highest_paying_skills(s["fact"], s["bridge"], s["dim_skills"])
+    s = Star(spark, sf)
+    return J.highest_paying_skills(s.fact, s.bridge, s.dim_skills)
 
 
 def _outlier_sql(c: str) -> str:
@@ -343,25 +374,26 @@ SELECT job_id, platform_name, CAST(lo AS DECIMAL(38,4)) AS salary_min_yearly,
 FROM (SELECT job_id, platform_name, {_outlier_sql('salary_min_yearly')} AS lo,
              {_outlier_sql('salary_max_yearly')} AS hi FROM fact)""")
 def q_salary_outliers(spark, sf):
-    return J.without_outliers(star(spark, sf)["fact"])
+    return J.without_outliers(Star(spark, sf).fact)
 
 
 @register("exclude_tier3", SILVER_SQL + """
 SELECT job_id, source, job_country, description_quality_tier FROM silver
 WHERE NOT starts_with(description_quality_tier, 'Tier 3')""")
 def q_exclude_tier3(spark, sf):
-    return J.exclude_tier3(silver(spark, sf)).select("job_id", "source", "job_country",
+    return J.exclude_tier3(Star(spark, sf).silver).select("job_id", "source", "job_country",
                                                      "description_quality_tier")
 
 
 @register("cross_source_dedup", SILVER_SQL + """
 SELECT job_id, source, job_title, company_name, job_city FROM (
-  SELECT *, row_number() OVER (
+  SELECT *, first(source) OVER (
       PARTITION BY lower(trim(job_title)), lower(trim(company_name)), lower(job_city)
-      ORDER BY job_posted_at_utc DESC NULLS FIRST, source, job_id) AS rn
-  FROM silver) WHERE rn = 1""")
+      ORDER BY job_posted_at_utc DESC NULLS LAST, source, job_id) AS board
+  FROM silver)
+WHERE source = board OR job_title IS NULL OR company_name IS NULL OR job_city IS NULL""")
 def q_cross_source_dedup(spark, sf):
-    return cross_source_dedup(silver(spark, sf)).select("job_id", "source", "job_title",
+    return cross_source_dedup(Star(spark, sf).silver).select("job_id", "source", "job_title",
                                                         "company_name", "job_city")
 
 
@@ -384,8 +416,8 @@ UNION ALL SELECT 'fct_job_postings', 'job_id', 'not_null',
 UNION ALL SELECT 'fct_job_postings', 'company_id', 'not_null',
        CAST((SELECT count(*) FROM fact WHERE company_id IS NULL) AS BIGINT)""")
 def q_quality_checks(spark, sf):
-    s = star(spark, sf)
-    return K.run_checks(s["fact"], s["companies"], s["dim_skills"])
+    s = Star(spark, sf)
+    return K.run_checks(s.fact, s.companies, s.dim_skills)
 
 
 # ------------------------------------------------------------ collection / ingest
@@ -397,34 +429,32 @@ bucketed AS (
                            for k in B.JOB_KEYWORDS)} END AS title_keyword
   FROM log
 ),
-kept AS (
-  SELECT * EXCLUDE (rn) FROM (
-    SELECT *, row_number() OVER (PARTITION BY source, job_key
-        ORDER BY keyword_rank, page, position, fetch_seq) AS rn
-    FROM bucketed WHERE source <> 'arbeitnow') WHERE rn = 1
+tagged AS (
+  SELECT *, row_number() OVER (PARTITION BY source, job_key
+        ORDER BY keyword_rank, page, position, fetch_seq) AS n_seen
+  FROM bucketed WHERE source <> 'arbeitnow'
   UNION ALL
-  SELECT * EXCLUDE (rn) REPLACE (title_keyword AS keyword) FROM (
-    SELECT *, row_number() OVER (PARTITION BY source, job_key
-        ORDER BY page, position, fetch_seq) AS rn
-    FROM bucketed WHERE source = 'arbeitnow') WHERE rn = 1 AND title_keyword IS NOT NULL
+  SELECT *, row_number() OVER (PARTITION BY source, job_key ORDER BY page, position, fetch_seq)
+  FROM bucketed WHERE source = 'arbeitnow'
+),
+kept AS (
+  SELECT * REPLACE (CASE WHEN source = 'arbeitnow' THEN title_keyword ELSE keyword END AS keyword)
+  FROM tagged WHERE n_seen = 1 AND (source <> 'arbeitnow' OR title_keyword IS NOT NULL)
 )"""
 
 
-def _first_seen(spark, sf) -> tuple[DataFrame, DataFrame]:
-    log = P.fetch_log(docs(spark, sf))
-    boards = dedup_first_seen(log.filter(F.col("source") != "arbeitnow"),
-                              order=("keyword_rank", "page", "position", "fetch_seq"))
-    arbeit = (dedup_first_seen(log.filter(F.col("source") == "arbeitnow"),
-                               order=("page", "position", "fetch_seq"))
-              .withColumn("keyword", B.bucket_keyword(F.col("title")))
-              .filter(F.col("keyword").isNotNull()))
-    return log, boards.unionByName(arbeit)
+def _tagged(spark, sf) -> DataFrame:
+    return B.tag_first_seen(P.fetch_log(docs(spark, sf)))
+
+
+def _kept(spark, sf) -> DataFrame:
+    return B.kept_rows(_tagged(spark, sf)).withColumn("country", F.lit(B.TARGET_COUNTRY))
 
 
 @register("first_seen_dedup", FIRST_SEEN_SQL + """
 SELECT source, job_key, keyword, page, position FROM kept""")
 def q_first_seen(spark, sf):
-    return _first_seen(spark, sf)[1].select("source", "job_key", "keyword", "page", "position")
+    return _kept(spark, sf).select("source", "job_key", "keyword", "page", "position")
 
 
 @register("keyword_bucket", FIRST_SEEN_SQL + """
@@ -435,65 +465,143 @@ def q_keyword_bucket(spark, sf):
             .filter(F.col("keyword").isNotNull()))
 
 
-@register("collection_counters", FIRST_SEEN_SQL + """
-SELECT f.source, f.keyword, f.page, f.n_fetched, coalesce(k.n_kept, 0) AS n_kept,
-       f.n_fetched - coalesce(k.n_kept, 0) AS n_skipped,
-       sum(coalesce(k.n_kept, 0)) OVER (PARTITION BY f.source, f.keyword ORDER BY f.page
-                                        ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS running_total
-FROM (SELECT source, keyword, page, count(*) AS n_fetched FROM log GROUP BY ALL) f
-LEFT JOIN (SELECT source, keyword, page, count(*) AS n_kept FROM kept GROUP BY ALL) k
-  ON f.source = k.source AND f.keyword = k.keyword AND f.page = k.page""")
+@register("collection_counters", FIRST_SEEN_SQL + """,
+pages AS (
+  SELECT source, CASE WHEN source <> 'arbeitnow' THEN keyword END AS keyword, page,
+         count(*) AS n_fetched,
+         count(*) FILTER (n_seen = 1 AND (source <> 'arbeitnow' OR title_keyword IS NOT NULL)) AS n_kept,
+         count(*) FILTER (n_seen > 1) AS n_duplicate,
+         count(*) FILTER (n_seen = 1 AND source = 'arbeitnow' AND title_keyword IS NULL) AS n_unmatched
+  FROM tagged GROUP BY ALL)
+SELECT p.*, CAST(sum(n_kept) OVER (PARTITION BY p.source, keyword ORDER BY page
+                                   ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS BIGINT) AS running_total,
+       u.n_unique_ids
+FROM pages p JOIN (SELECT source, count(DISTINCT job_key) AS n_unique_ids FROM log GROUP BY source) u
+  ON p.source = u.source""")
 def q_collection_counters(spark, sf):
-    log, kept = _first_seen(spark, sf)
-    return B.collection_counters(log, kept).select(
-        "source", "keyword", "page", "n_fetched", "n_kept", "n_skipped", "running_total")
+    return B.collection_counters(_tagged(spark, sf))
 
 
 @register("envelope_wrap", FIRST_SEEN_SQL + f"""
 SELECT source, 'austria' AS country, keyword, CAST(fetch_seq // {B.ENVELOPE_CHUNK} AS BIGINT) AS part,
-       count(*) AS total_records, count(*) AS n_jobs
-FROM kept GROUP BY ALL""")
+       max(total) AS total_records, count(*) AS n_jobs,
+       md5(string_agg(job_key, ',' ORDER BY fetch_seq)) AS jobs_in_order
+FROM (SELECT *, count(*) OVER (PARTITION BY source, keyword) AS total FROM kept)
+GROUP BY source, keyword, fetch_seq // {B.ENVELOPE_CHUNK}""")
 def q_envelope_wrap(spark, sf):
-    kept = _first_seen(spark, sf)[1].withColumn("country", F.lit(B.TARGET_COUNTRY))
-    env = B.wrap_envelope(kept)
+    env = B.wrap_envelope(_kept(spark, sf))
+    ids = F.transform("jobs", lambda j: F.coalesce(json_text(j, "$.id"), json_text(j, "$.slug")))
     return env.select("source", "country", "keyword", "part", "total_records",
-                      F.size("jobs").cast("long").alias("n_jobs"))
+                      F.size("jobs").cast("long").alias("n_jobs"),
+                      F.md5(F.array_join(ids, ",").cast("binary")).alias("jobs_in_order"))
+
+
+LANDING_DAY, LANDING_NEXT_DAY = "2026-04-01", "2026-04-02"
 
 
-LANDING_DAY = "2026-04-01"
+def _write_day(spark, jobs: DataFrame, root: str, day: str) -> None:
+    write_landing(jobs.select("source", "country", "keyword", "raw_data"), root,
+                  extracted_at=F.lit(f"{day} 06:00:00").cast("timestamp"))
 
 
-@register("landing_roundtrip", FIRST_SEEN_SQL + f"""
+LANDED_SQL = FIRST_SEEN_SQL + f"""
 SELECT job_key AS job_id, source, keyword, 'austria' AS country,
-       TIMESTAMP '{LANDING_DAY} 06:00:00' AS extracted_at
-FROM kept WHERE NOT (source = 'jooble' AND jooble_id = 0)""")
+       TIMESTAMP '{{day}} 06:00:00' AS extracted_at
+FROM kept WHERE NOT (source = 'jooble' AND jooble_id = 0)"""
+
+
+@register("landing_roundtrip", LANDED_SQL.format(day=LANDING_DAY))
 def q_landing_roundtrip(spark, sf):
-    kept = _first_seen(spark, sf)[1].withColumn("country", F.lit(B.TARGET_COUNTRY))
     root = scratch_path(spark, "landing")
-    write_landing(kept.select("source", "country", "keyword", "raw_data"), root,
-                  extracted_at=F.lit(f"{LANDING_DAY} 06:00:00").cast("timestamp"))
+    _write_day(spark, _kept(spark, sf), root, LANDING_DAY)
     rows = landing_rows(spark, root, LANDING_DAY)
     return rows.select("job_id", "source", "keyword", "country", ntz("extracted_at"))
 
 
-@register("insert_only_merge", FIRST_SEEN_SQL + """,
-batch AS (SELECT job_key, source FROM kept WHERE NOT (source = 'jooble' AND jooble_id = 0))
-SELECT 1 AS load_run, count(*) AS batch_records,
-       (SELECT count(*) FROM (SELECT DISTINCT job_key, source FROM batch)) AS new_records,
-       count(*) - (SELECT count(*) FROM (SELECT DISTINCT job_key, source FROM batch)) AS skipped_records
-FROM batch
-UNION ALL
-SELECT 2, count(*), 0, count(*) FROM batch""")
+@register("landing_one_day", LANDED_SQL.format(day=LANDING_NEXT_DAY) + " AND fetch_seq % 3 = 0")
+def q_landing_one_day(spark, sf):
+    """Two days in the lake, every document on the first and a share on the second; only the
+    second is read."""
+    kept = _kept(spark, sf)
+    root = scratch_path(spark, "landing")
+    _write_day(spark, kept, root, LANDING_DAY)
+    _write_day(spark, kept.filter(F.col("fetch_seq") % 3 == 0), root, LANDING_NEXT_DAY)
+    rows = landing_rows(spark, root, LANDING_NEXT_DAY)
+    return rows.select("job_id", "source", "keyword", "country", ntz("extracted_at"))
+
+
+# Landing records with faults: by doc_id modulo 13, cut off, a repeated payload key, no
+# source, a bad date, no id.
+FAULT_CYCLE = 13
+FAULTS_SQL = f"""CASE doc_id % {FAULT_CYCLE} WHEN 0 THEN 'corrupt' WHEN 2 THEN 'no_source'
+  WHEN 3 THEN 'bad_timestamp' WHEN 4 THEN 'no_key' ELSE 'loaded' END"""
+
+
+def _faulty_lines(documents: DataFrame) -> DataFrame:
+    d = F.col("doc_id")
+    fault = F.pmod(d, F.lit(FAULT_CYCLE))
+    # the text as a JSON string: {"v":"..."} without its frame
+    text = F.expr("coalesce(substring(_json, 6, length(_json) - 6), 'null')")
+    key = F.when(fault == 4, F.lit('"id":0')).otherwise(F.concat(F.lit('"id":"'), d.cast("string"), F.lit('"')))
+    repeated = F.when(fault == 1, F.lit(',"title":"first","title":"last"')).otherwise(F.lit(',"title":"only"'))
+    source = F.when(fault == 2, F.lit("null")).otherwise(F.lit('"adzuna"'))
+    date = F.when(fault == 3, F.lit("yesterday")).otherwise(F.lit(f"{LANDING_DAY}T06:00:00"))
+    line = F.concat(F.lit('{"extracted_at":"'), date, F.lit('","source":'), source,
+                    F.lit(',"country":"austria","keyword":"Cloud","job":{'), key, repeated,
+                    F.lit(',"description":'), text, F.lit("}}"))
+    made = documents.withColumn("_json", F.to_json(F.struct(F.col("text").alias("v")))).select(
+        fault.alias("_fault"), line.alias("_line"))
+    return made.select(F.when(F.col("_fault") == 0, F.expr("substring(_line, 1, length(_line) - 3)"))
+                       .otherwise(F.col("_line")).alias("value"))
+
+
+@register("landing_rejects", f"""
+SELECT {FAULTS_SQL} AS outcome, count(*) AS n_records,
+       count(*) FILTER (doc_id % {FAULT_CYCLE} = 1) AS n_last_title
+FROM documents GROUP BY 1""")
+def q_landing_rejects(spark, sf):
+    root = scratch_path(spark, "landing-faults")
+    day = f"{root}/p_source=adzuna/p_country=austria/year=2026/month=04/day=01/keyword_slug=cloud"
+    _faulty_lines(docs(spark, sf)).write.text(day)
+    judged = judged_rows(read_landing(spark, root, LANDING_DAY))
+    title = json_text(F.col("raw_data"), "$.title")
+    both = accepted_rows(judged).select(F.lit("loaded").alias("outcome"), title.alias("t")).unionByName(
+        rejected_rows(judged).select(F.col("reject_reason").alias("outcome"), title.alias("t")))
+    return both.groupBy("outcome").agg(F.count(F.lit(1)).alias("n_records"),
+                                       F.count_if(F.col("t") == "last").alias("n_last_title"))
+
+
+@register("insert_only_merge", FETCH_SQL + """,
+keyed AS (SELECT * FROM log WHERE NOT (source = 'jooble' AND jooble_id = 0)),
+loads AS (SELECT 1 AS load_run, * FROM keyed WHERE fetch_seq % 2 = 0
+          UNION ALL SELECT 2, * FROM keyed WHERE fetch_seq % 3 = 0
+          UNION ALL SELECT 3, * FROM keyed),
+firsts AS (SELECT job_key, source, min(load_run) AS load_run FROM loads GROUP BY 1, 2),
+batches AS (SELECT load_run, count(*) AS batch_records FROM loads GROUP BY 1),
+news AS (SELECT load_run, count(*) AS new_records FROM firsts GROUP BY 1)
+SELECT b.load_run, batch_records, coalesce(new_records, 0) AS new_records,
+       batch_records - coalesce(new_records, 0) AS skipped_records
+FROM batches b LEFT JOIN news n ON b.load_run = n.load_run""")
 def q_insert_only_merge(spark, sf):
-    from hirelake.sources.landing import natural_key
-    kept = _first_seen(spark, sf)[1]
-    batch = natural_key(kept.select("source", "raw_data", "fetch_seq")) \
+    """Three loads into one table: batches that repeat keys within and overlap in part."""
+    log = P.fetch_log(docs(spark, sf))
+    fetched = materialize(log.select("source", "raw_data", "fetch_seq"), scratch_path(spark, "log"))
+    keyed = natural_key(fetched) \
         .withColumns({"_source_file": F.lit("fetch"), "_source_pos": F.col("fetch_seq")})
-    first = first_per_key(batch)                       # load 1 into an empty table
-    second = new_rows(first, batch)                    # load 2 of the same batch
-    a1 = load_audit(batch, first).withColumn("load_run", F.lit(1))
-    a2 = load_audit(batch, second).withColumn("load_run", F.lit(2))
-    return a1.unionByName(a2).select("load_run", "batch_records", "new_records", "skipped_records")
+    keyed = materialize(keyed.select("job_id", "source", "_source_file", "_source_pos"),
+                        scratch_path(spark, "fetched"))
+    path = scratch_path(spark, "bronze")
+    sizes = None
+    for run, step in ((1, 2), (2, 3), (3, 1)):
+        batch = keyed.filter(F.col("_source_pos") % step == 0).withColumn("load_run", F.lit(run))
+        insert_only_merge(path, batch)
+        n = batch.groupBy("load_run").agg(F.count(F.lit(1)).alias("batch_records"))
+        sizes = n if sizes is None else sizes.unionByName(n)
+    news = spark.read.parquet(path).groupBy("load_run").agg(F.count(F.lit(1)).alias("new_records"))
+    new = F.coalesce("new_records", F.lit(0))
+    return sizes.join(news, "load_run", "left").select(
+        "load_run", "batch_records", new.cast("long").alias("new_records"),
+        (F.col("batch_records") - new).alias("skipped_records"))
 
 
 @register("stream_ingest", FIRST_SEEN_SQL + """
@@ -501,10 +609,39 @@ SELECT job_key AS job_id, source, keyword, 'austria' AS country FROM kept
 WHERE NOT (source = 'jooble' AND jooble_id = 0)""")
 def q_stream_ingest(spark, sf):
     from hirelake.streaming.ingest import ingest_available
-    kept = _first_seen(spark, sf)[1].withColumn("country", F.lit(B.TARGET_COUNTRY))
     root = scratch_path(spark, "landing")
-    write_landing(kept.select("source", "country", "keyword", "raw_data"), root,
-                  extracted_at=F.lit(f"{LANDING_DAY} 06:00:00").cast("timestamp"))
+    _write_day(spark, _kept(spark, sf), root, LANDING_DAY)
     base = scratch_path(spark, "stream")
     bronze_t = ingest_available(spark, root, f"{base}/bronze", f"{base}/_checkpoint")
     return bronze_t.select("job_id", "source", "keyword", "country")
+
+
+# ------------------------------------------------------------- seed, layers, payload text
+
+@register("skill_match_csv_seed", GOLD_SQL + """
+SELECT skill_category, skill_name, count(*) AS n_postings FROM job_skills GROUP BY 1, 2""")
+def q_skill_match_csv_seed(spark, sf):
+    seed = read_taxonomy(spark, write_seed(spark, scratch_path(spark, "seed")))
+    found = silver_job_skills(Star(spark, sf).silver, seed)
+    return found.groupBy("skill_category", "skill_name").agg(F.count(F.lit(1)).alias("n_postings"))
+
+
+@register("layer_partitioned", SILVER_SQL + """
+SELECT source, job_country, count(*) AS n_postings, count(salary_min_yearly) AS n_salaries
+FROM silver WHERE source = 'jooble' GROUP BY 1, 2""")
+def q_layer_partitioned(spark, sf):
+    """A layer table written in partitions; the filter reads one partition."""
+    narrow = Star(spark, sf).silver.select("source", "job_country", "salary_min_yearly")
+    table = materialize(narrow, scratch_path(spark, "layer"), partition_by=["source"])
+    return table.filter(F.col("source") == "jooble").groupBy("source", "job_country").agg(
+        F.count(F.lit(1)).alias("n_postings"), F.count("salary_min_yearly").alias("n_salaries"))
+
+
+@register("payload_text", SILVER_SQL + """
+SELECT job_id, source, title, salary, length(body) AS body_chars FROM postings""")
+def q_payload_text(spark, sf):
+    from hirelake.functions.json_paths import payload_to_text
+    rows = bronze(spark, sf).select("job_id", "source", payload_to_text("raw_data").alias("j"))
+    field = lambda name: F.get_json_object("j", f"$.{name}")
+    return rows.select("job_id", "source", field("title").alias("title"), field("salary").alias("salary"),
+                       F.length(F.coalesce(field("description"), field("snippet"))).cast("long").alias("body_chars"))

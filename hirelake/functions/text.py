@@ -7,19 +7,23 @@ from pyspark.sql import functions as F
 
 from hirelake.functions.regex import PG_SPACE_CHARS
 
+# The cleaning patterns.
 _HTML_TAG = "<[^>]+>"
-_LINE_BREAKS = "[\\r\\n\\t]+"
+_LINE_BREAKS = "\r\n\t"
 _MULTI_SPACE = "[" + PG_SPACE_CHARS + "]{2,}"
 
 
 def strip_html(text: Column) -> Column:
-    """Every ``<...>`` tag becomes one space."""
-    return F.regexp_replace(text, _HTML_TAG, " ")
+    """Every ``<...>`` tag becomes one space. Only the text up to its last ``>`` is
+    searched: behind it no tag can end, and a row of ``<`` would be scanned once each."""
+    tail = F.substring_index(text, ">", -1)
+    head = F.left(text, F.length(text) - F.length(tail))
+    return F.concat(F.regexp_replace(head, _HTML_TAG, " "), tail)
 
 
 def flatten_whitespace(text: Column) -> Column:
     """CR/LF/TAB runs to a space, ``&nbsp;`` to a space, 2+ spaces to one; no trim."""
-    t = F.regexp_replace(text, _LINE_BREAKS, " ")
+    t = F.translate(text, _LINE_BREAKS, "   ")  # runs collapse in the last step
     t = F.replace(t, F.lit("&nbsp;"), F.lit(" "))
     return F.regexp_replace(t, _MULTI_SPACE, " ")
 

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 # Search keywords in collection order, landing country.
 JOB_KEYWORDS = ["Data Engineer", "Data Analyst", "Backend", "Cloud", "DevOps"]
 TARGET_COUNTRY = "austria"
-ENVELOPE_CHUNK = 1000  # consecutive fetch positions per envelope (bounds its size)
+ENVELOPE_CHUNK = 200  # consecutive fetch positions per envelope (bounds its size)
 
 
 def bucket_keyword(title: Column, keywords: list[str] = JOB_KEYWORDS) -> Column:
@@ -22,31 +22,61 @@ def keyword_rank(keyword: Column, keywords: list[str] = JOB_KEYWORDS) -> Column:
     return F.array_position(F.array(*[F.lit(k) for k in keywords]), keyword).cast("int")
 
 
+def tag_first_seen(log: DataFrame, boardless: str = "arbeitnow") -> DataFrame:
+    """Fetched rows with ``n_seen`` (1 for the first sight of an id within its source over
+    keyword order, page, position) and ``title_keyword``. The board without keyword search
+    has no keyword order. One window over all sources."""
+    rank = F.when(F.col("source") == boardless, F.lit(0)).otherwise(F.col("keyword_rank"))
+    w = Window.partitionBy("source", "job_key").orderBy(rank, "page", "position", "fetch_seq")
+    return log.withColumns({"n_seen": F.row_number().over(w), "title_keyword": bucket_keyword(F.col("title"))})
+
+
+def kept_rows(tagged: DataFrame, boardless: str = "arbeitnow") -> DataFrame:
+    """First sights; those of the board without keyword search only under the keyword that
+    their title contains."""
+    own = F.col("source") == boardless
+    kept = tagged.filter((F.col("n_seen") == 1) & (~own | F.col("title_keyword").isNotNull()))
+    return kept.withColumn("keyword", F.when(own, F.col("title_keyword")).otherwise(F.col("keyword")))
+
+
 def wrap_envelope(jobs: DataFrame, chunk_col: str = "fetch_seq",
                   chunk: int = ENVELOPE_CHUNK) -> DataFrame:
     """Envelopes ``(source, country, keyword, part, total_records, jobs)``: jobs of a
-    (source, keyword) grouped in parts of consecutive fetch positions, so no envelope
-    outgrows ``chunk`` jobs; empty groups produce nothing."""
+    (source, keyword) in parts of consecutive fetch positions, so no envelope outgrows
+    ``chunk`` jobs; ``total_records`` is that of the whole (source, keyword) on every part.
+    Empty groups produce nothing."""
+    keys = ["source", "country", "keyword"]
     part = F.floor(F.col(chunk_col) / F.lit(chunk)).cast("long")
-    return (jobs.withColumn("part", part)
-            .groupBy("source", "country", "keyword", "part")
-            .agg(F.count(F.lit(1)).alias("total_records"),
-                 F.array_sort(F.collect_list(F.struct(F.col(chunk_col).alias("seq"),
-                                                      F.col("raw_data").alias("raw"))),
-                              lambda a, b: F.when(a["seq"] < b["seq"], -1)
-                              .when(a["seq"] > b["seq"], 1).otherwise(0)).alias("_jobs"))
-            .withColumn("jobs", F.transform("_jobs", lambda s: s["raw"]))
-            .drop("_jobs"))
-
-
-def collection_counters(fetched: DataFrame, kept: DataFrame) -> DataFrame:
-    """Per (source, keyword, page): fetched rows, kept rows, duplicates skipped, and a
-    running total of kept rows over pages."""
-    f = fetched.groupBy("source", "keyword", "page").agg(F.count(F.lit(1)).alias("n_fetched"))
-    k = kept.groupBy("source", "keyword", "page").agg(F.count(F.lit(1)).alias("n_kept"))
-    w = (Window.partitionBy("source", "keyword").orderBy("page")
-         .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    return (f.join(k, ["source", "keyword", "page"], "left")
-            .withColumn("n_kept", F.coalesce(F.col("n_kept"), F.lit(0)))
-            .withColumn("n_skipped", F.col("n_fetched") - F.col("n_kept"))
-            .withColumn("running_total", F.sum("n_kept").over(w)))
+    parts = (jobs.withColumn("part", part).groupBy(*keys, "part")
+             .agg(F.count(F.lit(1)).alias("_n"),
+                  F.array_sort(F.collect_list(F.struct(F.col(chunk_col).alias("seq"),
+                                                       F.col("raw_data").alias("raw"))),
+                               lambda a, b: F.when(a["seq"] < b["seq"], -1)
+                               .when(a["seq"] > b["seq"], 1).otherwise(0)).alias("_jobs")))
+    totals = jobs.groupBy(*keys).agg(F.count(F.lit(1)).alias("total_records"))
+    same = [F.col(f"p.{k}").eqNullSafe(F.col(f"t.{k}")) for k in keys]
+    return parts.alias("p").join(totals.alias("t"), same).select(
+        *[F.col(f"p.{k}") for k in keys], "part", "total_records",
+        F.transform("_jobs", lambda s: s["raw"]).alias("jobs"))
+
+
+def collection_counters(tagged: DataFrame, boardless: str = "arbeitnow") -> DataFrame:
+    """Per (source, searched keyword, page): fetched rows, first sights kept, repeated ids and
+    first sights whose title has no keyword (these three add up to the fetched rows), the kept
+    rows so far over the pages, and the unique ids of the source. The board without keyword
+    search has NULL as keyword."""
+    own = F.col("source") == boardless
+    first = F.col("n_seen") == 1
+    unmatched = first & own & F.col("title_keyword").isNull()
+    counted = (tagged.withColumn("keyword", F.when(~own, F.col("keyword")))
+               .groupBy("source", "keyword", "page")
+               .agg(F.count(F.lit(1)).alias("n_fetched"),
+                    F.count_if(first & ~unmatched).alias("n_kept"),
+                    F.count_if(~first).alias("n_duplicate"),
+                    F.count_if(unmatched).alias("n_unmatched"),
+                    F.count_if(first).alias("_n_first")))
+    pages = (Window.partitionBy("source", "keyword").orderBy("page")
+             .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    return (counted.withColumn("running_total", F.sum("n_kept").over(pages))
+            .withColumn("n_unique_ids", F.sum("_n_first").over(Window.partitionBy("source")))
+            .drop("_n_first"))

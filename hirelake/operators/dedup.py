@@ -1,27 +1,50 @@
 """Keep-one-row-per-key operators (latest posting, first-seen id, cross-source).
 
-All are ``row_number() == 1`` over a window; Spark plans that as a window group
+``keep_first`` is ``row_number() == 1`` over a window; Spark plans that as a window group
 limit that already drops all but the first row per key inside each input partition
 before the shuffle, so a hot key costs one row per partition, not its full size.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from hirelake.session import scratch_path
+
 
 def keep_first(df: DataFrame, keys: list[Column | str], order: list[Column]) -> DataFrame:
     w = Window.partitionBy(*keys).orderBy(*order)
     return df.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") == 1).drop("_rn")
 
 
+def older_rows(df: DataFrame, keys=("job_id", "source"), ts: str = "extracted_at",
+               tie_break: tuple[str, ...] = ("_source_file", "_source_pos")) -> DataFrame:
+    """Keys and lineage of the rows that a newer row of their key replaces; a NULL timestamp
+    sorts first, as in PostgreSQL DESC."""
+    order = [F.col(ts).desc_nulls_first()] + [F.col(c).asc_nulls_last() for c in tie_break]
+    w = Window.partitionBy(*keys).orderBy(*order)
+    narrow = df.select(*dict.fromkeys([*keys, ts, *tie_break]))
+    return narrow.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") > 1).select(*keys, *tie_break)
+
+
 def latest_per_key(df: DataFrame, keys=("job_id", "source"), ts: str = "extracted_at",
                    tie_break: tuple[str, ...] = ("_source_file", "_source_pos")) -> DataFrame:
-    """Newest row per key; a NULL timestamp sorts first, as in PostgreSQL DESC.
-    Lineage columns break ties, so the result does not depend on input order."""
-    order = [F.col(ts).desc_nulls_first()] + [F.col(c).asc_nulls_last() for c in tie_break]
-    return keep_first(df, list(keys), order)
+    """Newest row per key. Lineage columns break ties, so the result does not depend on input
+    order; they must tell the rows of a key apart.
+
+    Only keys, time and lineage are shuffled. The rows replaced are written first, so their
+    size is known when the wide rows are joined against them: few are broadcast, many
+    shuffle both sides."""
+    older = older_rows(df, keys, ts, tie_break)
+    path = scratch_path(df.sparkSession, "older-rows")
+    older.write.parquet(path)
+    gone = df.sparkSession.read.schema(older.schema).parquet(path)
+    gone = gone.withColumnsRenamed({c: f"_gone_{c}" for c in gone.columns})
+    same = [F.col(c).eqNullSafe(F.col(f"_gone_{c}")) for c in (*keys, *tie_break)]
+    return df.join(gone, reduce(lambda a, b: a & b, same), "left_anti")
 
 
 def dedup_first_seen(df: DataFrame, keys=("source", "job_key"),
@@ -37,9 +60,14 @@ def cross_source_key(title: Column, company: Column, city: Column) -> list[Colum
 
 def cross_source_dedup(df: DataFrame, title="job_title", company="company_name",
                        city="job_city", ts="job_posted_at_utc") -> DataFrame:
-    """One row for the same job listed on several boards: composite key of title,
-    company and city; newest posting wins, then source and job id."""
+    """The same job listed on several boards (title, company and city agree): the board of
+    the newest posting keeps its rows, those of other boards go. Postings of one board are
+    never merged, and a posting without title, company or city is no one's copy. A NULL date
+    is oldest; source and job id break ties."""
     keys = cross_source_key(F.col(title), F.col(company), F.col(city))
-    order = [F.col(ts).desc_nulls_first(), F.col("source").asc_nulls_last(),
-             F.col("job_id").asc_nulls_last()]
-    return keep_first(df, keys, order)
+    complete = keys[0].isNotNull() & keys[1].isNotNull() & keys[2].isNotNull()
+    own = F.when(~complete, F.concat_ws("/", "source", "job_id"))  # spreads incomplete rows
+    w = Window.partitionBy(*keys, own).orderBy(F.col(ts).desc_nulls_last(), F.col("source").asc_nulls_last(),
+                                               F.col("job_id").asc_nulls_last())
+    return (df.withColumn("_board", F.first("source").over(w))
+            .filter(~complete | F.col("source").eqNullSafe(F.col("_board"))).drop("_board"))

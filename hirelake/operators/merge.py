@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -40,13 +41,15 @@ def load_audit(batch: DataFrame, new: DataFrame) -> DataFrame:
 
 def insert_only_merge(target_path: str, batch: DataFrame, keys=KEY) -> DataFrame:
     """Append the new rows of ``batch`` to the parquet table at ``target_path``; returns
-    the appended rows (read back from the written files). Re-running with the same
-    batch appends nothing."""
+    the table. Re-running with the same batch appends nothing. Only a path that does not
+    exist is an empty target; any other failure to read it is raised before writing."""
     spark = batch.sparkSession
     try:
-        target = spark.read.parquet(target_path)
-    except Exception:  # first load: empty target
+        target = spark.read.schema(batch.schema).parquet(target_path)
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
         target = None
     new = first_per_key(batch, keys) if target is None else new_rows(target, batch, keys)
     new.write.mode("append").parquet(target_path)
-    return spark.read.parquet(target_path)
+    return spark.read.schema(batch.schema).parquet(target_path)

@@ -8,16 +8,6 @@ from pyspark.sql import functions as F
 CHECK_COLUMNS = ["table_name", "column_name", "check_name", "failures"]
 
 
-def check_unique(df: DataFrame, col: str) -> DataFrame:
-    """Values occurring more than once (NULLs ignored): one row per such value."""
-    return (df.filter(F.col(col).isNotNull()).groupBy(col).count()
-            .filter(F.col("count") > 1))
-
-
-def check_not_null(df: DataFrame, col: str) -> DataFrame:
-    return df.filter(F.col(col).isNull())
-
-
 def table_checks(name: str, df: DataFrame, unique: list[str], not_null: list[str]) -> DataFrame:
     """All checks of one table in one pass per unique column: a group-by on the key
     gives duplicate values and NULL rows; other not-null counts ride along."""

@@ -29,6 +29,10 @@ YEARLY_FLOOR = 10000
 
 AMOUNT = "decimal(38,4)"
 
+# The suffix pattern as searched: same matches, but a run of digits is entered at its start
+# only, and blanks before the currency are tried once, so long runs cost linear time.
+_SUFFIX_SEARCH = "(?<![0-9])" + SALARY_SUFFIX.replace(r"(k)?\s*(?:[-–]", r"(k)?(?:\s*[-–]", 1)
+
 
 def _amount(number: Column, k_flag: Column) -> Column:
     """``65,5`` + ``k`` -> 65500; ``65.000`` -> 65000; NULL when there is no number."""
@@ -42,7 +46,7 @@ def _amount(number: Column, k_flag: Column) -> Column:
 def with_salary_matches(df: DataFrame, text: str = "salary_text") -> DataFrame:
     """Add the two first matches (``_sal_pre``, ``_sal_suf``; '' when absent)."""
     return df.withColumns({"_sal_pre": first_match(F.col(text), SALARY_PREFIX),
-                           "_sal_suf": first_match(F.col(text), SALARY_SUFFIX)})
+                           "_sal_suf": first_match(F.col(text), _SUFFIX_SEARCH)})
 
 
 def salary_fields(pre_match: Column, suf_match: Column) -> dict[str, Column]:

@@ -1,95 +1,134 @@
 """Skill matching: postings x taxonomy on ``text ~* pattern`` (a theta join).
 
-The taxonomy is a seed of a few dozen rows. Up to ``UNROLL_LIMIT`` patterns are
-compiled into the plan itself: one projection tests every pattern with a literal
-pre-filter (``hirelake.functions.regex``) and explodes the hits, so each regex is
-compiled once per task and most (posting, pattern) pairs cost one byte search.
-Larger taxonomies use broadcast nested-loop joins over chunks of at most
-``BROADCAST_PATTERNS`` patterns each, so no broadcast grows beyond that bound.
+The taxonomy is a seed file. Each alternative of a pattern has, where its form allows it, an
+entry word: the first run of word characters that any match must begin a word with. The
+distinct words of a text are intersected with all entry words (one hash lookup per word,
+however many patterns there are), which gives the candidate patterns; only those run as
+regular expressions. Alternatives without an entry word make their pattern a candidate
+for every text. Candidates are a superset, so the result is exact; everything stays in the
+JVM and one scan of the postings serves seeds of every size.
 """
 
 from __future__ import annotations
 
-import math
-
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from hirelake.functions import literals
-from hirelake.session import ship_package
-from hirelake.functions.regex import ci_pattern, fold_hazard, needles, regex_any_ci
+from hirelake.functions.regex import _alternatives, _split_top, ci_pattern, fold_hazard
 
-UNROLL_LIMIT = 512
-BROADCAST_PATTERNS = 2048
+WORDS = r"(?U)[\w]+"
 
 
-def _unrolled(jobs: DataFrame, rows: list, id_col: str, text_col: str,
-              multi_literal: bool = True) -> DataFrame:
-    text = F.col(text_col)
-    prepared = jobs.select(F.col(id_col), text, F.lower(text).alias("_lc"),
-                           fold_hazard(text).alias("_hz"))
-    needle_ids: dict[str, list[int]] = {}
-    for i, (_, _, pattern) in enumerate(rows):
-        for x in needles(pattern) or []:
-            needle_ids.setdefault(x, []).append(i)
-    if multi_literal and literals.AVAILABLE and needle_ids:
-        # one Aho-Corasick pass finds every pattern's literals; regexes stay in the JVM
-        prepared = prepared.withColumn("_cand", literals.literal_hits("_lc", needle_ids))
-
-        def test(i: int, pattern: str):
-            java = ci_pattern(pattern)
-            if needles(pattern) is None or "'" in java:
-                return regex_any_ci(text_col, pattern, "_lc", "_hz")
-            return F.expr(f"((array_contains(`_cand`, {i}) OR `_hz`) AND (`{text_col}` RLIKE r'{java}'))")
+def _is_word(ch: str) -> bool:
+    return ch.isalnum() or ch == "_"
+
+
+def entry_word(alternative: str) -> tuple[str, bool] | None:
+    """(word, whole): any match of the alternative holds a word equal to ``word`` (whole) or
+    beginning with it; None when that cannot be told. Reads the literal characters after a
+    leading word boundary; ``word`` is lower case."""
+    p = alternative
+    if p.startswith(r"\y"):
+        p = p[2:]
+    elif p.startswith(r"(?<!\w)"):
+        p = p[7:]
     else:
-        def test(i: int, pattern: str):
-            return regex_any_ci(text_col, pattern, "_lc", "_hz")
-    hits = F.array(*[
-        F.when(test(i, pattern),
-               F.struct(F.lit(cat).alias("skill_category"), F.lit(name).alias("skill_name")))
-        for i, (cat, name, pattern) in enumerate(rows)])
-    return (prepared
-            .select(F.col(id_col), F.explode(F.filter(hits, lambda h: h.isNotNull())).alias("_s"))
-            .select(id_col, "_s.skill_category", "_s.skill_name"))
+        return None
+    word, i = "", 0
+    while i < len(p):
+        c, size = p[i], 1
+        if c == "\\" and i + 1 < len(p):
+            if p[i + 1] == "y":
+                return (word.lower(), True) if word else None
+            if p[i + 1].isalnum():
+                break
+            c, size = p[i + 1], 2
+        elif c in "[(.^$*+?{|":
+            break
+        follows = p[i + size:i + size + 1]
+        if follows in ("?", "*", "{"):  # this character may be missing
+            break
+        if _is_word(c):
+            word += c
+        elif word:
+            return word.lower(), True
+        i += size
+        if follows == "+":
+            break
+    return (word.lower(), False) if word else None
 
 
-_java_udf = F.udf(ci_pattern, T.StringType())
-_needles_udf = F.udf(lambda p: needles(p) or [""], T.ArrayType(T.StringType()))
+def entry_words(pattern: str) -> list[tuple[str, bool]] | None:
+    """Entry words of all alternatives, or None if one has none."""
+    found = []
+    for alt in _bounded_alternatives(pattern):
+        entry = entry_word(alt)
+        if entry is None:
+            return None
+        found.append(entry)
+    return found
 
 
-def _joined(jobs: DataFrame, taxonomy: DataFrame, n: int, id_col: str, text_col: str) -> DataFrame:
-    # twice as many hash chunks as strictly needed: a chunk then averages half the bound
-    chunks = max(1, math.ceil(2 * n / BROADCAST_PATTERNS))
-    text = F.col(text_col)
-    prepared = jobs.select(F.col(id_col), text, F.lower(text).alias("_lc"),
-                           fold_hazard(text).alias("_hz"))
-    tax = taxonomy.select(
-        F.col("category").alias("skill_category"), F.col("standard_name").alias("skill_name"),
-        _java_udf("regex_pattern").alias("_java"), _needles_udf("regex_pattern").alias("_needles"),
-        F.pmod(F.xxhash64("standard_name", "regex_pattern"), F.lit(chunks)).alias("_chunk"))
-    cond = ((F.exists("_needles", lambda x: F.col("_lc").contains(x)) | F.col("_hz"))
-            & F.regexp(text, F.col("_java")))
-    parts = [prepared.join(F.broadcast(tax.filter(F.col("_chunk") == i)), cond)
-             .select(id_col, "skill_category", "skill_name")
-             for i in range(chunks)]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+def _bounded_alternatives(pattern: str) -> list[str]:
+    """Top-level alternatives, their own boundaries kept; boundaries around a group of
+    alternatives are handed to each."""
+    parts = _split_top(pattern)
+    if len(parts) > 1:
+        return [a for part in parts for a in _bounded_alternatives(part)]
+    lead = r"\y" if pattern.startswith(r"\y") else ""
+    inner = _alternatives(pattern)
+    return [pattern] if len(inner) == 1 else [lead + a for a in inner]
+
+
+def _beginnings(length: int) -> Column:
+    """Words of the row cut to their first ``length`` characters; shorter ones are left out."""
+    return F.transform(F.filter("_words", lambda w: F.length(w) >= length), lambda w: F.substring(w, 1, length))
+
+
+def _patterns_of(words: Column, table: dict[str, list[int]]) -> Column:
+    """Ids of the patterns whose entry word is among the words."""
+    keys = sorted(table)
+    place = F.map_from_arrays(F.array(*[F.lit(k) for k in keys]),
+                              F.array(*[F.array(*[F.lit(i) for i in table[k]]) for k in keys]))
+    hit = F.array_intersect(words, F.array(*[F.lit(k) for k in keys]))
+    return F.flatten(F.transform(hit, lambda w: F.element_at(place, w)))
+
+
+def _candidates(entries: dict[str, list[int]], prefixes: dict[str, list[int]], always: list[int],
+                everything: int) -> Column:
+    """Ids of the patterns to try on a row with ``_words`` and ``_hz``."""
+    ids = [F.array(*[F.lit(i) for i in always]).cast("array<int>")]
+    if entries:
+        ids.append(_patterns_of(F.col("_words"), entries))
+    if prefixes:
+        lengths = sorted({len(w) for w in prefixes})
+        ids.append(_patterns_of(F.flatten(F.array(*[_beginnings(n) for n in lengths])), prefixes))
+    every = F.sequence(F.lit(0), F.lit(everything - 1))
+    return F.when(F.col("_hz"), every).otherwise(F.array_distinct(F.concat(*ids)))
 
 
 def skill_match(jobs: DataFrame, taxonomy: DataFrame, id_col: str = "job_id",
-                text_col: str = "searchable_text", unroll_limit: int = UNROLL_LIMIT,
-                multi_literal: bool = True) -> DataFrame:
-    """(id, skill_category, skill_name) for every taxonomy pattern the text matches,
-    one row per distinct triple."""
-    ship_package(jobs.sparkSession)  # the UDF paths below run on Python workers
-    # size check and read in one step: at most unroll_limit + 1 seed rows reach the driver
-    head = taxonomy.select("category", "standard_name", "regex_pattern").limit(unroll_limit + 1).collect()
-    if len(head) <= unroll_limit:
-        rows = [(r["category"], r["standard_name"], r["regex_pattern"]) for r in head]
-        pairs = _unrolled(jobs, rows, id_col, text_col, multi_literal)
-    else:
-        pairs = _joined(jobs, taxonomy, taxonomy.count(), id_col, text_col)
-    return pairs.distinct()
+                text_col: str = "searchable_text") -> DataFrame:
+    """(id, skill_category, skill_name) for every taxonomy pattern the text matches, one row
+    per distinct triple. The seed is read to the driver: a file kept by hand, not data."""
+    rows = [tuple(r) for r in taxonomy.select("category", "standard_name", "regex_pattern").collect()]
+    if not rows:
+        return jobs.select(id_col, F.lit("").alias("skill_category"), F.lit("").alias("skill_name")).limit(0)
+    entries: dict[str, list[int]] = {}
+    prefixes: dict[str, list[int]] = {}
+    always = []
+    for i, (_, _, pattern) in enumerate(rows):
+        found = entry_words(pattern)
+        if found is None:
+            always.append(i)
+        for word, whole in found or []:
+            (entries if whole else prefixes).setdefault(word, []).append(i)
+    text = F.col(text_col)
+    words = F.array_distinct(F.regexp_extract_all(F.lower(text), F.lit(WORDS), F.lit(0)))
+    prepared = jobs.select(F.col(id_col), text.alias("_text"), fold_hazard(text).alias("_hz"), words.alias("_words"))
+    tried = prepared.select(id_col, "_text", F.explode(_candidates(entries, prefixes, always, len(rows))).alias("_i"))
+    patterns = F.array(*[F.lit(ci_pattern(p)) for _, _, p in rows])
+    names = F.array(*[F.struct(F.lit(c).alias("skill_category"), F.lit(n).alias("skill_name")) for c, n, _ in rows])
+    hits = tried.filter(F.regexp("_text", F.get(patterns, F.col("_i"))))
+    return hits.select(id_col, F.get(names, F.col("_i")).alias("_s")).select(
+        id_col, "_s.skill_category", "_s.skill_name").distinct()

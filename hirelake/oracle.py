@@ -175,7 +175,7 @@ def silver_ctes() -> str:
              CASE WHEN source = 'adzuna' THEN area[1] END AS area_first,
              CASE WHEN source = 'adzuna' THEN area[-1] END AS area_last,
              CASE WHEN source = 'arbeitnow' THEN location END AS location,
-             'https://jobs.example/' || job_id AS redirect_url,
+             'https://jobs.example/' || doc_id AS redirect_url,
              posted_at AS job_posted_at,
              CASE WHEN source = 'adzuna' THEN contract_time END AS contract_time,
              CASE WHEN source = 'jooble' THEN jtype END AS jtype,

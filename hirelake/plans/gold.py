@@ -74,11 +74,14 @@ def star_query(fact: DataFrame, companies: DataFrame, dates: DataFrame, bridge:
                skills: DataFrame) -> DataFrame:
     """Fact joined to its dimensions: left on company and date (a posting may have no
     company row or a date outside the calendar), inner through the bridge to skills.
-    The date dimension is bounded by its calendar range and is broadcast; the data-
-    sized dimensions are left to the planner, which broadcasts them only when their
-    measured size is under the threshold."""
-    return (fact
-            .join(companies, "company_id", "left")
+    Postings without a company share one marker key that no company has: they pass by
+    the company join instead of meeting in one task. The date dimension is bounded by its
+    calendar range and is broadcast; the data-sized dimensions are left to the planner,
+    which broadcasts them only when their measured size is under the threshold."""
+    nameless = F.col("company_id") == surrogate_key(F.lit(None).cast("string"))
+    named = fact.filter(~nameless).join(companies, "company_id", "left")
+    rest = fact.filter(nameless).withColumn("company_name", F.lit(None).cast("string"))
+    return (named.unionByName(rest)
             .join(F.broadcast(dates), "date_id", "left")
             .join(bridge, "job_id")
             .join(skills, "skill_id"))

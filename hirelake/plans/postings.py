@@ -93,7 +93,8 @@ JOOBLE_TYPES = ["Full-time", "Part-time", "Temporary", None]
 JOB_TYPES = [["senior", "full time"], ["berufserfahren"], ["entry level", "internship"], []]
 EPOCH_START = "2024-01-01 00:00:00"
 POSTED_SPREAD_SECONDS = 1200 * 86400  # reaches into 2027: some dates have no dim_date row
-POSTED_STEP = 7919
+POSTED_STEP = 1_000_003  # spreads the dates over the whole range from a few hundred documents on
+NO_TITLE_EVERY, NO_BODY_EVERY, SHARED_ID_EVERY = 23, 29, 31  # remainders 5, 7 and 3
 EXTRACTED_AT = "2026-04-01 06:00:00"
 
 
@@ -120,15 +121,17 @@ def posting_columns(docs: DataFrame) -> DataFrame:
         + F.pmod(d * F.lit(POSTED_STEP), F.lit(POSTED_SPREAD_SECONDS)))
     extra = _pick(EXTRA_TEXT, _mod(d, len(EXTRA_TEXT)))
     body = F.when(extra == "", F.col("text")).otherwise(F.concat(F.col("text"), F.lit(" "), extra))
+    body = F.when(_mod(d, NO_BODY_EVERY) != 7, body)
     adzuna_paid = _mod(d, 4) == 1
     sal_min = 30000 + _mod(d, 40) * 1000
     keep = [c for c in ("_h",) if c in docs.columns]
     return docs.select(
         F.col("doc_id"), *keep,
-        d.cast("string").alias("job_id"),
+        # now and then the id that another board uses for the document before
+        F.when(_mod(d, SHARED_ID_EVERY) == 3, d - 1).otherwise(d).cast("string").alias("job_id"),
         _pick(SOURCES, _mod(d, 3)).alias("source"),
         _pick(KEYWORDS, _mod(d, 5)).alias("keyword"),
-        _pick(TITLES, _mod(d, len(TITLES))).alias("title"),
+        F.when(_mod(d, NO_TITLE_EVERY) != 5, _pick(TITLES, _mod(d, len(TITLES)))).alias("title"),
         F.when(_mod(d, 17) != 0, F.concat(F.lit("Company "), F.upper(F.col("source"))))
         .alias("company"),
         body.alias("body"),
@@ -162,7 +165,7 @@ def payload(p: DataFrame) -> Column:
         F.col("contract_time"),
     ))
     jooble = F.to_variant_object(F.struct(
-        F.col("doc_id").alias("id"),
+        F.col("job_id").cast("bigint").alias("id"),
         F.col("title"),
         F.col("company"),
         F.col("body").alias("snippet"),
@@ -222,12 +225,13 @@ def oracle_postings_sql() -> str:
     extra = _sql_pick(EXTRA_TEXT, m(len(EXTRA_TEXT)))
     return f"""
     SELECT doc_id,
-           CAST(doc_id AS VARCHAR) AS job_id,
+           CAST(CASE WHEN {m(SHARED_ID_EVERY)} = 3 THEN doc_id - 1 ELSE doc_id END AS VARCHAR) AS job_id,
            {_sql_pick(SOURCES, m(3))} AS source,
            {_sql_pick(KEYWORDS, m(5))} AS keyword,
-           {_sql_pick(TITLES, m(len(TITLES)))} AS title,
+           CASE WHEN {m(NO_TITLE_EVERY)} <> 5 THEN {_sql_pick(TITLES, m(len(TITLES)))} END AS title,
            CASE WHEN {m(17)} <> 0 THEN 'Company ' || upper(documents.source) END AS company,
-           CASE WHEN {extra} = '' THEN text ELSE text || ' ' || {extra} END AS body,
+           CASE WHEN {m(NO_BODY_EVERY)} <> 7 THEN
+                CASE WHEN {extra} = '' THEN text ELSE text || ' ' || {extra} END END AS body,
            {_sql_pick(SALARY_TEXTS, m(len(SALARY_TEXTS)))} AS salary,
            CASE WHEN {m(4)} = 1 THEN 30000 + {m(40)} * 1000 END AS salary_min,
            CASE WHEN {m(4)} = 1 THEN 30000 + {m(40)} * 1000 + 12000 END AS salary_max,
@@ -297,7 +301,7 @@ def oracle_fetch_log_sql() -> str:
            CAST(((doc_id // {PAGE_SIZE}) % {MAX_PAGES}) + 1 AS INTEGER) AS page,
            CAST({m(PAGE_SIZE)} AS INTEGER) AS position,
            doc_id AS fetch_seq,
-           {_sql_pick(TITLES, m(len(TITLES)))} AS title,
+           CASE WHEN {m(NO_TITLE_EVERY)} <> 5 THEN {_sql_pick(TITLES, m(len(TITLES)))} END AS title,
            CASE WHEN {src} = 'jooble' THEN CAST({jooble_id} AS VARCHAR) ELSE {hex16} END AS job_key,
            CASE WHEN {src} = 'jooble' THEN {jooble_id} END AS jooble_id
     FROM documents

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -43,19 +42,28 @@ def build_session(master: str | None = None, app: str = "hirelake",
 def apply_sql_defaults(spark: SparkSession) -> None:
     """Pin the runtime SQL settings results depend on (safe on a shared session)."""
     spark.conf.set("spark.sql.session.timeZone", "UTC")
+    # of a key that a payload repeats the last value counts
+    spark.conf.set("spark.sql.variant.allowDuplicateKeys", "true")
+
+
+_LOCAL_ROOTS: dict[str, str] = {}
+_SCRATCH: dict[str, list[str]] = {}
 
 
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
-    On a cluster this setting names shared storage and is only read here. Only when
-    it is unset (local tests) a private folder is created and recorded in the
-    session, so later calls agree.
+    This setting names shared storage and is only read here. Where it is unset a local
+    master gets one private folder per application; on a cluster that is an error,
+    because executors do not see the driver's folders.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
-        root = tempfile.mkdtemp(prefix="hirelake-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", root)
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
+        app = spark.sparkContext.applicationId
+        root = _LOCAL_ROOTS.setdefault(app, "") or tempfile.mkdtemp(prefix="hirelake-ckpt-")
+        _LOCAL_ROOTS[app] = root
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(root)
     return root
@@ -63,39 +71,17 @@ def checkpoint_root(spark: SparkSession) -> str:
 
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh sub-folder of the checkpoint root for written intermediate tables."""
-    root = checkpoint_root(spark).rstrip("/")
-    return f"{root}/{name}-{uuid.uuid4().hex[:12]}"
-
-
-def default_parallelism(spark: SparkSession) -> int:
-    try:
-        return max(1, int(spark.sparkContext.defaultParallelism))
-    except Exception:  # pragma: no cover - connect sessions
-        return int(os.environ.get("BENCH_CPUS", "8"))
-
-
-_SHIPPED: set[str] = set()
-
-
-def ship_package(spark: SparkSession) -> None:
-    """Make ``hirelake`` importable by Python workers (for its Python UDF paths): zip the
-    package into the shared checkpoint folder once per application and add it with
-    ``addPyFile`` (the programmatic form of ``--py-files``)."""
-    import zipfile
-    sc = spark.sparkContext
-    app = sc.applicationId
-    if app in _SHIPPED:
-        return
-    pkg = os.path.dirname(os.path.abspath(__file__))
-    target = f"{checkpoint_root(spark).rstrip('/')}/hirelake-{uuid.uuid4().hex[:8]}.zip"
-    local = target[len("file:"):] if target.startswith("file:") else target
-    if "://" in local:  # remote shared storage: build locally, the file system API copies it
-        local = tempfile.mkdtemp(prefix="hl-pkg-") + "/hirelake.zip"
-    with zipfile.ZipFile(local, "w") as zf:
-        for root, _, files in os.walk(pkg):
-            for f in files:
-                if f.endswith(".py"):
-                    full = os.path.join(root, f)
-                    zf.write(full, os.path.relpath(full, os.path.dirname(pkg)))
-    sc.addPyFile(local)
-    _SHIPPED.add(app)
+    path = f"{checkpoint_root(spark).rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
+    _SCRATCH.setdefault(spark.sparkContext.applicationId, []).append(path)
+    return path
+
+
+def drop_scratch(spark: SparkSession) -> int:
+    """Delete the scratch folders handed out so far; returns their number. Only for a caller
+    that no longer reads any result built on them."""
+    paths = _SCRATCH.pop(spark.sparkContext.applicationId, [])
+    jvm = spark.sparkContext._jvm
+    for path in paths:
+        place = jvm.org.apache.hadoop.fs.Path(path)
+        place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)
+    return len(paths)

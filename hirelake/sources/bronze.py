@@ -25,8 +25,9 @@ BRONZE_SCHEMA = T.StructType([
 
 
 def bronze_rows(df: DataFrame, ingested_at: Column | None = None) -> DataFrame:
-    """Project to the bronze schema: ``ingested_at`` defaults to now, and rows that
-    break a NOT NULL constraint (key or payload) are not bronze rows."""
+    """Project to the bronze schema: ``ingested_at`` defaults to now. Rows without key or
+    payload break its NOT NULL constraints; the load reports them before
+    (``landing.rejected_rows``), here they are kept out."""
     out = df.select(
         F.col("job_id").cast("string").alias("job_id"),
         F.col("source").cast("string").alias("source"),
@@ -42,12 +43,6 @@ def bronze_rows(df: DataFrame, ingested_at: Column | None = None) -> DataFrame:
                       & F.col("raw_data").isNotNull())
 
 
-def constraint_violations(df: DataFrame) -> DataFrame:
-    """Rows a NOT NULL constraint of bronze would reject."""
-    return df.filter(F.col("job_id").isNull() | F.col("source").isNull()
-                     | F.col("raw_data").isNull())
-
-
 def materialize(df: DataFrame, path: str, as_view: str | None = None,
                 partition_by: list[str] | None = None) -> DataFrame:
     """Full-refresh a layer table at ``path`` (parquet) and read it back, which cuts

@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from hirelake.functions.json_paths import json_text
+from hirelake.session import apply_sql_defaults
 
 ENVELOPE_SCHEMA = T.StructType([
     T.StructField("extracted_at", T.StringType()),
@@ -36,6 +37,10 @@ ENVELOPE_SCHEMA = T.StructType([
 PARTITION_COLUMNS = ["p_source", "p_country", "year", "month", "day", "keyword_slug"]
 
 
+# Tasks that may write into one folder.
+FOLDER_WRITERS = 16
+
+
 def day_glob(root: str, day: str | None = None, source: str = "*", country: str = "*",
              layout: str = "spark") -> str:
     """Path glob of one day's files (``day`` as YYYY-MM-DD) under any source/country.
@@ -46,14 +51,16 @@ def day_glob(root: str, day: str | None = None, source: str = "*", country: str
     if layout == "plain":
         return f"{r}/{source}/{country}/{y}/{m}/{d}/*.json"
     return (f"{r}/p_source={source}/p_country={country}/year={y}/month={m}/day={d}/"
-            f"keyword_slug=*/*.json")
+            f"keyword_slug=*/*")
 
 
 def read_landing(spark: SparkSession, root: str, day: str | None = None,
                  layout: str = "spark") -> DataFrame:
     """Raw landing rows with their file path; unparsable files are kept as
     ``_corrupt_record`` rows (see ``split_corrupt``). Envelope files are one JSON
-    document each (multi-line); job-per-line files are JSON lines."""
+    document each (multi-line); job-per-line files are JSON lines. Of a key that a
+    payload repeats the last value counts (``apply_sql_defaults``)."""
+    apply_sql_defaults(spark)
     return (spark.read.schema(ENVELOPE_SCHEMA)
             .option("multiLine", layout == "plain").option("mode", "PERMISSIVE")
             .option("columnNameOfCorruptRecord", "_corrupt_record")
@@ -63,8 +70,9 @@ def read_landing(spark: SparkSession, root: str, day: str | None = None,
 
 def split_corrupt(df: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(good rows, corrupt rows): a bad file is reported, the others still load.
-    A corrupt row has the raw text set and no parsed envelope field."""
-    bad = F.col("_corrupt_record").isNotNull() & F.col("source").isNull()
+    A record that did not parse to its end is corrupt unless its jobs are there whole
+    (only a field beside them was of the wrong type)."""
+    bad = F.col("_corrupt_record").isNotNull() & F.col("jobs").isNull() & F.col("job").isNull()
     return (df.filter(~bad).drop("_corrupt_record"),
             df.filter(bad).select("_source_file", "_corrupt_record"))
 
@@ -91,11 +99,16 @@ def _truthy_text(raw: Column, path: str) -> Column:
     return F.when(~falsy, txt)
 
 
-def natural_key(df: DataFrame) -> DataFrame:
-    """``job_id = str(id or slug)``; rows with neither are dropped."""
+def with_natural_key(df: DataFrame) -> DataFrame:
+    """``job_id = str(id or slug)``; NULL where a row has neither."""
     raw = F.col("raw_data")
     key = F.coalesce(_truthy_text(raw, "$.id"), _truthy_text(raw, "$.slug"))
-    return df.withColumn("job_id", key).filter(F.col("job_id").isNotNull())
+    return df.withColumn("job_id", key)
+
+
+def natural_key(df: DataFrame) -> DataFrame:
+    """``job_id = str(id or slug)``; rows with neither are dropped."""
+    return with_natural_key(df).filter(F.col("job_id").isNotNull())
 
 
 def keyword_slug(keyword: Column) -> Column:
@@ -114,20 +127,47 @@ def write_landing(jobs: DataFrame, root: str, extracted_at: Column | None = None
         F.col("source").alias("p_source"), F.col("country").alias("p_country"),
         F.date_format(ts, "yyyy").alias("year"), F.date_format(ts, "MM").alias("month"),
         F.date_format(ts, "dd").alias("day"), keyword_slug(F.col("keyword")).alias("keyword_slug"))
-    spark = jobs.sparkSession
-    prev = spark.conf.get("spark.sql.sources.partitionOverwriteMode", "static")
-    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-    try:
-        out.write.mode("overwrite").partitionBy(*PARTITION_COLUMNS).json(root)
-    finally:
-        spark.conf.set("spark.sql.sources.partitionOverwriteMode", prev)
+    # a folder's rows are gathered by a hash of folder and payload: few files per folder,
+    # and a folder with most of the rows is still written by many tasks
+    salt = F.pmod(F.xxhash64(F.col("job").cast("string")), F.lit(FOLDER_WRITERS))
+    (out.repartition(*PARTITION_COLUMNS, salt).write.mode("overwrite")
+     .option("partitionOverwriteMode", "dynamic").partitionBy(*PARTITION_COLUMNS).json(root))
+
+
+REJECT_REASONS = ("corrupt", "no_payload", "no_source", "no_key", "bad_timestamp")
+
+
+def judged_rows(raw: DataFrame) -> DataFrame:
+    """Every job of the landing rows, and every corrupt record, with ``reject_reason``: NULL
+    for a row that a bronze load receives, else the first reason that holds. ``raw_text`` is
+    the text of a corrupt record."""
+    good, bad = split_corrupt(raw)
+    rows = with_natural_key(explode_jobs(good))
+    stamp = F.col("extracted_at").try_cast("timestamp")
+    reason = (F.when(F.col("raw_data").isNull(), "no_payload")
+              .when(F.col("source").isNull(), "no_source")
+              .when(F.col("job_id").isNull(), "no_key")
+              .when(F.col("extracted_at").isNotNull() & stamp.isNull(), "bad_timestamp"))
+    judged = rows.select("job_id", "source", "keyword", "country", stamp.alias("extracted_at"), "raw_data",
+                         "_source_file", F.col("_source_pos").cast("long").alias("_source_pos"),
+                         F.lit(None).cast("string").alias("raw_text"), reason.alias("reject_reason"))
+    none = {c: F.lit(None).cast(judged.schema[c].dataType).alias(c) for c in judged.columns}
+    none |= {"_source_file": F.col("_source_file"), "raw_text": F.col("_corrupt_record").alias("raw_text"),
+             "reject_reason": F.lit("corrupt").alias("reject_reason")}
+    return judged.unionByName(bad.select(*[none[c] for c in judged.columns]))
+
+
+def accepted_rows(judged: DataFrame) -> DataFrame:
+    return judged.filter(F.col("reject_reason").isNull()).drop("reject_reason", "raw_text")
+
+
+def rejected_rows(judged: DataFrame) -> DataFrame:
+    """The report of what a load leaves out."""
+    return judged.filter(F.col("reject_reason").isNotNull())
 
 
 def landing_rows(spark: SparkSession, root: str, day: str | None = None,
                  layout: str = "spark") -> DataFrame:
-    """Read, drop corrupt files, explode and key: the rows a bronze load receives."""
-    good, _ = split_corrupt(read_landing(spark, root, day, layout))
-    rows = natural_key(explode_jobs(good))
-    return rows.select("job_id", "source", "keyword", "country",
-                       F.col("extracted_at").try_cast("timestamp").alias("extracted_at"),
-                       "raw_data", "_source_file", "_source_pos")
+    """Read, explode and key: the rows a bronze load receives. What is left out is what
+    ``rejected_rows(judged_rows(...))`` reports."""
+    return accepted_rows(judged_rows(read_landing(spark, root, day, layout)))

@@ -91,10 +91,10 @@ def taxonomy_rows() -> list[tuple[str, str, str]]:
     return [tuple(r) for r in reader if r]
 
 
-def write_seed(path: str) -> str:
-    """Write the seed as a CSV file (as a warehouse seed folder would hold it)."""
-    with open(path, "w", encoding="utf-8", newline="") as fh:
-        fh.write(TAXONOMY_CSV.lstrip("\n"))
+def write_seed(spark: SparkSession, path: str) -> str:
+    """Write the seed as a CSV folder (as a warehouse seed folder would hold it)."""
+    (spark.createDataFrame(taxonomy_rows(), TAXONOMY_SCHEMA).coalesce(1).write.mode("overwrite")
+     .option("header", True).option("quoteAll", True).option("escape", '"').csv(path))
     return path
 
 

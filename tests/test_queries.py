@@ -1,18 +1,23 @@
-"""Registered queries vs the DuckDB oracle, order independence, join-path fallback."""
+"""Registered queries vs the DuckDB oracle, order independence, skill matching, plans."""
 
 import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as E
 from conftest import SF001, SF01
+from hirelake import catalog
+from hirelake.functions.regex import ci_pattern
 from hirelake.operators.skills import skill_match
 from hirelake.plans.postings import bronze_from_documents
 from hirelake.plans.silver import searchable_postings, silver_jobs
+from hirelake.sources.bronze import materialize
 from hirelake.sources.tables import read_table
-from hirelake.sources.taxonomy import read_taxonomy, write_seed
+from hirelake.sources.taxonomy import read_taxonomy, taxonomy_rows, write_seed
 
 ORACLE_SUBSET = ["silver_jobs", "skill_match", "fct_job_postings", "median_salary_by_role",
-                 "quality_checks", "landing_roundtrip", "first_seen_dedup", "latest_posting"]
+                 "quality_checks", "landing_roundtrip", "first_seen_dedup", "latest_posting",
+                 "landing_rejects", "insert_only_merge", "envelope_wrap", "collection_counters",
+                 "cross_source_dedup", "date_rollup", "star_query"]
 
 
 @pytest.fixture(scope="module")
@@ -33,7 +38,8 @@ def _norm(cols, rows):
 
 
 def test_every_query_has_oracle():
-    assert set(E.queries()) == set(E.oracle_sql())
+    assert set(catalog.QUERIES) == set(catalog.ORACLE)
+    assert set(catalog.QUERIES) <= set(E.queries()) and set(catalog.ORACLE) <= set(E.oracle_sql())
 
 
 @pytest.mark.parametrize("name", ORACLE_SUBSET)
@@ -58,13 +64,76 @@ def test_order_independence(spark):
     assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
 
 
-def test_join_path_equals_unrolled(spark, tmpdir_path):
-    tax = read_taxonomy(spark, write_seed(f"{tmpdir_path}/taxonomy.csv"))
-    assert tax.count() == 61
+def _plain_match(spark, jobs, tax):
+    """Every pattern on every text, without candidates."""
+    out = None
+    for r in tax.collect():
+        hit = jobs.filter(F.col("searchable_text").rlike(ci_pattern(r["regex_pattern"]))).select(
+            "job_id", F.lit(r["category"]).alias("skill_category"), F.lit(r["standard_name"]).alias("skill_name"))
+        out = hit if out is None else out.unionByName(hit)
+    return {tuple(r) for r in out.distinct().collect()}
+
+
+def test_skill_match_equals_plain_regexes(spark, tmpdir_path):
+    tax = read_taxonomy(spark, write_seed(spark, f"{tmpdir_path}/taxonomy"))
+    assert sorted(map(tuple, tax.collect())) == sorted(taxonomy_rows())
     jobs = searchable_postings(silver_jobs(bronze_from_documents(read_table(spark, SF001, "documents"))))
-    unrolled = skill_match(jobs, tax)
-    joined = skill_match(jobs, tax, unroll_limit=0)
-    plain = skill_match(jobs, tax, multi_literal=False)     # JVM contains() pre-filter
-    assert unrolled.count() > 0
-    assert unrolled.exceptAll(joined).count() == 0 and joined.exceptAll(unrolled).count() == 0
-    assert unrolled.exceptAll(plain).count() == 0 and plain.exceptAll(unrolled).count() == 0
+    jobs = materialize(jobs, f"{tmpdir_path}/searchable")
+    got = [tuple(r) for r in skill_match(jobs, tax).collect()]
+    assert len(got) == len(set(got)) and set(got) == _plain_match(spark, jobs, tax)
+
+
+def test_skill_match_pattern_forms(spark):
+    """Whole words, beginnings, optional characters, no boundary, folding hazards, groups."""
+    patterns = [r"\yjava\y", r"\yjava", r"java", r"\ynode\.?js\y|\ynode\y", r"\yscikit[- ]learn\y", r"\yc\+\+\y",
+                r"\yc#(?=\W|$)|(?<!\w)\.net\y", r"\ys/4hana\y", r"\y(spark|apache spark)\y", r"\ya_b\y", r"\yx?yz\y",
+                r"\ykafka+\y", r"\yskill\y", r"\yüber\y"]
+    texts = ["Java javascript", "JAVA", "xjava", "nodejs", "node.js NODE", "scikit-learn", "Scikit learning", "c++11 c++",
+             "use C# now", ".NET", "asp.net", "S/4HANA", "apache Spark", "a_b a b", "yz xyz", "kafkaaa", "sKill \u017fkill",
+             "Über \u0130", "", "node_js c#x"]
+    jobs = spark.createDataFrame([(str(k), t) for k, t in enumerate(texts)], "job_id string, searchable_text string")
+    tax = spark.createDataFrame([("c", f"p{k}", p) for k, p in enumerate(patterns)],
+                                "category string, standard_name string, regex_pattern string")
+    assert {tuple(r) for r in skill_match(jobs, tax).collect()} == _plain_match(spark, jobs, tax)
+
+
+def test_large_seed_in_one_scan(spark):
+    """3,000 patterns take the same path as 61."""
+    words = [f"skill{k}x" for k in range(3000)]
+    tax = spark.createDataFrame([("c", w, rf"\y{w}\y|\y{w} tool\y") for w in words],
+                                "category string, standard_name string, regex_pattern string")
+    jobs = spark.createDataFrame([(str(k), f"we use {words[k * 7 % 3000]} and {words[k]}, not {words[k + 1]}s")
+                                  for k in range(200)], "job_id string, searchable_text string")
+    df = skill_match(jobs, tax)
+    want = {(str(k), "c", w) for k in range(200) for w in (words[k * 7 % 3000], words[k])}
+    assert {tuple(r) for r in df.collect()} == want
+    assert "Join" not in df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_latest_posting_shuffles_keys_only(spark):
+    """The rows replaced are found on narrow rows; payloads stay where they were read."""
+    from hirelake.operators.dedup import latest_per_key, older_rows
+    b = bronze_from_documents(read_table(spark, SF001, "documents"))
+    plan = older_rows(b)._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" in plan and "raw_data" not in plan
+    assert "Exchange hashpartitioning" not in latest_per_key(b)._jdf.queryExecution().executedPlan().toString()
+
+
+def test_cross_source_dedup_rules(spark):
+    from datetime import datetime
+
+    from hirelake.operators.dedup import cross_source_dedup
+    day = lambda d: d and datetime(2026, 1, d)
+    rows = [("1", "a", "Dev", "X", "Wien", 3), ("2", "b", " dev", "x ", "wien", 9), ("3", "b", "DEV", "X", "Wien", 1),
+            ("4", "a", "Dev", None, "Wien", 3), ("5", "b", "Dev", None, "Wien", 4), ("6", "a", "Dev", "X", None, 3),
+            ("7", "a", "QA", "Y", "Graz", 2), ("8", "a", "QA", "Y", "Graz", 5), ("9", "c", "QA", "Y", "Graz", None)]
+    df = spark.createDataFrame([(*r[:5], day(r[5])) for r in rows], "job_id string, source string, job_title string, "
+                               "company_name string, job_city string, job_posted_at_utc timestamp")
+    # board b has the newest Dev posting and keeps both; incomplete keys are nobody's copy
+    assert sorted(r["job_id"] for r in cross_source_dedup(df).collect()) == ["2", "3", "4", "5", "6", "7", "8"]
+
+
+def test_counters_add_up(spark):
+    for r in catalog.QUERIES["collection_counters"](spark, SF01).collect():
+        assert min(r["n_kept"], r["n_duplicate"], r["n_unmatched"]) >= 0
+        assert r["n_kept"] + r["n_duplicate"] + r["n_unmatched"] == r["n_fetched"]
