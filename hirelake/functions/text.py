@@ -15,10 +15,13 @@ _MULTI_SPACE = "[" + PG_SPACE_CHARS + "]{2,}"
 
 def strip_html(text: Column) -> Column:
     """Every ``<...>`` tag becomes one space. Only the text up to its last ``>`` is
-    searched: behind it no tag can end, and a row of ``<`` would be scanned once each."""
-    tail = F.substring_index(text, ">", -1)
-    head = F.left(text, F.length(text) - F.length(tail))
-    return F.concat(F.regexp_replace(head, _HTML_TAG, " "), tail)
+    searched: behind it no tag can end, and a row of ``<`` would be scanned once each.
+    The text is bound once, so that a filter on the result does not copy its expression."""
+    def stripped(t: Column) -> Column:
+        tail = F.substring_index(t, ">", -1)
+        head = F.left(t, F.length(t) - F.length(tail))
+        return F.concat(F.regexp_replace(head, _HTML_TAG, " "), tail)
+    return F.get(F.transform(F.array(text), stripped), F.lit(0))
 
 
 def flatten_whitespace(text: Column) -> Column:
