@@ -67,7 +67,7 @@ def test_order_independence(spark):
 
 def _plain_match(jobs, tax):
     """Every pattern on every text, in plain Python."""
-    rows = [(r["category"], r["standard_name"], re.compile(ci_pattern(r["regex_pattern"]).replace("(?iUs)", "(?is)")))
+    rows = [(r["category"], r["standard_name"], re.compile(ci_pattern(r["regex_pattern"]).replace("(?iUs)", "(?is)").replace(r"\z", r"\Z")))
             for r in tax.collect()]
     return {(j["job_id"], c, n) for j in jobs.collect() for c, n, p in rows if p.search(j["searchable_text"])}
 
