@@ -26,7 +26,7 @@ THIRDS = ((0, 11), (11, 11), (22, 10))  # first cell and number of cells of each
 ROUNDS = 32
 PARAGRAPHS_PER_BLOCK = 12
 # Blocks of a retry, as paragraphs of both texts per block; each has its own seed.
-RETRIES = (6, 2)
+RETRIES = (12, 4)
 # Ranges of ids that the search for the next document works on: about this many rows each.
 ROWS_PER_RANGE = 4000
 FINE_BINS = 65_536
@@ -59,11 +59,12 @@ def _hit(e: str, c: str) -> str:
 
 
 def _sketch(entries: str, blocks: str) -> str:
-    """Blocks of cells from the entries (a column holding :func:`_entries`)."""
+    """Blocks of cells from the entries, which are bound once for all blocks."""
     cell = (f"aggregate(filter(own, e -> {_hit('e', 'c')}), {ZERO}, "
             f"(a, e) -> named_struct('n', a.n + 1, 'k', a.k ^ e.k, 'h', a.h ^ e.h))")
-    return (f"transform(transform(sequence(0, {blocks} - 1), b -> filter({entries}, e -> e.b = b)), "
-            f"own -> transform(sequence(0, {CELLS - 1}), c -> {cell}))")
+    dealt = (f"get(transform(array({entries}), all -> transform(sequence(0, {blocks} - 1), "
+             f"b -> filter(all, e -> e.b = b))), 0)")
+    return f"transform({dealt}, own -> transform(sequence(0, {CELLS - 1}), c -> {cell}))"
 
 
 def _folded(sketch: str, blocks: str) -> str:
