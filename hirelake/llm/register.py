@@ -30,7 +30,5 @@ QUERIES = {
 
 ORACLE = {
     "op2_exact_dedup": exact_dedup.ORACLE_SQL,
-    "op3_minmax_near_dedup": near_dedup.op3_minmax_near_dedup,
-    "op4_language_id": langid.op4_language_id,
     "op6_systematic_mix": mixing.ORACLE_SQL,
 }
