@@ -6,7 +6,6 @@ import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as E
-from conftest import SF001, SF01
 from hirelake import catalog
 from hirelake.functions.regex import ci_pattern
 from hirelake.operators.skills import skill_match
@@ -15,6 +14,7 @@ from hirelake.plans.silver import searchable_postings, silver_jobs
 from hirelake.sources.tables import read_table
 from hirelake.sources.taxonomy import read_taxonomy, taxonomy_rows, write_seed
 
+SF001, SF01 = "/root/testdata/sf0.001", "/root/testdata/sf0.01"
 ORACLE_SUBSET = ["silver_jobs", "skill_match", "fct_job_postings", "median_salary_by_role",
                  "quality_checks", "landing_roundtrip", "first_seen_dedup", "latest_posting",
                  "landing_rejects", "insert_only_merge", "envelope_wrap", "collection_counters",
