@@ -24,8 +24,8 @@ from pyspark.sql.functions import pandas_udf
 from hirelake.llm.common import ship_by_value, table
 from hirelake.llm.html_pages import LABEL, labelled_pages
 
-# Pages of the table taken for training (by a hash of the id): what stands in an <article>
-# is labelled content there.
+# About this many pages of the table are taken for training (by a hash of the id): what stands
+# in an <article> is labelled content there.
 TRAIN_PAGES = 300
 TRAIN_COMPOSED = 600
 SMOOTHING = 0.5
@@ -310,8 +310,10 @@ def train(pages: DataFrame | None, id_col: str = "page_id", html_col: str = "htm
         model.add(nodes, _labels(nodes, article=False))
     if pages is not None:
         usable = pages.where((F.regexp_count(F.lower(html_col), F.lit("<article")) == 1))
-        draw = F.xxhash64(F.lit("html"), F.col(id_col))
-        for row in usable.select(html_col).orderBy(draw).limit(train_pages).collect():
+        share = min(1.0, train_pages / max(1, usable.count()))
+        draw = F.pmod(F.xxhash64(F.lit("html"), F.coalesce(F.col(id_col).cast("string"), F.lit(""))),
+                      F.lit(1 << 30)) / float(1 << 30)
+        for row in usable.where(draw < share).select(html_col).collect():
             nodes = parse(row[0])
             model.add(nodes, _labels(nodes, article=True))
     return model.fit()
