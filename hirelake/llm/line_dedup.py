@@ -1,10 +1,12 @@
 """Line deduplication by pairwise alignment.
 
-Documents that share a line hash held by several documents are brought together: each later
-holder meets the line's first holder, so a line in n documents gives n - 1 pairs and none is
-left out however common it is. Each pair is aligned by patience diff over line hashes, and
-common blocks of enough words are deleted from the later document. Only hashes travel; the
-texts are read once more at the end to cut the lines out.
+Pairs of documents are aligned by patience diff over line hashes, and common blocks of enough
+words are deleted from the later document. The result is that of aligning each document with
+every earlier one. Any such block is covered by runs of lines that hold just enough words, so
+only documents that share such a run can have one. Each later holder of a run meets the run's
+first holder; where lines of the run stay (they cross others there, or repeat), it meets more
+and more of the other earlier holders, in rounds, until its lines are gone or all were met.
+Only hashes travel; the texts are read once more at the end to cut the lines out.
 """
 
 from __future__ import annotations
@@ -20,6 +22,9 @@ from hirelake.llm.common import ship_by_value, staged, table, word_count
 
 # An aligned block is deleted from this many words on.
 MIN_BLOCK_WORDS = 10
+# Holders of a run that a document has met by the end of each round grow by this factor.
+ROUND_GROWTH = 8
+_PRIME, _BASE = (1 << 61) - 1, 1_000_003
 
 
 def _anchors(old: list[int], new: list[int]) -> list[tuple[int, int]]:
@@ -107,14 +112,73 @@ def _deleted_lines(min_words: int):
     return align
 
 
+def _spans(words: list[int], min_words: int) -> list[tuple[int, int]]:
+    """For each line the shortest run of enough words that starts there and the shortest that
+    ends there: each longer run is covered by those inside it. Time is linear in the lines."""
+    sums = [0]
+    for w in words:
+        sums.append(sums[-1] + w)
+    spans = set()
+    stop = 1
+    for start in range(len(words)):
+        stop = max(stop, start + 1)
+        while stop < len(words) and sums[stop] - sums[start] < min_words:
+            stop += 1
+        if sums[stop] - sums[start] >= min_words:
+            spans.add((start, stop))
+    start = 0
+    for stop in range(1, len(words) + 1):
+        while start + 1 < stop and sums[stop] - sums[start + 1] >= min_words:
+            start += 1
+        if sums[stop] - sums[start] >= min_words:
+            spans.add((start, stop))
+    return sorted(spans)
+
+
+def _runs(min_words: int):
+    def runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out: tuple[list[int], ...] = ([], [], [], [])
+            for doc, hashes, words in zip(*(batch.column(c).to_pylist() for c in range(3)), strict=True):
+                prefix, power = [0], [1]
+                for h in hashes:
+                    prefix.append((prefix[-1] * _BASE + h) % _PRIME)
+                    power.append(power[-1] * _BASE % _PRIME)
+                for start, stop in _spans(words, min_words):
+                    key = (prefix[stop] - prefix[start] * power[stop - start]) % _PRIME
+                    for column, value in zip(out, (doc, key, start, stop), strict=True):
+                        column.append(value)
+            kinds = (pa.int64(), pa.int64(), pa.int32(), pa.int32())
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(out, kinds, strict=True)],
+                                             names=["id", "run", "start", "stop"])
+    return runs
+
+
+def _unsettled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Of each document's runs those with a line that is not gone."""
+    for batch in batches:
+        ids, left = [], []
+        for doc, runs, gone in zip(*(batch.column(c).to_pylist() for c in range(3)), strict=True):
+            gone = set(gone or ())
+            sums = [0]
+            for k in range(max(r["stop"] for r in runs)):
+                sums.append(sums[-1] + (k in gone))
+            for r in runs:
+                if sums[r["stop"]] - sums[r["start"]] < r["stop"] - r["start"]:
+                    ids.append(doc)
+                    left.append(r)
+        yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(left, batch.column(1).type.value_type)],
+                                         names=["id", "r"])
+
+
 def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                 min_block_words: int = MIN_BLOCK_WORDS) -> DataFrame:
     """``doc_id, text, n_lines, n_removed, removed`` per input row: the text without the line
     blocks it shares with an earlier document, and the positions of those lines.
 
     Lines are parts between ``\\n``; lines without words are never compared or deleted. A
-    block is a run of lines aligned one after the other in both documents. Earlier is the
-    smaller id. Null texts count as empty (one empty line); rows without an id and rows that
+    block is a run of lines aligned one after the other in both documents; a line goes if the
+    alignment with any earlier document has it in a block. Earlier is the smaller id. Null texts count as empty (one empty line); rows without an id and rows that
     repeat an id keep their text: such ids are not compared. An empty table gives no rows.
     """
     base = docs.select(F.col(id_col).cast("long").alias("doc_id"),
@@ -126,14 +190,34 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     hashed = staged(once.where("c = 1").select(
         F.col("doc_id").alias("id"), F.expr("transform(lines, x -> x.h)").alias("h"),
         F.expr("transform(lines, x -> x.w)").alias("w")), "line-hashes")
-    held = hashed.select("id", F.explode(F.array_distinct(F.expr(
-        "transform(filter(sequence(0, size(h) - 1), i -> w[i] > 0), i -> h[i])"))).alias("line"))
-    first = held.groupBy("line").agg(F.min("id").alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1")
-    pairs = staged(held.join(first, "line").where("id <> first").groupBy("first", "id").count(), "line-pairs")
+    runs = staged(hashed.select("id", "h", "w").mapInArrow(
+        _runs(min_block_words), "id bigint, run bigint, start int, stop int"), "line-runs")
+    held = runs.groupBy("run").agg(F.min("id").alias("first"), F.max("id").alias("last"),
+                                   F.count(F.lit(1)).alias("n")).where("first <> last").drop("last")
+    shared = staged(runs.join(held, "run"), "line-shared")
     old = hashed.select(F.col("id").alias("first"), F.col("h").alias("old"))
-    aligned = (pairs.select("first", "id").join(hashed, "id").join(old, "first")
-               .select("id", "old", "h", "w").mapInArrow(_deleted_lines(min_block_words), "id bigint, gone array<int>"))
-    gone = aligned.groupBy("id").agg(F.array_sort(F.array_distinct(F.flatten(F.collect_set("gone")))).alias("removed"))
+
+    def aligned(pairs: DataFrame) -> DataFrame:
+        met = staged(pairs.select("first", "id").distinct(), "line-pairs")
+        return staged(met.join(hashed, "id").join(old, "first").select("id", "old", "h", "w").mapInArrow(
+            _deleted_lines(min_block_words), "id bigint, gone array<int>"), "line-blocks")
+
+    # a document meets holders by a hash of their id: in each round about so many of a run
+    draw = F.pmod(F.xxhash64(F.lit("holder"), "id"), F.lit(1 << 30)) / float(1 << 30)
+    holders = shared.select("run", F.col("id").alias("first"), (draw * F.col("n")).alias("draw")).distinct()
+    later = shared.where("id <> first")
+    blocks = aligned(later)
+    met, most = 0, ROUND_GROWTH
+    while True:
+        gone = blocks.groupBy("id").agg(F.array_sort(F.array_distinct(F.flatten(F.collect_set("gone")))).alias("removed"))
+        listed = later.where(F.col("n") > met).groupBy("id").agg(F.collect_list(F.struct("run", "start", "stop", "first", "n")).alias("runs"))
+        later = staged(listed.join(gone, "id", "left").select("id", "runs", "removed").mapInArrow(
+            _unsettled, "id bigint, r struct<run bigint, start int, stop int, first bigint, n bigint>").select("id", "r.*"), "line-left")
+        if later.isEmpty():
+            break
+        more = holders.where((F.col("draw") >= met) & (F.col("draw") < most))
+        blocks = blocks.union(aligned(later.select("run", "id").distinct().join(more, "run").where("first < id")))
+        met, most = most, most * ROUND_GROWTH
     joined = base.join(gone, F.col("doc_id") == F.col("id"), "left")
     removed = F.coalesce("removed", F.expr("cast(array() AS array<int>)"))
     kept = F.expr("CASE WHEN removed IS NULL THEN text ELSE array_join(filter(split(text, '\\n'), "

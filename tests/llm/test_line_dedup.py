@@ -80,3 +80,55 @@ def test_awkward_rows(awkward, clashing, documents):
     assert all(r.n_removed == 0 for r in got)
     assert sorted(map(str, got)) == sorted(map(str, ld.dedup_lines(clashing).collect()))
     assert ld.dedup_lines(documents([])).count() == 0
+
+
+def removed_by_all(texts, min_words=10):
+    """Alignment with every earlier document."""
+    lines = {i: t.split("\n") for i, t in texts.items()}
+    out = {}
+    for i in sorted(lines):
+        gone = set()
+        for e in (e for e in lines if e < i and set(lines[e]) & set(lines[i])):
+            block, last = [], (-9, -9)
+            for a, b in [*ld.patience_align(lines[e], lines[i]), (-5, -5)]:
+                if (a, b) != (last[0] + 1, last[1] + 1):
+                    if sum(len(lines[i][k].split()) for k in block) >= min_words:
+                        gone |= set(block)
+                    block = []
+                block.append(b)
+                last = (a, b)
+        # of every earlier document
+            out.setdefault(i, set()).update(gone)
+        out.setdefault(i, set())
+    return {i: sorted(g) for i, g in out.items()}
+
+
+def test_blocks_shared_with_any_earlier_document(documents):
+    x, y, long = "six words stand in line x", "six words stand in line y", " ".join(f"l{k}" for k in range(12))
+    p, q, r = (" ".join(f"{c}{k}" for k in range(11)) for c in "pqr")
+    texts = {
+        # the lines of a block have different first holders
+        1: f"a1\n{x}", 2: f"a2\n{y}", 3: f"b\n{x}\n{y}\nb end", 4: f"c\n{x}\n{y}\nc end",
+        # the block crosses others in the alignment with its first holder
+        11: f"{p}\nd\n{q}\n{r}", 12: f"e\n{p}\ne end", 13: f"f\n{q}\n{r}\nf mid\n{p}\nf end",
+        # the first holder repeats the line
+        21: f"g\n{long}\ng mid\n{long}\ng end", 22: f"h\n{long}\nh end", 23: f"i\n{long}\ni end",
+    }
+    want = removed_by_all(texts)
+    assert want[4] == [1, 2] and want[13] == [1, 2, 4] and want[23] == [1]
+    got = ld.dedup_lines(documents([(k, t, "en", "a") for k, t in texts.items()])).collect()
+    assert {r.doc_id: list(r.removed) for r in got} == want
+
+
+def test_equals_alignment_with_every_earlier_document(documents):
+    draw = random.Random(4)
+    pool = [" ".join(f"w{draw.randrange(300)}" for _ in range(draw.randint(1, 14))) for _ in range(25)]
+    texts = {}
+    for k in range(150):
+        parts = [draw.choice(pool) if draw.random() < 0.5 else f"own {k} {draw.random()}" for _ in range(draw.randint(1, 12))]
+        if draw.random() < 0.4:
+            at = draw.randrange(20)
+            parts += ["", *pool[at:at + 6], ""]
+        texts[k] = "\n".join(parts)
+    got = ld.dedup_lines(documents([(k, t, "en", "a") for k, t in texts.items()])).collect()
+    assert {r.doc_id: list(r.removed) for r in got} == removed_by_all(texts)
