@@ -79,10 +79,11 @@ class Node:
         self.words = self.linked = self.sentences = 0
 
 
-def parse(page: str) -> list[Node]:
+def parse(page: str, marks: bool = True) -> list[Node]:
     """Nodes in page order, parents first. Follows the usual rules for end tags left out;
     comments, declarations and the text of dropped elements are skipped; a ``<`` that opens
-    nothing is text. Time is linear in the page."""
+    nothing is text. With ``marks`` the spans of composed pages give labels; on all other
+    pages a span is plain inline. Time is linear in the page."""
     nodes = [Node("html", -1)]
     stack = [0]          # open block elements
     inline: list[str] = []  # open inline elements that matter: links
@@ -142,7 +143,7 @@ def parse(page: str) -> list[Node]:
             continue
         if tag == "body" and not closing:
             dropped.clear()
-        if tag == "span" and (closing and labels or LABEL in attributes):
+        if marks and tag == "span" and (closing and labels or LABEL in attributes):
             # marks of training pages nest properly: no other span occurs there
             run = -1
             if closing:
@@ -314,13 +315,13 @@ def train(pages: DataFrame | None, id_col: str = "page_id", html_col: str = "htm
         draw = F.pmod(F.xxhash64(F.lit("html"), F.coalesce(F.col(id_col).cast("string"), F.lit(""))),
                       F.lit(1 << 30)) / float(1 << 30)
         for row in usable.where(draw < share).select(html_col).collect():
-            nodes = parse(row[0])
+            nodes = parse(row[0], marks=False)
             model.add(nodes, _labels(nodes, article=True))
     return model.fit()
 
 
 def main_text(model: Model, page: str) -> str:
-    nodes = parse(page)
+    nodes = parse(page, marks=False)
     chosen = model.marginals(nodes)
     return "\n".join(n.parts[0] for n, p in zip(nodes, chosen, strict=True) if p > 0.5 and n.tag == "#text" and n.parts[0])
 

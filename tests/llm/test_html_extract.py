@@ -89,3 +89,13 @@ def test_table_pages(spark):
         good += r.text.split() == want
         assert r.n_chars == len(r.text)
     assert good >= 0.98 * len(got)
+
+
+def test_label_attributes_of_real_pages(spark, model):
+    body = """<article><h1>The title of it</h1><p>The price of it is <span data-label="Price">ten of them</span> here,
+      and <span data-label="1">not one</span> more, says <span data-label=0>the text</span> of the page.</p></article>"""
+    page = f"<html><body><nav><a href='/'>Home</a></nav>{body}</body></html>"
+    assert he.main_text(model, page).split("\n") == [
+        "The title of it", "The price of it is ten of them here, and not one more, says the text of the page."]
+    pages = spark.createDataFrame([(1, page)], "page_id bigint, html string")
+    assert pages.select(he.extract(pages, he.train(pages)).alias("t")).first().t.startswith("The title of it")
