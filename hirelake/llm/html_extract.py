@@ -34,6 +34,10 @@ SMOOTHING = 0.5
 DROPPED = frozenset("script style noscript template svg math iframe object canvas select option button textarea "
                     "head title audio video map datalist".split())
 RAW = frozenset("script style noscript template iframe textarea title svg math canvas object audio video".split())
+# Without an end tag, all behind these is theirs; others have no content then.
+RAW_TO_END = frozenset("script style iframe textarea title".split())
+FOREIGN = frozenset(("svg", "math"))
+IN_HEAD = frozenset("html head base link meta title style script noscript template".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 INLINE = frozenset("a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd label mark q s samp small span "
                    "strike strong sub sup time tt u var wbr input".split())
@@ -87,7 +91,8 @@ def parse(page: str, marks: bool = True) -> list[Node]:
     nodes = [Node("html", -1)]
     stack = [0]          # open block elements
     inline: list[str] = []  # open inline elements that matter: links
-    dropped: list[str] = []
+    dropped: list[tuple[str, bool]] = []  # and whether the next block ends it, as no end tag will
+    endless: set[str] = set()  # names that no end tag has from here on
     labels: list[int] = []
     run = -1
     at, size, last_end = 0, len(page), page.rfind(">")
@@ -95,6 +100,8 @@ def parse(page: str, marks: bool = True) -> list[Node]:
 
     def text(piece: str) -> None:
         nonlocal run
+        if dropped and dropped[-1][0] == "head" and not piece.isspace():
+            dropped.pop()
         if dropped or not piece or (run < 0 and piece.isspace()):
             return
         if run < 0:
@@ -105,6 +112,13 @@ def parse(page: str, marks: bool = True) -> list[Node]:
         if inline:
             node.linked += len(html.unescape(piece).split())
 
+    def has_end(tag: str) -> bool:
+        """Is the next tag of this name an end tag?"""
+        found = None if tag in endless else re.compile(rf"<(/?){re.escape(tag)}[\s/>]", re.IGNORECASE).search(page, at)
+        if not found:
+            endless.add(tag)
+        return bool(found and found[1])
+
     while at < size:
         open_at = page.find("<", at)
         if open_at < 0:
@@ -127,19 +141,28 @@ def parse(page: str, marks: bool = True) -> list[Node]:
             continue
         at = found.end()
         closing, tag, attributes = found[1], found[2].lower(), found[3]
-        if not closing and tag in RAW and not attributes.endswith("/"):
-            end = re.compile(rf"</{re.escape(tag)}[\s/>]", re.IGNORECASE).search(page, at)
+        if not closing and dropped and dropped[-1][0] == "head" and tag not in IN_HEAD:
+            dropped.pop()
+        if not closing and tag in DROPPED and attributes.endswith("/") and (tag in FOREIGN or not has_end(tag)):
+            continue
+        if not closing and tag in RAW:
+            end = None if tag in endless else re.compile(rf"</{re.escape(tag)}[\s/>]", re.IGNORECASE).search(page, at)
             if end:
                 close = page.find(">", end.start())
                 at = size if close < 0 else close + 1
-            else:
+            elif tag in RAW_TO_END:
                 at = size
+            else:
+                endless.add(tag)
             continue
         if tag in DROPPED:
-            if closing and tag in dropped:
-                del dropped[len(dropped) - 1 - dropped[::-1].index(tag):]
+            names = [name for name, _ in dropped]
+            if closing and tag in names:
+                del dropped[names.index(tag):]
             elif not closing and tag != "option":
-                dropped.append(tag)
+                if tag in names:  # ends the open one
+                    del dropped[names.index(tag)]
+                dropped.append((tag, tag != "head" and not has_end(tag)))
             continue
         if tag == "body" and not closing:
             dropped.clear()
@@ -164,6 +187,9 @@ def parse(page: str, marks: bool = True) -> list[Node]:
             run = -1
             continue
         run = -1
+        if tag != "optgroup" and (not closing or opened[tag]):
+            while dropped and dropped[-1][1]:
+                dropped.pop()
         if closing:
             while opened[tag]:
                 last = nodes[stack.pop()].tag

@@ -99,3 +99,36 @@ def test_label_attributes_of_real_pages(spark, model):
         "The title of it", "The price of it is ten of them here, and not one more, says the text of the page."]
     pages = spark.createDataFrame([(1, page)], "page_id bigint, html string")
     assert pages.select(he.extract(pages, he.train(pages)).alias("t")).first().t.startswith("The title of it")
+
+
+@pytest.mark.parametrize("before", [
+    "<svg viewBox='0 0 1 1'/>", "<math/>", "<iframe src='a' />", "<video src='a'/>", "<script src='x' />",
+    "<script src='x' /><script>var a = 'not text';</script>", "<object data='a'/>", "<button />", "<select/>",
+    "<button>Go", "<form><button>Go</form>", "<select><option>one<option>two", "<select><optgroup><option>one",
+    "<svg><path d='M0'>", "<video src='a'>", "<button>Go<div><button>Stop</button></div>", "<datalist><option>one",
+    "<map name='m'><area href='#'>"])
+def test_nothing_behind_is_dropped(before):
+    page = f"<html><body><div>{before}</div><article><p>First words.</p><p>Last words.</p></article></body></html>"
+    parts = [n.parts[0] for n in he.parse(page, marks=False) if n.parts]
+    assert parts == ["First words.", "Last words."]
+
+
+@pytest.mark.parametrize("page", [
+    "<html><head><title>T</title><meta charset=utf-8><article><p>First words.</p><p>Last words.</p></article></html>",
+    "<head><title>T</title><script>var a;</script>First words.<p>Last words.</p>",
+    "<head><link rel=x><svg/><p>First words.<p>Last words.",
+    "<head/><p>First words.<p>Last words."])
+def test_head_without_end(page):
+    assert [n.parts[0] for n in he.parse(page, marks=False) if n.parts] == ["First words.", "Last words."]
+
+
+def test_closed_elements_are_dropped_whole():
+    page = ("<head><title>T</title><style>p{}</style></head><p>First words.</p><button><div>Go</div> on</button>"
+            "<select><option>one</option></select><script src=x />not text</script><svg><text>no</text></svg>"
+            "<iframe src=http://a/>none</iframe><p>Last words.</p>")
+    assert [n.parts[0] for n in he.parse(page, marks=False) if n.parts] == ["First words.", "Last words."]
+
+
+def test_many_open_dropped_elements_in_linear_time():
+    for tag in ("<svg>", "<video/>", "<button>", "<select>", "<noscript>"):
+        assert [n.parts[0] for n in he.parse(tag * 50_000 + "<p>Last words.") if n.parts] == ["Last words."]
