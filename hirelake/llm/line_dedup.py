@@ -218,7 +218,8 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         more = holders.where((F.col("draw") >= met) & (F.col("draw") < most))
         blocks = blocks.union(aligned(later.select("run", "id").distinct().join(more, "run").where("first < id")))
         met, most = most, most * ROUND_GROWTH
-    joined = base.join(gone, F.col("doc_id") == F.col("id"), "left")
+    # merged at every size, so that small runs show what large ones shuffle
+    joined = base.join(gone.hint("merge"), F.col("doc_id") == F.col("id"), "left")
     removed = F.coalesce("removed", F.expr("cast(array() AS array<int>)"))
     kept = F.expr("CASE WHEN removed IS NULL THEN text ELSE array_join(filter(split(text, '\\n'), "
                   "(x, i) -> NOT array_contains(removed, i)), '\\n') END")
