@@ -38,3 +38,17 @@ def word_count(text: Column) -> Column:
 
 def crc32_remainder(key: Column, modulus: int) -> Column:
     return F.crc32(key.cast("string").cast("binary")) % F.lit(modulus)
+
+
+def crc32_sql(text: str) -> str:
+    """Unsigned CRC-32 of the UTF-8 bytes of a DuckDB text expression; its table follows from
+    the reversed polynomial."""
+    entries = []
+    for value in range(16):
+        for _ in range(4):
+            value = (value >> 1) ^ (0xEDB88320 if value & 1 else 0)
+        entries.append(value)
+    steps = ("xor(s >> 4, [" + ", ".join(map(str, entries)) + "][(xor(s, d) & 15) + 1])")
+    nibbles = (f"list_transform(range(2 * octet_length(encode({text}))), lambda i: ('0x' || "
+               f"substr(hex(encode({text})), (i + 1 - 2 * (i % 2) + 1)::INT, 1))::BIGINT)")
+    return f"xor(list_reduce({nibbles}, lambda s, d: {steps}, 4294967295::BIGINT), 4294967295)"

@@ -12,7 +12,10 @@ from hirelake.llm import (
     near_dedup,
     packing,
     pii,
+    prefix_trie,
     quality,
+    url_filter,
+    variants,
 )
 
 QUERIES = {
@@ -26,9 +29,15 @@ QUERIES = {
     "op8_pii": pii.op8_pii,
     "op9_quality_ranking": quality.op9_quality_ranking,
     "op10_line_dedup": line_dedup.op10_line_dedup,
+    "op11_prefix_trie": prefix_trie.op11_prefix_trie,
+    "op12_spelling_variants": variants.op12_spelling_variants,
+    "op13_url_filter": url_filter.op13_url_filter,
 }
 
 ORACLE = {
     "op2_exact_dedup": exact_dedup.ORACLE_SQL,
     "op6_systematic_mix": mixing.ORACLE_SQL,
+    "op11_prefix_trie": prefix_trie.ORACLE_SQL,
+    "op12_spelling_variants": variants.ORACLE_SQL,
+    "op13_url_filter": url_filter.ORACLE_SQL,
 }
