@@ -28,7 +28,7 @@ from hirelake.session import apply_sql_defaults, scratch_path
 from hirelake.sources.bronze import materialize
 from hirelake.sources.landing import (accepted_rows, judged_rows, landing_rows, natural_key, read_landing,
                                       rejected_rows, write_landing)
-from hirelake.sources.tables import read_table
+from hirelake.sources.tables import read_table, spread_scan
 from hirelake.sources.taxonomy import read_taxonomy, write_seed
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -52,7 +52,7 @@ def ntz(c: str) -> F.Column:
 
 def docs(spark, sf):
     apply_sql_defaults(spark)
-    return read_table(spark, sf, "documents")
+    return spread_scan(read_table(spark, sf, "documents"))
 
 
 def bronze(spark, sf):
@@ -60,7 +60,8 @@ def bronze(spark, sf):
 
 
 def silver(spark, sf):
-    return silver_jobs(bronze(spark, sf))
+    """Silver over a written bronze table: its keys are read without the payloads."""
+    return silver_jobs(materialize(bronze(spark, sf), scratch_path(spark, "bronze")))
 
 
 class Star:
@@ -155,7 +156,7 @@ SELECT page_id,
            AS clean_text
 FROM pages""")
 def q_html_clean(spark, sf):
-    pages = read_table(spark, sf, "pages")
+    pages = spread_scan(read_table(spark, sf, "pages").select("page_id", "html"))
     return pages.select("page_id", clean_description(F.col("html")).alias("clean_text"))
 
 

@@ -7,7 +7,8 @@ from collections.abc import Iterable
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from hirelake.functions.regex import fold_hazard, regex_any_ci
+from hirelake.functions.regex import ci_pattern, fold_hazard, regex_any_ci
+from hirelake.functions.word_index import WordIndex, sql_text
 
 
 def classify_rules(rules: Iterable[tuple[Column, str]], default: Column | str | None) -> Column:
@@ -33,3 +34,31 @@ def regex_rules(text: Column | str, table: Iterable[tuple[str, str]], default: C
         hazard = hazard if hazard is not None else fold_hazard(F.col(text))
     return classify_rules(((regex_any_ci(text, p, lowered, hazard), label)
                            for p, label in table), default)
+
+
+class RuleBook:
+    """Several rule tables over one text. The text's words are looked up once, for the rules of
+    all tables; a rule's regex runs only on rows where it is a candidate.
+
+    ``candidates`` gives the column that the tables read, by name; ``table`` the classifier of
+    one table of ``(PostgreSQL pattern, label)``.
+    """
+
+    def __init__(self, *tables: list[tuple[str, str]]) -> None:
+        self.first: dict[int, int] = {}
+        patterns: list[str] = []
+        for table in tables:
+            self.first[id(table)] = len(patterns)
+            patterns += [p for p, _ in table]
+        self.index = WordIndex(patterns)
+
+    def candidates(self, words: str, hazard: str) -> Column:
+        return self.index.candidates(words, hazard)
+
+    def table(self, table: list[tuple[str, str]], text: str, candidates: str, default: str | None) -> Column:
+        """``CASE WHEN text ~* p1 THEN l1 ...`` over column names. A null text has no candidates
+        and matches nothing."""
+        rules = " ".join(
+            f"WHEN array_contains(`{candidates}`, {i}) AND `{text}` RLIKE {sql_text(ci_pattern(p))} THEN {sql_text(label)}"
+            for i, (p, label) in enumerate(table, self.first[id(table)]))
+        return F.expr(f"CASE {rules} ELSE {'NULL' if default is None else sql_text(default)} END")

@@ -12,7 +12,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from hirelake.functions.regex import first_group
-from hirelake.functions.rules import classify_rules, regex_rules
+from hirelake.functions.rules import RuleBook, classify_rules, regex_rules
 from hirelake.functions.text import before_first_comma
 
 # ----------------------------------------------------------------------------------
@@ -147,20 +147,24 @@ def job_city(source: Column, area_first: Column, area_last: Column, snippet: Col
                   .otherwise(before_first_comma(location))))
 
 
-def employment_type(source: Column, contract_time: Column, jtype: Column,
-                    description: Column | str, desc_lc: Column | str | None = None,
-                    desc_hazard: Column | str | None = None) -> Column:
+# All rules that read the cleaned description, over one look-up of its words.
+DESCRIPTION_RULES = RuleBook(EMPLOYMENT_TEXT_RULES, REMOTE_TEXT_RULES, LANGUAGE_RULES)
+
+
+def employment_type(source: Column, contract_time: Column, jtype: Column, description: str,
+                    candidates: str) -> Column:
+    """Payload fields first, then the description; ``candidates`` names the column of
+    ``DESCRIPTION_RULES.candidates``."""
     fields = {"contract_time": contract_time, "type": jtype}
     field_rules = [((source == src) & fields[f].ilike(pat), label)
                    for src, f, pat, label in EMPLOYMENT_FIELD_RULES]
-    text = regex_rules(description, EMPLOYMENT_TEXT_RULES, NOT_SPECIFIED, desc_lc, desc_hazard)
+    text = DESCRIPTION_RULES.table(EMPLOYMENT_TEXT_RULES, description, candidates, NOT_SPECIFIED)
     return classify_rules(field_rules, text)
 
 
-def is_remote(source: Column, remote_flag: Column, description: Column | str,
-              desc_lc: Column | str | None = None, desc_hazard: Column | str | None = None) -> Column:
+def is_remote(source: Column, remote_flag: Column, description: str, candidates: str) -> Column:
     arbeit = source == "arbeitnow"
-    text = regex_rules(description, REMOTE_TEXT_RULES, NOT_SPECIFIED, desc_lc, desc_hazard)
+    text = DESCRIPTION_RULES.table(REMOTE_TEXT_RULES, description, candidates, NOT_SPECIFIED)
     return classify_rules([(arbeit & (remote_flag == F.lit(True)), "yes"),
                            (arbeit & (remote_flag == F.lit(False)), "no")], text)
 
@@ -173,9 +177,8 @@ def position_level(source: Column, title: Column, job_types_text: Column) -> Col
     return F.coalesce(title_rules, types_rules, F.lit(NOT_SPECIFIED))
 
 
-def language_requirement(description: Column | str, desc_lc: Column | str | None = None,
-                         desc_hazard: Column | str | None = None) -> Column:
-    return regex_rules(description, LANGUAGE_RULES, NOT_SPECIFIED, desc_lc, desc_hazard)
+def language_requirement(description: str, candidates: str) -> Column:
+    return DESCRIPTION_RULES.table(LANGUAGE_RULES, description, candidates, NOT_SPECIFIED)
 
 
 def salary_period(salary_text_lc: Column | str, hazard: Column | str | None = None) -> Column:

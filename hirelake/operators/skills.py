@@ -1,110 +1,28 @@
 """Skill matching: postings x taxonomy on ``text ~* pattern`` (a theta join).
 
-The taxonomy is a seed file. Each alternative of a pattern has, where its form allows it, an
-entry word: the first run of word characters that any match must begin a word with. The
-distinct words of a text are intersected with all entry words (one hash lookup per word,
-however many patterns there are), which gives the candidate patterns; only those run as
-regular expressions. Alternatives without an entry word make their pattern a candidate
-for every text. Candidates are a superset, so the result is exact; everything stays in the
-JVM and one scan of the postings serves seeds of every size.
+The taxonomy is a seed file. An inverted index from words to patterns
+(``functions.word_index``) turns the distinct words of a text into candidate patterns, and only
+those run as regular expressions, inside the row. The result is exact; everything stays in
+the JVM and one scan of the postings serves seeds of every size.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from hirelake.functions.regex import _alternatives, _split_top, ci_pattern, fold_hazard
+from hirelake.functions.regex import ci_pattern, fold_hazard
+from hirelake.functions.word_index import WordIndex, distinct_words, sql_text
 
-WORDS = r"(?U)[\w]+"
 
-
-def _is_word(ch: str) -> bool:
-    return ch.isalnum() or ch == "_"
-
-
-def entry_word(alternative: str) -> tuple[str, bool] | None:
-    """(word, whole): any match of the alternative holds a word equal to ``word`` (whole) or
-    beginning with it; None when that cannot be told. Reads the literal characters after a
-    leading word boundary; ``word`` is lower case."""
-    p = alternative
-    if p.startswith(r"\y"):
-        p = p[2:]
-    elif p.startswith(r"(?<!\w)"):
-        p = p[7:]
-    else:
-        return None
-    word, i = "", 0
-    while i < len(p):
-        c, size = p[i], 1
-        if c == "\\" and i + 1 < len(p):
-            if p[i + 1] == "y":
-                return (word.lower(), True) if word else None
-            if p[i + 1].isalnum():
-                break
-            c, size = p[i + 1], 2
-        elif c in "[(.^$*+?{|":
-            break
-        follows = p[i + size:i + size + 1]
-        if follows in ("?", "*", "{"):  # this character may be missing
-            break
-        if _is_word(c):
-            word += c
-        elif word:
-            return word.lower(), True
-        i += size
-        if follows == "+":
-            break
-    return (word.lower(), False) if word else None
-
-
-def entry_words(pattern: str) -> list[tuple[str, bool]] | None:
-    """Entry words of all alternatives, or None if one has none."""
-    found = []
-    for alt in _bounded_alternatives(pattern):
-        entry = entry_word(alt)
-        if entry is None:
-            return None
-        found.append(entry)
-    return found
-
-
-def _bounded_alternatives(pattern: str) -> list[str]:
-    """Top-level alternatives, their own boundaries kept; boundaries around a group of
-    alternatives are handed to each."""
-    parts = _split_top(pattern)
-    if len(parts) > 1:
-        return [a for part in parts for a in _bounded_alternatives(part)]
-    lead = r"\y" if pattern.startswith(r"\y") else ""
-    inner = _alternatives(pattern)
-    return [pattern] if len(inner) == 1 else [lead + a for a in inner]
-
-
-def _beginnings(length: int) -> Column:
-    """Words of the row cut to their first ``length`` characters; shorter ones are left out."""
-    return F.transform(F.filter("_words", lambda w: F.length(w) >= length), lambda w: F.substring(w, 1, length))
-
-
-def _patterns_of(words: Column, table: dict[str, list[int]]) -> Column:
-    """Ids of the patterns whose entry word is among the words."""
-    keys = sorted(table)
-    place = F.map_from_arrays(F.array(*[F.lit(k) for k in keys]),
-                              F.array(*[F.array(*[F.lit(i) for i in table[k]]) for k in keys]))
-    hit = F.array_intersect(words, F.array(*[F.lit(k) for k in keys]))
-    return F.flatten(F.transform(hit, lambda w: F.element_at(place, w)))
-
-
-def _candidates(entries: dict[str, list[int]], prefixes: dict[str, list[int]], always: list[int],
-                everything: int) -> Column:
-    """Ids of the patterns to try on a row with ``_words`` and ``_hz``."""
-    ids = [F.array(*[F.lit(i) for i in always]).cast("array<int>")]
-    if entries:
-        ids.append(_patterns_of(F.col("_words"), entries))
-    if prefixes:
-        lengths = sorted({len(w) for w in prefixes})
-        ids.append(_patterns_of(F.flatten(F.array(*[_beginnings(n) for n in lengths])), prefixes))
-    every = F.sequence(F.lit(0), F.lit(everything - 1))
-    return F.when(F.col("_hz"), every).otherwise(F.array_distinct(F.concat(*ids)))
+def _matches_sql(text: str, i: str, patterns: list[str]) -> str:
+    """``text ~* patterns[i]``: a balanced tree of comparisons leads to the one constant pattern."""
+    def pick(low: int, high: int) -> str:
+        if high - low == 1:
+            return f"regexp(`{text}`, {sql_text(ci_pattern(patterns[low]))})"
+        mid = (low + high) // 2
+        return f"CASE WHEN {i} < {mid} THEN {pick(low, mid)} ELSE {pick(mid, high)} END"
+    return pick(0, len(patterns))
 
 
 def skill_match(jobs: DataFrame, taxonomy: DataFrame, id_col: str = "job_id",
@@ -114,21 +32,14 @@ def skill_match(jobs: DataFrame, taxonomy: DataFrame, id_col: str = "job_id",
     rows = [tuple(r) for r in taxonomy.select("category", "standard_name", "regex_pattern").collect()]
     if not rows:
         return jobs.select(id_col, F.lit("").alias("skill_category"), F.lit("").alias("skill_name")).limit(0)
-    entries: dict[str, list[int]] = {}
-    prefixes: dict[str, list[int]] = {}
-    always = []
-    for i, (_, _, pattern) in enumerate(rows):
-        found = entry_words(pattern)
-        if found is None:
-            always.append(i)
-        for word, whole in found or []:
-            (entries if whole else prefixes).setdefault(word, []).append(i)
+    patterns = [p for *_, p in rows]
     text = F.col(text_col)
-    words = F.array_distinct(F.regexp_extract_all(F.lower(text), F.lit(WORDS), F.lit(0)))
-    prepared = jobs.select(F.col(id_col), text.alias("_text"), fold_hazard(text).alias("_hz"), words.alias("_words"))
-    tried = prepared.select(id_col, "_text", F.explode(_candidates(entries, prefixes, always, len(rows))).alias("_i"))
-    patterns = F.array(*[F.lit(ci_pattern(p)) for _, _, p in rows])
-    names = F.array(*[F.struct(F.lit(c).alias("skill_category"), F.lit(n).alias("skill_name")) for c, n, _ in rows])
-    hits = tried.filter(F.regexp("_text", F.get(patterns, F.col("_i"))))
-    return hits.select(id_col, F.get(names, F.col("_i")).alias("_s")).select(
-        id_col, "_s.skill_category", "_s.skill_name").distinct()
+    prepared = jobs.select(F.col(id_col), text.alias("_text"), fold_hazard(text).alias("_hz"),
+                           distinct_words(F.lower(text)).alias("_words"))
+    tried = prepared.select(id_col, "_text", WordIndex(patterns).candidates("_words", "_hz").alias("_ids"))
+    # candidates are tested inside their row, each against a constant pattern (compiled once a
+    # task), and only hits are exploded: no copy of the text per candidate
+    hits = tried.select(id_col, F.explode(F.expr(f"filter(_ids, i -> {_matches_sql('_text', 'i', patterns)})")).alias("_i"))
+    names = ", ".join(f"struct({sql_text(c or '')} AS c, {sql_text(n or '')} AS n)" for c, n, _ in rows)
+    return hits.select(id_col, F.expr(f"get(array({names}), _i)").alias("_s")).select(
+        id_col, F.col("_s.c").alias("skill_category"), F.col("_s.n").alias("skill_name")).distinct()

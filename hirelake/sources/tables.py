@@ -12,3 +12,11 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     if name not in TABLES:
         raise ValueError(f"unknown table {name!r}")
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+
+
+def spread_scan(scan: DataFrame, per_core: int = 2) -> DataFrame:
+    """A plain scan of fewer files than the session has cores, dealt evenly over all of them:
+    a file of one row group is one task, whatever the work after it. Scans of more files,
+    every table of a size that matters among them, stay as they are: no shuffle."""
+    cores = scan.sparkSession.sparkContext.defaultParallelism
+    return scan if len(scan.inputFiles()) >= cores else scan.repartition(per_core * cores)
