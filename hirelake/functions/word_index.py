@@ -2,10 +2,10 @@
 
 Most rule patterns can match only where a certain word stands: each alternative has an entry
 word, the run of word characters that any match of it must hold as a whole word, begin a word
-with, or end a word with. A text is cut into its distinct words once; looking these up gives
-the few patterns that can match, and only those run as regular expressions. A pattern with an
-alternative that has no entry word is a candidate for every text. Candidates are a superset,
-so results are the regexes' own.
+with, or end a word with. A text is cut into its words once; looking these up gives the few patterns that can match, and only
+those run as regular expressions. Where the entry word is only a word's beginning or end, the
+text is searched for it; a pattern with an alternative that has no entry word is a candidate for
+every text. Candidates are a superset, so results are the regexes' own.
 """
 
 from __future__ import annotations
@@ -21,22 +21,30 @@ WORDS = r"(?U)[\w]+"
 WHOLE, BEGIN, END = "whole", "begin", "end"
 
 
-def distinct_words(lowered: Column) -> Column:
-    """The distinct words of a lower-cased text: the one scan of it."""
-    return F.array_distinct(F.regexp_extract_all(lowered, F.lit(WORDS), F.lit(0)))
+def words_of(lowered: Column) -> Column:
+    """The words of a lower-cased text: the one scan of it."""
+    return F.regexp_extract_all(lowered, F.lit(WORDS), F.lit(0))
 
 
 def _is_word(ch: str) -> bool:
     return ch.isalnum() or ch == "_"
 
 
-def _separates(p: str, i: int) -> bool:
-    """Whether ``p`` goes on at ``i`` with a bracket that needs one character, none a word's."""
+def _marks(p: str, i: int) -> int:
+    """Index past a bracket at ``i`` that holds no word characters; 0 if there is none."""
     if p[i:i + 1] != "[" or p[i + 1] == "^":
-        return False
+        return 0
     end = _bracket_end(p, i)
     body = p[i + 1:end - 1]
-    return not any(_is_word(c) or c == "\\" for c in body) and "-" not in body[1:-1] and p[end:end + 1] not in ("?", "*", "{")
+    return 0 if any(_is_word(c) or c == "\\" for c in body) or "-" in body[1:-1] else end
+
+
+def _without_options(p: str) -> list[str]:
+    """Both forms of a pattern with one optional mark, ``a[- ]?b``: with it and without."""
+    for i, c in enumerate(p):
+        if c == "[" and (end := _marks(p, i)) and p[end:end + 1] == "?":
+            return [p[:end] + p[end + 1:], p[:i] + p[end + 1:]]
+    return [p]
 
 
 def entry_word(alternative: str) -> tuple[str, str] | None:
@@ -65,7 +73,7 @@ def entry_word(alternative: str) -> tuple[str, str] | None:
             if p[i + 1].isalnum():
                 break
             c, size = p[i + 1], 2
-        elif c == "[" and _separates(p, i):
+        elif c == "[" and (end := _marks(p, i)) and p[end:end + 1] not in ("?", "*", "{"):
             return found(word, True)
         elif c in "[(.^$*+?{|":
             break
@@ -98,7 +106,7 @@ def _bounded_alternatives(pattern: str) -> list[str]:
 
 def entry_words(pattern: str) -> list[tuple[str, str]] | None:
     """Entry words of all alternatives, or None if one has none."""
-    found = [entry_word(alt) for alt in _bounded_alternatives(pattern)]
+    found = [entry_word(form) for alt in _bounded_alternatives(pattern) for form in _without_options(alt)]
     return None if None in found else found
 
 
@@ -110,36 +118,34 @@ def sql_text(text: str) -> str:
 
 
 class WordIndex:
-    """Candidate patterns (by their number) of a text, from its distinct words."""
+    """Candidate patterns (by their number) of a text, from its words."""
 
     def __init__(self, patterns: Sequence[str]) -> None:
         self.size = len(patterns)
         self.always: list[int] = []
-        self.tables: dict[str, dict[str, list[int]]] = {WHOLE: {}, BEGIN: {}, END: {}}
+        self.whole: dict[str, list[int]] = {}
+        self.parts: dict[str, list[int]] = {}
         for i, pattern in enumerate(patterns):
             entries = entry_words(pattern)
             if entries is None:
                 self.always.append(i)
             for word, kind in dict.fromkeys(entries or []):
-                self.tables[kind].setdefault(word, []).append(i)
-
-    @staticmethod
-    def _lookup(words: str, table: dict[str, list[int]]) -> str:
-        keys = sorted(table)
-        names = ", ".join(map(sql_text, keys))
-        ids = ", ".join(f"array({', '.join(map(str, table[k]))})" for k in keys)
-        return (f"flatten(transform(array_intersect({words}, array({names})), "
-                f"w -> element_at(map_from_arrays(array({names}), array({ids})), w)))")
-
-    def candidates(self, words: str, hazard: str) -> Column:
-        """``array<int>`` over the column names of the distinct words and of the flag of rows
-        that every pattern must try (see ``regex.fold_hazard``). Built as one SQL expression."""
+                ids = (self.whole if kind == WHOLE else self.parts).setdefault(word, [])
+                if i not in ids:
+                    ids.append(i)
+
+    def candidates(self, lowered: str, words: str, hazard: str) -> Column:
+        """``array<int>`` over the column names of the lower-cased text, of its words and of the
+        flag of rows that every pattern must try (see ``regex.fold_hazard``). Built as one SQL
+        expression."""
         parts = [f"cast(array({', '.join(map(str, self.always))}) AS array<int>)"]
-        if self.tables[WHOLE]:
-            parts.append(self._lookup(f"`{words}`", self.tables[WHOLE]))
-        for kind, cut in ((BEGIN, "left"), (END, "right")):
-            for n in sorted({len(w) for w in self.tables[kind]}):
-                cuts = f"transform(filter(`{words}`, w -> length(w) >= {n}), w -> {cut}(w, {n}))"
-                parts.append(self._lookup(cuts, {w: i for w, i in self.tables[kind].items() if len(w) == n}))
+        if self.whole:
+            keys = sorted(self.whole)
+            names = f"array({', '.join(map(sql_text, keys))})"
+            ids = ", ".join(f"array({', '.join(map(str, self.whole[k]))})" for k in keys)
+            parts.append(f"flatten(transform(array_intersect(`{words}`, {names}), "
+                         f"w -> element_at(map_from_arrays({names}, array({ids})), w)))")
+        parts += [f"IF(contains(`{lowered}`, {sql_text(word)}), array({', '.join(map(str, ids))}), cast(array() AS array<int>))"
+                  for word, ids in self.parts.items()]
         return F.expr(f"CASE WHEN `{hazard}` THEN sequence(0, {self.size - 1}) "
                       f"ELSE array_distinct(concat({', '.join(parts)})) END")

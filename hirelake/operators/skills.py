@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from hirelake.functions.regex import ci_pattern, fold_hazard
-from hirelake.functions.word_index import WordIndex, distinct_words, sql_text
+from hirelake.functions.word_index import WordIndex, sql_text, words_of
 
 
 def _matches_sql(text: str, i: str, patterns: list[str]) -> str:
@@ -34,9 +34,9 @@ def skill_match(jobs: DataFrame, taxonomy: DataFrame, id_col: str = "job_id",
         return jobs.select(id_col, F.lit("").alias("skill_category"), F.lit("").alias("skill_name")).limit(0)
     patterns = [p for *_, p in rows]
     text = F.col(text_col)
-    prepared = jobs.select(F.col(id_col), text.alias("_text"), fold_hazard(text).alias("_hz"),
-                           distinct_words(F.lower(text)).alias("_words"))
-    tried = prepared.select(id_col, "_text", WordIndex(patterns).candidates("_words", "_hz").alias("_ids"))
+    prepared = jobs.select(F.col(id_col), text.alias("_text"), fold_hazard(text).alias("_hz"), F.lower(text).alias("_low"))
+    prepared = prepared.withColumn("_words", words_of(F.col("_low")))
+    tried = prepared.select(id_col, "_text", WordIndex(patterns).candidates("_low", "_words", "_hz").alias("_ids"))
     # candidates are tested inside their row, each against a constant pattern (compiled once a
     # task), and only hits are exploded: no copy of the text per candidate
     hits = tried.select(id_col, F.explode(F.expr(f"filter(_ids, i -> {_matches_sql('_text', 'i', patterns)})")).alias("_i"))

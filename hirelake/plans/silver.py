@@ -16,7 +16,6 @@ from hirelake.functions.json_paths import (epoch_timestamp, iso_timestamp, json_
                                            json_decimal, json_first, json_last, json_text,
                                            per_source)
 from hirelake.functions.regex import fold_hazard
-from hirelake.functions.word_index import distinct_words
 from hirelake.functions.text import clean_description, concat_nulls_empty, salary_text
 from hirelake.operators import classify as C
 from hirelake.operators import salary as S
@@ -74,15 +73,14 @@ def enrich(fields: DataFrame) -> DataFrame:
         "_snip_lc": F.lower(F.col("_snippet")),
     })
     stage2 = stage1.withColumns({
-        "_desc_words": distinct_words(F.lower(F.col("job_description"))),
+        "_desc_lc": F.lower(F.col("job_description")),
         "_desc_hz": fold_hazard(F.col("job_description")),
         "_snip_hz": fold_hazard(F.col("_snippet")),
         "_sal_hz": fold_hazard(F.col("salary_text")),
     })
-    stage2 = stage2.withColumn("_desc_rules", C.DESCRIPTION_RULES.candidates("_desc_words", "_desc_hz"))
     stage2 = S.with_salary_matches(stage2, "salary_text")
     # rule inputs by name: each rule test is then built as one SQL expression
-    desc, rules = "job_description", "_desc_rules"
+    desc, dlc, dhz = "job_description", "_desc_lc", "_desc_hz"
     sal = S.salary_fields(F.col("_sal_pre"), F.col("_sal_suf"))
     stage3 = stage2.withColumns({
         "job_country": C.job_country(src, F.col("_area_first"), "_snippet",
@@ -90,10 +88,11 @@ def enrich(fields: DataFrame) -> DataFrame:
         "job_city": C.job_city(src, F.col("_area_first"), F.col("_area_last"),
                                F.col("_snippet"), F.col("_location"), F.col("_snip_lc")),
         "salary_period": C.salary_period("salary_text", "_sal_hz"),
-        "employment_type": C.employment_type(src, F.col("_contract_time"), F.col("_jtype"), desc, rules),
-        "is_remote": C.is_remote(src, F.col("_remote"), desc, rules),
+        "employment_type": C.employment_type(src, F.col("_contract_time"), F.col("_jtype"),
+                                             desc, dlc, dhz),
+        "is_remote": C.is_remote(src, F.col("_remote"), desc, dlc, dhz),
         "position_level": C.position_level(src, F.col("job_title"), F.col("_job_types")),
-        "language_requirement": C.language_requirement(desc, rules),
+        "language_requirement": C.language_requirement(desc, dlc, dhz),
         "raw_currency": sal["raw_currency"],
         "base_salary_min": F.coalesce(F.col("_salary_min"), sal["regex_min"]).cast(S.AMOUNT),
         "base_salary_max": F.coalesce(F.col("_salary_max"), sal["regex_max"]).cast(S.AMOUNT),
