@@ -455,7 +455,9 @@ def _kept(spark, sf) -> DataFrame:
 @register("first_seen_dedup", FIRST_SEEN_SQL + """
 SELECT source, job_key, keyword, page, position FROM kept""")
 def q_first_seen(spark, sf):
-    return _kept(spark, sf).select("source", "job_key", "keyword", "page", "position")
+    firsts = B.first_sights(P.fetch_log(docs(spark, sf)), ["keyword", "title", "page", "position"])
+    kept = B.own_keyword(firsts.withColumn("title_keyword", B.bucket_keyword(F.col("title"))))
+    return kept.select("source", "job_key", "keyword", "page", "position")
 
 
 @register("keyword_bucket", FIRST_SEEN_SQL + """
@@ -519,14 +521,15 @@ def q_landing_roundtrip(spark, sf):
     return rows.select("job_id", "source", "keyword", "country", ntz("extracted_at"))
 
 
-@register("landing_one_day", LANDED_SQL.format(day=LANDING_NEXT_DAY) + " AND fetch_seq % 3 = 0")
+@register("landing_one_day", LANDED_SQL.format(day=LANDING_NEXT_DAY).replace(
+    "source, keyword, 'austria'", "source, 'next ' || keyword AS keyword, 'austria'"))
 def q_landing_one_day(spark, sf):
-    """Two days in the lake, every document on the first and a share on the second; only the
-    second is read."""
+    """Two days in the lake, every job on both, on the second under other keywords; only the
+    second day is read."""
     kept = _kept(spark, sf)
     root = scratch_path(spark, "landing")
     _write_day(spark, kept, root, LANDING_DAY)
-    _write_day(spark, kept.filter(F.col("fetch_seq") % 3 == 0), root, LANDING_NEXT_DAY)
+    _write_day(spark, kept.withColumn("keyword", F.concat(F.lit("next "), "keyword")), root, LANDING_NEXT_DAY)
     rows = landing_rows(spark, root, LANDING_NEXT_DAY)
     return rows.select("job_id", "source", "keyword", "country", ntz("extracted_at"))
 

@@ -12,6 +12,9 @@ _HTML_TAG = "<[^>]+>"
 _LINE_BREAKS = "\r\n\t"
 _MULTI_SPACE = "[" + PG_SPACE_CHARS + "]{2,}"
 
+# Texts with one of these may hold other spaces than the plain one (once line breaks are gone).
+_MAYBE_OTHER_SPACE = r"[\x0B\f\x{1680}-\x{3000}]"
+
 
 def strip_html(text: Column) -> Column:
     """Every ``<...>`` tag becomes one space. Only the text up to its last ``>`` is
@@ -26,9 +29,12 @@ def strip_html(text: Column) -> Column:
 
 def flatten_whitespace(text: Column) -> Column:
     """CR/LF/TAB runs to a space, ``&nbsp;`` to a space, 2+ spaces to one; no trim."""
-    t = F.translate(text, _LINE_BREAKS, "   ")  # runs collapse in the last step
-    t = F.replace(t, F.lit("&nbsp;"), F.lit(" "))
-    return F.regexp_replace(t, _MULTI_SPACE, " ")
+    for c in _LINE_BREAKS:  # runs collapse in the last step
+        text = F.replace(text, F.lit(c), F.lit(" "))
+    t = F.replace(text, F.lit("&nbsp;"), F.lit(" "))
+    # the class of all spaces is slow to test at every character: most texts need only the plain one
+    return F.when(t.rlike(_MAYBE_OTHER_SPACE), F.regexp_replace(t, _MULTI_SPACE, " ")) \
+        .otherwise(F.regexp_replace(t, "  +", " "))
 
 
 def clean_description(text: Column) -> Column:

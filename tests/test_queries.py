@@ -134,3 +134,24 @@ def test_counters_add_up(spark):
     for r in catalog.QUERIES["collection_counters"](spark, SF01).collect():
         assert min(r["n_kept"], r["n_duplicate"], r["n_unmatched"]) >= 0
         assert r["n_kept"] + r["n_duplicate"] + r["n_unmatched"] == r["n_fetched"]
+
+
+def test_hot_key_is_spread(spark):
+    """Rows without an id share one key: the repeats are found by key and order, with no window."""
+    from hirelake.operators.collect import first_sights, tag_first_seen
+    rows = [("jooble", "0", k % 5, 1, k, k, f"t{k}") for k in range(500)] + [("jooble", str(k), 1, 1, k, 500 + k, "Cloud") for k in range(1, 20)]
+    rows += [("arbeitnow", "s", 9, 2, 1, 600, "a"), ("arbeitnow", "s", 1, 3, 1, 601, "b"), ("adzuna", None, 1, 1, 1, 602, "x"), ("adzuna", None, 1, 1, 2, 603, "y")]
+    log = spark.createDataFrame(rows, "source string, job_key string, keyword_rank int, page int, position int, fetch_seq long, title string")
+    tagged = tag_first_seen(log)
+    assert "Window" not in tagged._jdf.queryExecution().executedPlan().toString()
+    firsts = {(r.source, r.job_key, r.fetch_seq) for r in tagged.filter("is_first").collect()}
+    assert firsts == {("jooble", "0", 0), *(("jooble", str(k), 500 + k) for k in range(1, 20)), ("arbeitnow", "s", 600), ("adzuna", None, 602)}
+    assert tagged.count() == len(rows)
+    assert {tuple(r) for r in first_sights(log, ["fetch_seq"]).collect()} == firsts
+
+
+def test_blanks(spark):
+    from hirelake.functions.text import clean_description
+    texts = ["a \t\r\n b", "a b", "a  b", "a – b", "x\x0by  z", "\x0b\x0c", " a  ", "a  b", "a&nbsp; b", None, ""]
+    got = [r.c for r in spark.createDataFrame([(t,) for t in texts], "t string").select(clean_description(F.col("t")).alias("c")).collect()]
+    assert got == ["a b", "a b", "a b", "a – b", "x\x0by z", " ", " a ", "a  b", "a b", None, ""]
