@@ -10,7 +10,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from functools import cached_property
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from hirelake import oracle as O
@@ -23,9 +23,11 @@ from hirelake.operators.dedup import cross_source_dedup, latest_per_key
 from hirelake.operators.merge import insert_only_merge
 from hirelake.plans import gold as G
 from hirelake.plans import postings as P
-from hirelake.plans.silver import silver_job_skills, silver_jobs
+from hirelake.plans.silver import cast_rejects, silver_job_skills, silver_jobs
 from hirelake.session import apply_sql_defaults, scratch_path
 from hirelake.sources.bronze import materialize
+from hirelake.sources.envelope import write_envelopes
+from hirelake.sources.keyed_table import KeyedTable
 from hirelake.sources.landing import (accepted_rows, judged_rows, landing_rows, natural_key, read_landing,
                                       rejected_rows, write_landing)
 from hirelake.sources.tables import read_table, spread_scan
@@ -608,6 +610,69 @@ def q_insert_only_merge(spark, sf):
         (F.col("batch_records") - new).alias("skipped_records"))
 
 
+@register("keyed_table_loads", ORACLE["insert_only_merge"])
+def q_keyed_table_loads(spark, sf):
+    """The same three loads into the bucketed table; the result is the audit it keeps."""
+    log = P.fetch_log(docs(spark, sf))
+    keyed = natural_key(log.select("source", "raw_data", "fetch_seq")).select(
+        "job_id", "source", F.lit("fetch").alias("_source_file"), F.col("fetch_seq").alias("_source_pos"))
+    keyed = materialize(keyed, scratch_path(spark, "fetched"))
+    table = KeyedTable(spark, scratch_path(spark, "keyed"), keyed.schema, buckets=16)
+    for step in (2, 3, 1):
+        table.merge(keyed.filter(F.col("_source_pos") % step == 0))
+    return table.loads().drop("load_id")
+
+
+@register("envelope_files", LANDED_SQL.format(day=LANDING_DAY))
+def q_envelope_files(spark, sf):
+    """Written as one envelope file per board and keyword, read back in that layout."""
+    root = scratch_path(spark, "envelopes")
+    write_envelopes(_kept(spark, sf), root, F.lit(f"{LANDING_DAY} 06:00:00").cast("timestamp"))
+    rows = landing_rows(spark, root, LANDING_DAY, layout="plain")
+    return rows.select("job_id", "source", "keyword", "country", ntz("extracted_at"))
+
+
+# Payloads with values of the wrong kind, by doc_id: the cycle of each column's bad value.
+BAD_VALUE_EVERY = {"salary_min": 7, "salary_max": 11, "remote": 5, "job_posted_at": 13}
+
+
+def _misfit_bronze(documents: DataFrame) -> DataFrame:
+    d = F.col("doc_id")
+    source = F.element_at(F.array(*[F.lit(s) for s in P.SOURCES]), (F.pmod(d, F.lit(3)) + 1).cast("int"))
+    bad = {c: F.pmod(d, F.lit(n)) == 0 for c, n in BAD_VALUE_EVERY.items()}
+    stamp = F.when(bad["job_posted_at"], F.lit("soon")).otherwise(
+        F.when(source == "arbeitnow", F.lit("1775023200")).otherwise(F.lit("2026-04-01T06:00:00Z")))
+    raw = F.to_variant_object(F.struct(
+        d.cast("string").alias("id"), F.col("text").alias("description"), F.col("text").alias("snippet"),
+        F.when(bad["salary_min"], F.lit("a lot")).otherwise(F.lit("50000")).alias("salary_min"),
+        F.when(bad["salary_max"], F.lit("")).when(F.pmod(d, F.lit(2)) == 0, F.lit("70000")).alias("salary_max"),
+        F.when(bad["remote"], F.lit("maybe")).otherwise(F.lit("true")).alias("remote"),
+        stamp.alias("created"), stamp.alias("updated"), stamp.alias("created_at")))
+    return documents.select(d.cast("string").alias("job_id"), source.alias("source"), F.lit("Cloud").alias("keyword"),
+                            F.lit(f"{LANDING_DAY} 06:00:00").cast("timestamp").alias("extracted_at"),
+                            raw.alias("raw_data"), F.lit("documents").alias("_source_file"), d.alias("_source_pos"))
+
+
+@register("cast_rejects", """
+SELECT column_name, count(text) AS n_values, count(*) FILTER (text IS NOT NULL AND value IS NULL) AS n_rejected FROM (
+  SELECT 'salary_min' AS column_name, v AS text, TRY_CAST(v AS DECIMAL(38,4))::VARCHAR AS value
+  FROM (SELECT CASE WHEN doc_id % 7 = 0 THEN 'a lot' ELSE '50000' END AS v FROM documents)
+  UNION ALL SELECT 'salary_max', v, TRY_CAST(v AS DECIMAL(38,4))::VARCHAR
+  FROM (SELECT CASE WHEN doc_id % 11 = 0 THEN '' WHEN doc_id % 2 = 0 THEN '70000' END AS v FROM documents)
+  UNION ALL SELECT 'remote', v, TRY_CAST(v AS BOOLEAN)::VARCHAR
+  FROM (SELECT CASE WHEN doc_id % 5 = 0 THEN 'maybe' ELSE 'true' END AS v FROM documents)
+  UNION ALL SELECT 'job_posted_at', v, CASE WHEN doc_id % 3 = 2 THEN TRY_CAST(v AS DOUBLE)::VARCHAR
+                                            ELSE TRY_CAST(v AS TIMESTAMPTZ)::VARCHAR END
+  FROM (SELECT doc_id, CASE WHEN doc_id % 13 = 0 THEN 'soon' WHEN doc_id % 3 = 2 THEN '1775023200'
+                            ELSE '2026-04-01T06:00:00Z' END AS v FROM documents)) GROUP BY 1""")
+def q_cast_rejects(spark, sf):
+    """Values of the payloads that silver could not cast, counted while it is written."""
+    casts = Observation("casts")
+    bronze_t = materialize(_misfit_bronze(docs(spark, sf)), scratch_path(spark, "bronze"))
+    materialize(silver_jobs(bronze_t, casts), scratch_path(spark, "silver"))
+    return cast_rejects(spark, casts)
+
+
 @register("stream_ingest", FIRST_SEEN_SQL + """
 SELECT job_key AS job_id, source, keyword, 'austria' AS country FROM kept
 WHERE NOT (source = 'jooble' AND jooble_id = 0)""")

@@ -17,6 +17,8 @@ from hirelake.operators.salary import YEARLY_FLOOR, drop_outliers, salary_midpoi
 MIN_POSTINGS_PER_SKILL = 5
 OUTLIER_HIGH = 300000
 
+SKETCH_K = 800  # size of the quantile sketches
+
 
 def cross_filter(fact: DataFrame, role: str | None = None, **equals) -> DataFrame:
     """Restrict any metric to a search role (and/or other column values)."""
@@ -35,6 +37,23 @@ def exact_median(df: DataFrame, keys: list[str], value: Column | str,
                                    F.sum("_n").alias(count_name))
 
 
+def sketch_median(df: DataFrame, keys: list[str], value: Column | str, name: str = "median_value",
+                  count_name: str = "n_values", k: int = SKETCH_K) -> DataFrame:
+    """Median per group from a mergeable quantile sketch of fixed size, for values too many and
+    too varied to count: the rank of the answer is within ``rank_error(k)`` of the middle with
+    99 % probability. One shuffle of one sketch per group and task."""
+    v = (F.col(value) if isinstance(value, str) else value).cast("double")
+    sketched = (df.select(*keys, v.alias("_v")).filter(F.col("_v").isNotNull()).groupBy(*keys)
+                .agg(F.kll_sketch_agg_double("_v", k).alias("_s")))
+    return sketched.select(*keys, F.kll_sketch_get_quantile_double("_s", F.lit(0.5)).alias(name),
+                           F.kll_sketch_get_n_double("_s").alias(count_name))
+
+
+def rank_error(k: int = SKETCH_K) -> float:
+    """Normalized rank error of a KLL sketch of size ``k`` (99 % confidence, published fit)."""
+    return 2.296 / k ** 0.9021
+
+
 def skill_demand(bridge: DataFrame, skills: DataFrame, top_n: int = 10,
                  fact: DataFrame | None = None, role: str | None = None) -> DataFrame:
     """Postings per skill, most demanded first (ties by name), top ``top_n``."""
@@ -49,9 +68,10 @@ def skill_demand(bridge: DataFrame, skills: DataFrame, top_n: int = 10,
     return out.orderBy(F.col("n_postings").desc(), F.col("skill_name").asc()).limit(top_n)
 
 
-def median_salary_by_role(fact: DataFrame) -> DataFrame:
-    return exact_median(fact, ["search_role"], "salary_midpoint_yearly",
-                        "median_salary", "n_postings")
+def median_salary_by_role(fact: DataFrame, exact: bool = True) -> DataFrame:
+    """Exact, or from a sketch (:func:`sketch_median`)."""
+    median = exact_median if exact else sketch_median
+    return median(fact, ["search_role"], "salary_midpoint_yearly", "median_salary", "n_postings")
 
 
 def remote_share(fact: DataFrame, by: list[str] | None = None) -> DataFrame:
@@ -90,5 +110,5 @@ def exclude_tier3(silver: DataFrame) -> DataFrame:
     return silver.filter(~F.col("description_quality_tier").startswith("Tier 3"))
 
 
-__all__ = ["cross_filter", "exact_median", "skill_demand", "median_salary_by_role",
+__all__ = ["cross_filter", "exact_median", "sketch_median", "rank_error", "skill_demand", "median_salary_by_role",
            "remote_share", "highest_paying_skills", "without_outliers", "exclude_tier3"]

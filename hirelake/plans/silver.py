@@ -9,7 +9,7 @@ rows as classifying first, because every later column is a function of its own r
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from hirelake.functions.json_paths import (epoch_timestamp, iso_timestamp, json_bool,
@@ -107,9 +107,41 @@ def enrich(fields: DataFrame) -> DataFrame:
     return stage4
 
 
-def silver_jobs(bronze: DataFrame) -> DataFrame:
-    """The 20-column cleaned posting table (one row per job_id, source)."""
+def payload_casts(raw: Column, source: Column) -> dict[str, tuple[Column, Column]]:
+    """Payload values that silver casts, per column: the text and its typed value. Bad values
+    become NULL there (one bad row must not stop a load), so they are counted."""
+    posted = per_source(source, {"adzuna": json_text(raw, "$.created"), "jooble": json_text(raw, "$.updated")},
+                        json_text(raw, "$.created_at"))
+    stamp = per_source(source, {"arbeitnow": epoch_timestamp(posted)}, iso_timestamp(posted))
+    return {"salary_min": (json_text(raw, "$.salary_min"), json_decimal(raw, "$.salary_min")),
+            "salary_max": (json_text(raw, "$.salary_max"), json_decimal(raw, "$.salary_max")),
+            "remote": (json_text(raw, "$.remote"), json_bool(raw, "$.remote")),
+            "job_posted_at": (posted, stamp)}
+
+
+def observe_casts(bronze: DataFrame, metrics: Observation) -> DataFrame:
+    """The same rows; ``metrics`` gets, with the job that writes them, how many payload values
+    of each column there are and how many do not cast."""
+    counts = []
+    for name, (text, value) in payload_casts(F.col("raw_data"), F.col("source")).items():
+        counts += [F.count(text).alias(f"{name}/values"), F.count_if(text.isNotNull() & value.isNull()).alias(f"{name}/rejected")]
+    return bronze.observe(metrics, *counts)
+
+
+def cast_rejects(spark: SparkSession, metrics: Observation) -> DataFrame:
+    """(column_name, n_values, n_rejected) from the metrics of a finished job."""
+    found = metrics.get
+    names = dict.fromkeys(key.split("/")[0] for key in found)
+    return spark.createDataFrame([(n, found[f"{n}/values"], found[f"{n}/rejected"]) for n in names],
+                                 "column_name string, n_values long, n_rejected long")
+
+
+def silver_jobs(bronze: DataFrame, casts: Observation | None = None) -> DataFrame:
+    """The 20-column cleaned posting table (one row per job_id, source). ``casts`` observes
+    rejected payload values (:func:`observe_casts`) while the table is written."""
     latest = latest_per_key(bronze)
+    if casts is not None:
+        latest = observe_casts(latest, casts)
     out = enrich(extract_fields(latest))
     return out.select(
         "job_id", "source", "keyword",

@@ -85,18 +85,15 @@ def explode_jobs(df: DataFrame) -> DataFrame:
                      F.posexplode(jobs).alias("_source_pos", "raw_data"))
 
 
+# JSON texts of the values that Python treats as false.
+FALSY = r'^(null|false|""|\[\]|\{\}|-?0+(\.0+)?([eE][+-]?[0-9]+)?)$'
+
+
 def _truthy_text(raw: Column, path: str) -> Column:
     """Text of a field when Python would treat the value as true (not null, "", 0,
-    false, empty list/object); else NULL."""
-    txt = json_text(raw, path)
-    kind = F.schema_of_variant(F.try_variant_get(raw, path, "variant"))
-    falsy = (txt.isNull() | (txt == "")
-             | (kind.isin("BOOLEAN") & (txt == "false"))
-             | (kind.startswith("DECIMAL") | kind.isin("BIGINT", "INT", "SMALLINT", "TINYINT", "DOUBLE", "FLOAT"))
-             & (txt.try_cast("double") == 0)
-             | (kind.startswith("ARRAY") & (txt == "[]"))
-             | (kind.startswith("OBJECT") & (txt == "{}")))
-    return F.when(~falsy, txt)
+    false, empty list/object); else NULL. The string "0" is true: its JSON text has quotes."""
+    value = F.to_json(F.try_variant_get(raw, path, "variant"))
+    return F.when(~value.rlike(FALSY), json_text(raw, path))
 
 
 def with_natural_key(df: DataFrame) -> DataFrame:
