@@ -24,6 +24,7 @@ from hirelake.operators.merge import insert_only_merge
 from hirelake.plans import gold as G
 from hirelake.plans import postings as P
 from hirelake.plans.silver import cast_rejects, silver_job_skills, silver_jobs
+from hirelake.plans.warehouse import Warehouse
 from hirelake.session import apply_sql_defaults, scratch_path
 from hirelake.sources.bronze import materialize
 from hirelake.sources.envelope import write_envelopes
@@ -610,6 +611,40 @@ def q_insert_only_merge(spark, sf):
         (F.col("batch_records") - new).alias("skipped_records"))
 
 
+@register("daily_run", GOLD_SQL + """,
+tables AS (
+  SELECT 'silver_jobs' AS name, count(*) AS n FROM silver
+  UNION ALL SELECT 'silver_job_skills', count(*) FROM job_skills
+  UNION ALL SELECT 'fct_job_postings', count(*) FROM fact
+  UNION ALL SELECT 'dim_companies', count(*) FROM dim_companies
+  UNION ALL SELECT 'dim_skills', count(*) FROM dim_skills
+  UNION ALL SELECT 'dim_date', count(*) FROM dim_date
+  UNION ALL SELECT 'bridge_job_skills', count(*) FROM bridge),
+steps AS (
+  SELECT 'rows' AS step, name, n FROM tables
+  UNION ALL SELECT 'rejected_cast', unnest(['salary_min', 'salary_max', 'remote', 'job_posted_at']), 0
+  UNION ALL SELECT 'check', unnest(['dim_companies.company_id unique', 'dim_companies.company_id not_null',
+    'dim_skills.skill_id unique', 'dim_skills.skill_id not_null', 'fct_job_postings.job_id not_null',
+    'fct_job_postings.company_id not_null']), 0
+  UNION ALL SELECT 'check', 'fct_job_postings.job_id unique',
+    (SELECT count(*) FROM (SELECT job_id FROM fact GROUP BY 1 HAVING count(*) > 1))),
+loads AS (
+  SELECT 'load' AS step, 'batch_records' AS name, count(*) AS first, count(*) AS again FROM documents
+  UNION ALL SELECT 'load', 'new_records', count(*), 0 FROM documents
+  UNION ALL SELECT 'load', 'skipped_records', 0, count(*) FROM documents)
+SELECT r.run, step, name, n FROM steps, (SELECT unnest([1, 2]) AS run) r
+UNION ALL SELECT 1, step, name, first FROM loads UNION ALL SELECT 2, step, name, again FROM loads""")
+def q_daily_run(spark, sf):
+    """All postings landed as envelope files of one day; the whole run on them, twice."""
+    lake = scratch_path(spark, "lake")
+    write_envelopes(bronze(spark, sf), lake, F.lit(f"{LANDING_DAY} 06:00:00").cast("timestamp"), order=("_source_pos",))
+    root = scratch_path(spark, "warehouse")
+    house = Warehouse(spark, root, prefix=f"run_{root[-12:]}_", buckets=16)
+    seed = read_taxonomy(spark)
+    reports = [house.daily_run(lake, LANDING_DAY, seed).withColumn("run", F.lit(run)) for run in (1, 2)]
+    return reports[0].unionByName(reports[1]).select("run", "step", "name", "n")
+
+
 @register("keyed_table_loads", ORACLE["insert_only_merge"])
 def q_keyed_table_loads(spark, sf):
     """The same three loads into the bucketed table; the result is the audit it keeps."""

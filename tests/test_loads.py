@@ -152,3 +152,15 @@ def test_sketch_median_is_within_its_bound(spark):
         assert r.n_postings == len(values[r.search_role]) and abs(rank - 0.5) <= rank_error()
     exact = {r.search_role: r.median_salary for r in median_salary_by_role(fact).collect()}
     assert set(exact) == {"a", "b"}
+
+
+def test_refresh_that_readers_survive(spark, tmpdir_path):
+    from hirelake.plans.warehouse import Warehouse
+    house = Warehouse(spark, tmpdir_path, prefix="t_refresh_")
+    reader = house.refresh("gold", "t", spark.range(3))
+    with pytest.raises(Exception, match="broken"):
+        house.refresh("gold", "t", spark.range(9).withColumn("id", F.when(F.col("id") == 8, F.raise_error(F.lit("broken"))).otherwise(F.col("id")).cast("long")))
+    assert house.table("gold", "t").count() == 3
+    house.refresh("gold", "t", spark.range(5))
+    assert reader.count() == 3 and house.table("gold", "t").count() == 5
+    assert house.drop_versions("gold", "t") == 2 and house.table("gold", "t").count() == 5
