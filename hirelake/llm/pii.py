@@ -61,6 +61,9 @@ AGAINST = "version|order|invoice|serial|isbn|model|build|release"
 CONTEXT_BEFORE, CONTEXT_AFTER = 48, 24
 CONTEXT_BONUS, CONTEXT_MALUS = 0.2, 0.3
 MIN_SCORE = 0.5
+# No match of any kind is shorter (a@b.c); matches whose places are summed up at once.
+SHORTEST = 5
+BLOCK = 64
 
 
 def _quoted(text: str) -> str:
@@ -75,28 +78,44 @@ def _found(kind: Kind) -> Column:
                   f"ELSE cast(array() AS array<string>) END")
 
 
+def _gaps(kind: Kind) -> Column:
+    """The pieces of ``text`` before, between and after the matches of a kind."""
+    return F.expr(f"CASE WHEN size(m_{kind.name}) > 0 THEN split(text, {_quoted(kind.pattern)}, -1) "
+                  f"ELSE cast(array() AS array<string>) END")
+
+
 def _spans(kind: Kind, order: int) -> Column:
-    """Confirmed spans of a kind from its matches ``m_<kind>``: the pieces between matches
-    give the places, in code points."""
-    matches = f"m_{kind.name}"
-    walked = (
-        f"aggregate(sequence(0, size({matches}) - 1), "
-        f"named_struct('at', 0, 'out', cast(array() AS array<struct<s:int,e:int,m:string>>), "
-        f"'gaps', split(text, {_quoted(kind.pattern)}, -1)), "
-        f"(a, i) -> named_struct('at', a.at + length(get(a.gaps, i)) + length(get({matches}, i)), "
-        f"'out', concat(a.out, array(named_struct('s', a.at + length(get(a.gaps, i)), "
-        f"'e', a.at + length(get(a.gaps, i)) + length(get({matches}, i)), 'm', get({matches}, i)))), "
-        f"'gaps', a.gaps), a -> a.out)")
-    kept = f"transform(filter({walked}, x -> exists(array(x.m), m -> {kind.confirm})), x -> named_struct(" \
-           f"'s', x.s, 'o', {order}, 'e', x.e, 'kind', '{kind.name}', 'base', {str(kind.base).lower()}, " \
-           f"'score', {_score(kind)}))"
-    return F.expr(f"CASE WHEN size({matches}) = 0 THEN cast(array() AS array<struct<s:int,o:int,e:int,"
-                  f"kind:string,base:boolean,score:double>>) ELSE {kept} END")
-
-
-def _score(kind: Kind) -> str:
-    near = (f"lower(concat(substr(text, greatest(1, x.s + 1 - {CONTEXT_BEFORE}), least(x.s, {CONTEXT_BEFORE})), "
-            f"' ', substr(text, x.e + 1, {CONTEXT_AFTER})))")
+    """Confirmed spans of a kind from its matches ``m_<kind>`` and the pieces between them
+    ``g_<kind>``, whose lengths give the places, in code points. Places are summed up inside
+    blocks of matches and over the blocks, so a text with very many matches costs little more
+    than in proportion to them."""
+    m, g = f"m_{kind.name}", f"g_{kind.name}"
+    block = (f"aggregate(sequence(b * {BLOCK}, least(size({m}), (b + 1) * {BLOCK}) - 1), "
+             f"named_struct('at', 0, 'out', cast(array() AS array<int>)), (a, i) -> named_struct("
+             f"'at', a.at + length(get({g}, i)) + length(get({m}, i)), "
+             f"'out', concat(a.out, array(a.at + length(get({g}, i))))))")
+    blocks = f"transform(sequence(0, (size({m}) - 1) div {BLOCK}), b -> {block})"
+    summed = (f"aggregate(p, named_struct('at', 0, 'out', cast(array() AS array<int>)), (a, x) -> named_struct("
+              f"'at', a.at + x.at, 'out', concat(a.out, array(a.at))), a -> a.out)")
+    starts = (f"flatten(transform(array({blocks}), p -> flatten(zip_with(p, {summed}, "
+              f"(x, at) -> transform(x.out, s -> s + at)))))")
+    kept = (f"filter(transform({starts}, (s, i) -> named_struct('s', s, 'e', s + length(get({m}, i)), 'i', i, 'm', get({m}, i))), "
+            f"x -> exists(array(x.m), m -> {kind.confirm}))")
+    scored = f"transform({kept}, x -> named_struct(" \
+             f"'s', x.s, 'o', {order}, 'e', x.e, 'kind', '{kind.name}', 'base', {str(kind.base).lower()}, " \
+             f"'score', {_score(kind, m, g)}))"
+    return F.expr(f"CASE WHEN size({m}) = 0 THEN cast(array() AS array<struct<s:int,o:int,e:int,"
+                  f"kind:string,base:boolean,score:double>>) ELSE {scored} END")
+
+
+def _score(kind: Kind, m: str, g: str) -> str:
+    """The context of match ``x.i`` is put together from the pieces around it: cutting it out of
+    the whole text would walk the text once per match."""
+    before = (f"right(array_join(transform(sequence(greatest(0, x.i - {CONTEXT_BEFORE // SHORTEST + 1}), x.i), j -> "
+              f"concat(right(get({g}, j), {CONTEXT_BEFORE}), CASE WHEN j < x.i THEN get({m}, j) ELSE '' END)), ''), {CONTEXT_BEFORE})")
+    after = (f"left(array_join(transform(sequence(x.i + 1, least(size({m}), x.i + 1 + {CONTEXT_AFTER // SHORTEST + 1})), j -> "
+             f"concat(left(get({g}, j), {CONTEXT_AFTER}), coalesce(left(get({m}, j), {CONTEXT_AFTER}), ''))), ''), {CONTEXT_AFTER})")
+    near = f"lower(concat({before}, ' ', {after}))"
     return (f"cast(round(least(1.0D, greatest(0.0D, {kind.prior}D + CASE WHEN {near} RLIKE {_quoted(kind.context)} "
             f"THEN {CONTEXT_BONUS}D ELSE 0.0D END - CASE WHEN {near} RLIKE {_quoted(AGAINST)} "
             f"THEN {CONTEXT_MALUS}D ELSE 0.0D END)), 3) AS double)")
@@ -114,6 +133,7 @@ def find_pii(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     out = docs.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     out = out.withColumn("has_digit", F.col("text").rlike("[0-9]"))
     out = out.withColumns({f"m_{k.name}": _found(k) for k in KINDS})
+    out = out.withColumns({f"g_{k.name}": _gaps(k) for k in KINDS})
     out = out.withColumns({f"s_{k.name}": _spans(k, i) for i, k in enumerate(KINDS)})
     spans = F.array_sort(F.concat(*[F.col(f"s_{k.name}") for k in KINDS]))
     spans = F.filter(spans, lambda x: x["base"] | (x["score"] >= min_score))

@@ -80,3 +80,20 @@ def test_awkward_rows(awkward, clashing, documents):
     assert pii.find_pii(documents([])).count() == 0
     red = pii.redact(documents([(1, "mail a@b.co or 10.0.0.1 now", "en", "a")])).collect()
     assert red[0].text == "mail [email] or [ip] now"
+
+
+def test_places_and_time_with_very_many_matches(documents):
+    """Blocks of places join up, and a text of very many matches takes little time."""
+    import time
+
+    from hirelake.llm import pii
+    for n in (1, 63, 64, 65, 130):
+        text = "é" + "".join(f" a{k}@b.cd,x" for k in range(n))
+        got = pii.find_pii(documents([(1, text, "en", "a")])).first().spans
+        assert [text[x.s:x.e] for x in got] == [f"a{k}@b.cd" for k in range(n)]
+    text = " ".join(f"user{k}@host{k}.example.org" for k in range(100_000))
+    began = time.time()
+    found = pii.find_pii(documents([(1, text, "en", "a")])).selectExpr("size(spans) AS n", "spans[99999].e AS e").first()
+    assert (found.n, found.e) == (100_000, len(text))
+    print("100,000 addresses:", round(time.time() - began, 1), "s")
+    assert time.time() - began < 60
