@@ -11,12 +11,12 @@ of the vocabulary times the languages, reaches the driver.
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import regex
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
@@ -30,15 +30,17 @@ TRAIN_ROWS = 1500
 ITERATIONS = 4
 SMOOTHING = 0.05
 HELD_OUT = (4, 2)
-# Longer runs of letters are scored in stretches of this many.
-LONGEST_RUN = 48
+# Training cuts longer runs of letters into stretches of this many; scoring does not.
+TRAINED_RUN = 48
 # Words whose scores a task remembers before it starts anew.
 REMEMBERED_WORDS = 400_000
 # Documents below this posterior, or without letters, are rejected by the filter.
 MIN_SCORE = 0.5
 START = "▁"
-LETTERS = re.compile(r"[^\W\d_]+")
+LETTERS = regex.compile(r"\p{L}+")
 _SCALE = 16.0
+# Prefix sums are scaled back beyond this, or its inverse, so that no product leaves the range of doubles.
+_SMALL = 1e-100
 
 
 def vocabulary_pieces(path: str = VOCABULARY) -> list[str]:
@@ -74,9 +76,18 @@ class Lattice:
         return out
 
 
+    def ending(self, words: list[str], j: int, back: int) -> np.ndarray | None:
+        """Ids of the spans of ``back`` letters that end before ``j``; None if none is a piece."""
+        get = self.ids.get
+        ids = np.fromiter((get(w[j - back:j], 0) for w in words), np.int64, len(words))
+        if back == 1:
+            ids[ids == 0] = 1
+        return ids if ids.any() else None
+
+
 def _stretches(run: str) -> list[str]:
     marked = START + run
-    return [marked[k:k + LONGEST_RUN] for k in range(0, len(marked), LONGEST_RUN)]
+    return [marked[k:k + TRAINED_RUN] for k in range(0, len(marked), TRAINED_RUN)]
 
 
 def _by_length(words: Iterable[str]) -> Iterator[list[str]]:
@@ -86,17 +97,27 @@ def _by_length(words: Iterable[str]) -> Iterator[list[str]]:
     return iter(groups.values())
 
 
-def _forward(lattice: Lattice, words: list[str], scaled: np.ndarray):
-    """Scaled prefix sums alpha[position][word, column] over all segmentations."""
-    spans = lattice.spans(words)
-    length = len(words[0])
-    alpha = [np.zeros((len(words), scaled.shape[1])) for _ in range(length + 1)]
-    alpha[0][:] = 1.0
-    for i in range(length):
-        for j in range(i + 1, min(length, i + lattice.longest) + 1):
-            if (i, j) in spans:
-                alpha[j] += alpha[i] * scaled[spans[i, j]]
-    return alpha, spans
+def _log_sums(lattice: Lattice, words: list[str], scaled: np.ndarray) -> np.ndarray:
+    """Logarithms [word, column] of the probabilities of equally long words, summed over all
+    segmentations. Only the prefix sums that a piece can still reach are held, and they are
+    scaled together when they get small or large, so words of any length stay in range and
+    need not be cut."""
+    length, reach = len(words[0]), lattice.longest
+    alpha = [np.ones((len(words), scaled.shape[1]))]  # of the last positions
+    logs = np.full(alpha[0].shape, -length * np.log(_SCALE))
+    for j in range(1, length + 1):
+        total = np.zeros_like(alpha[0])
+        for back, before in enumerate(reversed(alpha), 1):
+            ids = lattice.ending(words, j, back)
+            if ids is not None:
+                total += before * scaled[ids]
+        alpha = [*alpha[-(reach - 1):], total] if reach > 1 else [total]
+        far = (total > 0) & ((total < _SMALL) | (total > 1.0 / _SMALL))
+        if far.any():
+            factor = 1.0 / np.where(far, total, 1.0)
+            logs -= np.log(factor)
+            alpha = [a * factor for a in alpha]
+    return logs + np.log(alpha[-1])
 
 
 def _scaled(probability: np.ndarray, pieces: list[str]) -> np.ndarray:
@@ -129,20 +150,10 @@ class Scorer:
             grown = np.zeros((max(need, 2 * len(self.logs)), self.scaled.shape[1]))
             grown[:at] = self.logs[:at]
             self.logs = grown
-        for group in _by_length(w for w in words if len(w) < LONGEST_RUN):
-            alpha, _ = _forward(self.lattice, [START + w for w in group], self.scaled)
-            self.logs[at:at + len(group)] = np.log(alpha[-1]) - (len(group[0]) + 1) * np.log(_SCALE)
+        for group in _by_length(words):
+            self.logs[at:at + len(group)] = _log_sums(self.lattice, [START + w for w in group], self.scaled)
             self.place.update(zip(group, range(at, at + len(group)), strict=True))
             at += len(group)
-        for w in words:
-            if len(w) >= LONGEST_RUN:
-                total = np.zeros(self.scaled.shape[1])
-                for part in _stretches(w):
-                    alpha, _ = _forward(self.lattice, [part], self.scaled)
-                    total += np.log(alpha[-1][0]) - len(part) * np.log(_SCALE)
-                self.logs[at] = total
-                self.place[w] = at
-                at += 1
 
     def texts(self, texts: list[str]) -> np.ndarray:
         """(texts, languages) summed word log-probabilities; a row of NaN without letters."""
@@ -183,8 +194,9 @@ def _expected_counts(pieces: list[str], languages: list[str], probability: np.nd
                     alpha[j] += alpha[i] * p[i, j]
                 for (i, j) in sorted(p, key=lambda s: -s[0]):
                     beta[i] += beta[j] * p[i, j]
+                weight /= np.where(alpha[length] > 0, alpha[length], np.inf)
                 for (i, j), ids in spans.items():
-                    share = alpha[i] * p[i, j] * beta[j] / alpha[length] * weight
+                    share = alpha[i] * p[i, j] * beta[j] * weight
                     np.add.at(total, (ids, own), share)
         k, lang = np.nonzero(total[2:])
         yield pa.RecordBatch.from_arrays(

@@ -47,6 +47,23 @@ def test_long_runs_are_scored_whole():
     scorer = langid.Scorer(sorted(pieces), np.array([[0.5], [0.5]]))
     got = scorer.texts(["a" * 5000])[0][0]
     assert math.isclose(got, 5001 * math.log(0.5), rel_tol=1e-9)
+    # a piece across any place of a long run counts: f(n) = f(n - 1) / 4 + f(n - 2) / 2
+    both = langid.Scorer(["a", "aa", "▁"], np.array([[0.25], [0.5], [1.0]])).texts(["a" * 100])[0][0]
+    f = [1.0, 0.25]
+    for _ in range(99):
+        f.append(f[-1] / 4 + f[-2] / 2)
+    assert math.isclose(both, math.log(f[100]), rel_tol=1e-9)
+
+
+def test_no_run_underflows_and_numerals_are_no_letters():
+    """Letters that every language gives next to nothing, in runs of any length."""
+    pieces = sorted(["a", "b", "ab", "▁"])
+    p = np.array([[1e-12, 1e-15]] * 4)
+    scorer = langid.Scorer(pieces, p)
+    for run in ("b" * 47, "b" * 48, "世" * 300, "b" * 3000):
+        got = scorer.texts([run])[0]
+        assert np.isfinite(got).all() and got[0] > got[1]
+    assert np.isnan(scorer.texts(["½ ² ٣ 4_ ", "", "a"])[:, 0]).tolist() == [True, True, False]
 
 
 def test_held_out_accuracy_and_labels_not_leaked(documents):
