@@ -50,3 +50,33 @@ def test_stages(spark):
             bins.setdefault(r.bin_id, []).append(r)
     assert all(sum(r.n_words for r in held) <= 2048 for held in bins.values())
     assert all(len({r.source for r in held}) == len(held) for held in bins.values())
+
+
+def test_every_stage_on_awkward_rows(spark, awkward, clashing, documents):
+    """Nulls, empty and long texts, ties, repeated rows, extra columns, an empty table."""
+    rows = awkward.collect()
+    labelled = documents([(100 + k, f"this is text number {k} with words", "en", "b") for k in range(12)])
+    for name, stage in corpus_pipeline.STAGES:
+        for frame in (awkward, clashing, documents([])):
+            empty = frame is not awkward and frame is not clashing
+            known = frame if empty else frame.unionByName(labelled, allowMissingColumns=True)
+            docs = staged(known, f"test-awkward-{name}")
+            out = staged(stage(spark, docs, ""), f"test-awkward-out-{name}")
+            got = out.collect()
+            if name != "packing":
+                assert out.columns == frame.columns
+            if empty:
+                assert got == []
+                continue
+            ids = [r.doc_id for r in got if r.doc_id is None or r.doc_id < 100]
+            if name == "language":  # without letters none is determined
+                assert {3, 4, 5}.isdisjoint(ids) and {1, 2, 6}.issubset(ids)
+            elif name == "exact":  # of equal texts the largest id, null texts are empty ones
+                assert sorted(ids, key=str) == sorted([2, 4, 5, 6, 7, 8, None], key=str)
+            elif name == "near":
+                assert 2 not in ids and {1, 3, 4, 5, 6, 7, 8}.issubset(ids) and ids.count(None) == 2
+            elif name == "mixing":
+                assert set(ids) <= {r.doc_id for r in rows} and max(map(ids.count, set(ids))) <= 6
+            else:
+                words = sum(len(re.findall(r"[^\x20\x09-\x0D]+", r.text or "")) for r in known.collect())
+                assert sum(r.n_words for r in got) == words
