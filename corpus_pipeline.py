@@ -19,22 +19,31 @@ from hirelake.llm.packing import pack
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keeps documents whose language is determined. Null, empty and letterless texts go; without
+    any labelled row nothing is determined and all go."""
     return known_language(docs)
 
 
 def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of equal texts the row with the largest id stays; null counts as empty, of rows that repeat
+    both text and id one stays."""
     return drop_copies(docs, from_files=True)
 
 
 def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each group of near duplicates the document with the least id stays. Rows without an id or
+    without words are no one's copy and stay."""
     return drop_near_copies(docs)
 
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Rows as often as the mix takes them, none to three times. Rows without words have size 0 and
+    follow the copies of their place; a null source is a source of its own."""
     return mixed_rows(docs)
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Sequences of documents; the last stage, with its own columns. Rows without words need no room."""
     return pack(docs)
 
 
