@@ -63,6 +63,7 @@ def test_no_run_underflows_and_numerals_are_no_letters():
     for run in ("b" * 47, "b" * 48, "世" * 300, "b" * 3000):
         got = scorer.texts([run])[0]
         assert np.isfinite(got).all() and got[0] > got[1]
+    assert langid.letter_runs("aé½b ²c_d3e ١f") == ["aé", "b", "c", "d", "e", "f"]
     assert np.isnan(scorer.texts(["½ ² ٣ 4_ ", "", "a"])[:, 0]).tolist() == [True, True, False]
 
 
