@@ -3,11 +3,12 @@
 A text is cut into paragraphs, each hashed to a digest, and every digest is entered into three
 cells of a block of 32 (count, xor of digests, xor of checks); the number of blocks grows with
 the paragraphs. Two sketches are subtracted cell by cell, and cells that hold a single
-digest are peeled until nothing is left, which yields exactly the digests that differ. If
-peeling gets stuck, both sketches are rebuilt with more blocks and another seed and peeled again.
+digest are peeled until nothing is left, which yields exactly the digests that differ. Blocks
+where peeling gets stuck are tried again: the digests of those blocks alone are entered into
+new sketches with another seed and more cells a digest, until every block is peeled.
 
-Everything about one document is row-wise SQL on arrays; long texts cost time in proportion
-to paragraphs times blocks, not to their square.
+Everything about one document is row-wise SQL on arrays. Digests are dealt to blocks by one
+sort and each block has a fixed size, so long texts cost time in proportion to their paragraphs.
 """
 
 from __future__ import annotations
@@ -25,8 +26,10 @@ CELLS = 32
 THIRDS = ((0, 11), (11, 11), (22, 10))  # first cell and number of cells of each of the three hashes
 ROUNDS = 32
 PARAGRAPHS_PER_BLOCK = 12
-# Blocks of a retry, as paragraphs of both texts per block; each has its own seed.
-RETRIES = (12, 4)
+# Retries have blocks for that many paragraphs of both texts. A try leaves fewer than one block in
+# a hundred, so two or three are used; the job fails rather than pass over a block that all leave.
+RETRY_PER_BLOCK = 4
+RETRIES = 24
 # Ranges of ids that the search for the next document works on: about this many rows each.
 ROWS_PER_RANGE = 4000
 FINE_BINS = 65_536
@@ -45,54 +48,89 @@ def _blocks(keys: str, per_block: int) -> str:
     return f"cast(shiftleft(1, cast(ceil(log2(greatest(1.0D, {keys} / {float(per_block)}D))) AS int)) AS int)"
 
 
-def _entries(keys: str, blocks: str, seed: int) -> str:
-    """Digests with their block, cells and check."""
-    h = f"xxhash64(k, {seed})"
-    cells = ", ".join(f"'c{i}', cast({first} + pmod(shiftright({h}, {20 + 12 * i}), {size}) AS int)"
-                      for i, (first, size) in enumerate(THIRDS))
-    return (f"transform({keys}, k -> named_struct('k', k, 'h', xxhash64(k, 77), "
-            f"'b', cast(pmod({h}, {blocks}) AS int), {cells}))")
+def _once(value: str, name: str, use: str) -> str:
+    """``use`` with ``name`` bound to a value that is computed once."""
+    return f"get(transform(array({value}), {name} -> {use}), 0)"
+
+
+def _block_of(key: str, blocks: str, seed: str) -> str:
+    return f"cast(pmod(xxhash64({key}, {seed}), {blocks}) AS int)"
+
+
+def _cells_of(key: str, seed: str) -> str:
+    return ", ".join(f"'c{i}', cast({first} + pmod(shiftright(xxhash64({key}, {seed}), {20 + 12 * i}), {size}) AS int)"
+                     for i, (first, size) in enumerate(THIRDS))
+
+
+def _dealt(keys: str, blocks: str, seed: str) -> str:
+    """Entries of digests (block, cells and check) by block. They are sorted together with one
+    mark for the head of each block and cut at the marks."""
+    entries = (f"transform({keys}, k -> named_struct('b', {_block_of('k', blocks, seed)}, 'own', 1, 'k', k, "
+               f"'h', xxhash64(k, 77), {_cells_of('k', seed)}))")
+    marks = (f"transform(sequence(0, {blocks} - 1), b -> named_struct('b', b, 'own', 0, 'k', 0L, 'h', 0L, "
+             f"'c0', -1, 'c1', -1, 'c2', -1))")
+    cut = ("transform(heads, (p, j) -> slice(sorted, p + 1, coalesce(get(heads, j + 1), size(sorted) + 1) - p - 1))")
+    heads = "filter(sequence(1, size(sorted)), i -> get(sorted, i - 1).own = 0)"
+    return (f"CASE WHEN {blocks} = 1 THEN array({entries}) ELSE "
+            f"{_once(f'sort_array(concat({entries}, {marks}))', 'sorted', _once(heads, 'heads', cut))} END")
 
 
 def _hit(e: str, c: str) -> str:
     return f"({e}.c0 = {c} OR {e}.c1 = {c} OR {e}.c2 = {c})"
 
 
-def _sketch(entries: str, blocks: str) -> str:
-    """Blocks of cells from the entries, which are bound once for all blocks."""
+def _sketch(keys: str, blocks: str, seed: str) -> str:
+    """Blocks of cells."""
     cell = (f"aggregate(filter(own, e -> {_hit('e', 'c')}), {ZERO}, "
             f"(a, e) -> named_struct('n', a.n + 1, 'k', a.k ^ e.k, 'h', a.h ^ e.h))")
-    dealt = (f"get(transform(array({entries}), all -> transform(sequence(0, {blocks} - 1), "
-             f"b -> filter(all, e -> e.b = b))), 0)")
-    return f"transform({dealt}, own -> transform(sequence(0, {CELLS - 1}), c -> {cell}))"
+    return f"transform({_dealt(keys, blocks, seed)}, own -> transform(sequence(0, {CELLS - 1}), c -> {cell}))"
 
 
 def _folded(sketch: str, blocks: str) -> str:
     """The sketch with fewer blocks: a block is the sum of those with its number modulo blocks."""
     add = "named_struct('n', x.n + y.n, 'k', x.k ^ y.k, 'h', x.h ^ y.h)"
     return (f"CASE WHEN size({sketch}) = {blocks} THEN {sketch} ELSE transform(sequence(0, {blocks} - 1), j -> "
-            f"aggregate(filter({sketch}, (z, i) -> i % {blocks} = j), array_repeat({ZERO}, {CELLS}), "
-            f"(s, z) -> zip_with(s, z, (x, y) -> {add}))) END")
+            f"aggregate(sequence(j, size({sketch}) - 1, {blocks}), array_repeat({ZERO}, {CELLS}), "
+            f"(s, i) -> zip_with(s, get({sketch}, i), (x, y) -> {add}))) END")
 
 
-def _peeled(a: str, b: str, seed: int) -> str:
-    """Subtract and peel: struct(only_a, only_b, left), ``left`` true when peeling got stuck."""
-    h = f"xxhash64(x.k, {seed})"
-    cells = ", ".join(f"'c{i}', cast({first} + pmod(shiftright({h}, {20 + 12 * i}), {size}) AS int)"
-                      for i, (first, size) in enumerate(THIRDS))
+def _peeled(a: str, b: str, seed: str) -> str:
+    """Subtract and peel: per block struct(pos, neg, left), the numbers of digests in one sketch
+    only, ``left`` true where peeling got stuck."""
     pure = (f"array_distinct(transform(filter(s.cells, x -> abs(x.n) = 1 AND x.h = xxhash64(x.k, 77)), "
-            f"x -> named_struct('k', x.k, 'n', x.n, 'h', x.h, {cells})))")
+            f"x -> named_struct('k', x.k, 'n', x.n, 'h', x.h, {_cells_of('x.k', seed)})))")
     out = (f"named_struct('cells', transform(s.cells, (x, c) -> aggregate(filter(p, e -> {_hit('e', 'c')}), x, "
            "(y, e) -> named_struct('n', y.n - e.n, 'k', y.k ^ e.k, 'h', y.h ^ e.h))), "
            "'pos', s.pos + cast(size(filter(p, e -> e.n = 1)) AS bigint), "
            "'neg', s.neg + cast(size(filter(p, e -> e.n = -1)) AS bigint), 'go', size(p) > 0)")
-    step = f"CASE WHEN NOT s.go THEN s ELSE element_at(transform(array({pure}), p -> {out}), 1) END"
+    step = f"CASE WHEN NOT s.go THEN s ELSE {_once(pure, 'p', out)} END"
     start = ("named_struct('cells', zip_with(u, v, (x, y) -> named_struct('n', x.n - y.n, 'k', x.k ^ y.k, "
              "'h', x.h ^ y.h)), 'pos', 0L, 'neg', 0L, 'go', true)")
     block = (f"aggregate(sequence(1, {ROUNDS}), {start}, (s, r) -> {step}, s -> named_struct('pos', s.pos, "
              "'neg', s.neg, 'left', exists(s.cells, x -> x.n <> 0 OR x.k <> 0L)))")
-    return (f"aggregate(zip_with({a}, {b}, (u, v) -> {block}), named_struct('pos', 0L, 'neg', 0L, 'left', false), "
-            "(s, x) -> named_struct('pos', s.pos + x.pos, 'neg', s.neg + x.neg, 'left', s.left OR x.left))")
+    return f"zip_with({a}, {b}, (u, v) -> {block})"
+
+
+def _settled(diffs: str, keys_a: str, keys_b: str, seed: str, pos: str, neg: str) -> str:
+    """State after a try: what its peeled blocks add, and the digests of its stuck blocks."""
+    def left(keys: str) -> str:
+        return f"filter({keys}, k -> get({diffs}, {_block_of('k', f'size({diffs})', seed)}).left)"
+
+    def found(side: str) -> str:
+        return f"aggregate({diffs}, 0L, (n, x) -> n + IF(x.left, 0L, x.{side}))"
+    stuck = f"exists({diffs}, x -> x.left)"
+    none = "cast(array() AS array<bigint>)"
+    return (f"named_struct('a', IF({stuck}, {left(keys_a)}, {none}), 'b', IF({stuck}, {left(keys_b)}, {none}), "
+            f"'pos', {pos} + {found('pos')}, 'neg', {neg} + {found('neg')}, 'stuck', {stuck})")
+
+
+def _retried(state: str) -> str:
+    """The state after tries with new seeds, until no block is stuck."""
+    blocks = _blocks("(size(t.a) + size(t.b))", RETRY_PER_BLOCK)
+    diffs = _peeled(_sketch("t.a", "w", "q"), _sketch("t.b", "w", "q"), "q")
+    step = _once(blocks, "w", _once(diffs, "d", _settled("d", "t.a", "t.b", "q", "t.pos", "t.neg")))
+    return (f"CASE WHEN NOT {state}.stuck THEN {state} ELSE aggregate(sequence(1, {RETRIES}), {state}, "
+            f"(t, q) -> CASE WHEN t.stuck THEN {step} ELSE t END) END")
 
 
 def _written(sketch: str, keys: str) -> str:
@@ -107,27 +145,21 @@ def with_sketch(df: DataFrame, text: str, name: str) -> DataFrame:
     keys, blocks = f"k_{name}", f"b_{name}"
     df = df.withColumn(keys, paragraph_digests(F.col(text)))
     df = df.withColumn(blocks, F.expr(_blocks(f"size({keys})", PARAGRAPHS_PER_BLOCK)))
-    df = df.withColumn(f"e_{name}", F.expr(_entries(keys, blocks, 0)))
-    return df.withColumn(f"s_{name}", F.expr(_sketch(f"e_{name}", blocks)))
+    return df.withColumn(f"s_{name}", F.expr(_sketch(keys, blocks, "0")))
 
 
 def with_likeness(df: DataFrame, a: str, b: str, out: str) -> DataFrame:
     """Add the Jaccard likeness of two texts' paragraph sets, from their sketches alone: the
     counts and the recovered differences. Two empty sets are alike (1)."""
     fold = f"least(b_{a}, b_{b})"
-    tries = [_peeled(_folded(f"s_{a}", fold), _folded(f"s_{b}", fold), 0)]
-    for seed, per_block in enumerate(RETRIES, start=1):
-        blocks = _blocks(f"(size(k_{a}) + size(k_{b}))", per_block)
-        tries.append(_peeled(*(_sketch(_entries(f"k_{x}", blocks, seed), blocks) for x in (a, b)), seed))
-    exact = (f"named_struct('pos', cast(size(array_except(k_{a}, k_{b})) AS bigint), "
-             f"'neg', cast(size(array_except(k_{b}, k_{a})) AS bigint), 'left', false)")
-    for i, attempt in enumerate([*tries, exact]):
-        # a later attempt is made only where the one before got stuck
-        df = df.withColumn("_diff", F.expr(attempt if i == 0 else f"CASE WHEN _diff.left THEN {attempt} ELSE _diff END"))
+    df = df.withColumn("_diffs", F.expr(_peeled(_folded(f"s_{a}", fold), _folded(f"s_{b}", fold), "0")))
+    df = df.withColumn("_first", F.expr(_settled("_diffs", f"k_{a}", f"k_{b}", "0", "0L", "0L")))
+    df = df.withColumn("_diff", F.expr(_retried("_first")))
     union = f"(size(k_{a}) + _diff.neg)"
     same = f"(size(k_{a}) - _diff.pos)"
-    return df.withColumn(out, F.expr(f"CASE WHEN {union} = 0 THEN 1.0D ELSE cast({same} AS double) / {union} END")
-                         ).drop("_diff")
+    return df.withColumn(out, F.expr(
+        f"CASE WHEN _diff.stuck THEN cast(raise_error('sketches not peeled after {RETRIES} tries') AS double) "
+        f"WHEN {union} = 0 THEN 1.0D ELSE cast({same} AS double) / {union} END")).drop("_diffs", "_first", "_diff")
 
 
 def with_next_text(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",

@@ -1,6 +1,7 @@
 import hashlib
 import random
 import re
+import time
 
 from pyspark.sql import functions as F
 
@@ -53,6 +54,34 @@ def test_difference_sizes(spark):
         assert abs(r.like - likeness(r.a, r.b)) < 1e-9
 
 
+def test_long_texts_with_nothing_in_common(spark):
+    """Thousands of digests that all differ, and one against thousands, are recovered from sketches."""
+    rows = [("\n".join(f"a {n} {k}" for k in range(n)), "\n".join(f"b {n} {k}" for k in range(m)))
+            for n, m in ((100, 100), (300, 300), (1000, 1000), (1, 5000), (10_000, 10_000))]
+    rows += [(a, a + "\n" + b) for a, b in rows]
+    df = spark.createDataFrame(rows, "a string, b string").repartition(8)
+    for name in ("a", "b"):
+        df = fp.with_sketch(df, name, name)
+    df = fp.with_likeness(df, "a", "b", "like")
+    assert "array_except" not in df._jdf.queryExecution().toString()
+    for r in df.select("a", "b", "like").collect():
+        assert abs(r.like - likeness(r.a, r.b)) < 1e-9
+
+
+def test_cost_grows_with_the_paragraphs(spark):
+    def seconds(n):
+        pair = ("\n".join(f"a {k}" for k in range(n)), "\n".join(f"b {k}" for k in range(n)))
+        df = spark.createDataFrame([pair], "a string, b string")
+        for name in ("a", "b"):
+            df = fp.with_sketch(df, name, name)
+        start = time.perf_counter()
+        fp.with_likeness(df, "a", "b", "like").select("like").collect()
+        return time.perf_counter() - start
+    seconds(1000)
+    short, long = seconds(5000), seconds(40_000)
+    assert long < 24 * short + 5
+
+
 def test_order_of_ids(spark, documents):
     draw = random.Random(2)
     ids = draw.sample(range(-10**12, 10**12), 150) + list(range(50))
