@@ -144,7 +144,7 @@ class Signer:
         return _mix64(folded + np.arange(self.bands, dtype=np.uint64)).view(np.int64)
 
 
-SIGNED = "doc_id bigint, n bigint, d1 bigint, d2 bigint, bands array<bigint>"
+SIGNED = "doc_id bigint, t bigint, n bigint, d1 bigint, d2 bigint, bands array<bigint>"
 
 
 def _sign_batches(words: int, permutations: int, rows: int):
@@ -160,9 +160,9 @@ def _sign_batches(words: int, permutations: int, rows: int):
                                   .sum(dtype=np.uint64).astype(np.int64)))
                     bands.append(signer.keys(shingles) if len(shingles) else [])
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).cast(pa.int64()), pa.array(n, pa.int64()), pa.array(d1, pa.int64()),
-                     pa.array(d2, pa.int64()), pa.array(bands, pa.list_(pa.int64()))],
-                    names=["doc_id", "n", "d1", "d2", "bands"])
+                    [batch.column(0).cast(pa.int64()), batch.column(2).cast(pa.int64()), pa.array(n, pa.int64()),
+                     pa.array(d1, pa.int64()), pa.array(d2, pa.int64()), pa.array(bands, pa.list_(pa.int64()))],
+                    names=["doc_id", "t", "n", "d1", "d2", "bands"])
     return sign
 
 
@@ -181,20 +181,21 @@ def _common_shingles(words: int):
 
 
 def texts_of(ids: DataFrame, docs: DataFrame) -> DataFrame:
-    """(doc_id, text) of the ids, once each, as a table in the shared folder. The ids are
-    broadcast up to ``BROADCAST_IDS`` of them; more are joined by shuffling."""
+    """(doc_id, t, text) of the ids and text hashes, once each, as a table in the shared folder. The
+    ids are broadcast up to ``BROADCAST_IDS`` of them; more are joined by shuffling."""
     ids = staged(ids.distinct(), "ids")
     small = F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids
-    return staged(docs.join(small, "doc_id", "left_semi").dropDuplicates(["doc_id"]), "pair-texts")
+    return staged(docs.join(small, ["doc_id", "t"], "left_semi").dropDuplicates(["doc_id", "t"]), "pair-texts")
 
 
 def confirmed(pairs: DataFrame, docs: DataFrame, words: int, similarity: float) -> DataFrame:
-    """Of pairs (a, b) those whose full shingle sets reach the similarity."""
+    """Of pairs of texts (a, ta), (b, tb) those whose full shingle sets reach the similarity."""
     pairs = staged(pairs, "pairs")
-    texts = texts_of(pairs.select(F.explode(F.array("a", "b")).alias("doc_id")), docs)
-    left = texts.select(F.col("doc_id").alias("a"), F.col("text").alias("text_a"))
-    right = texts.select(F.col("doc_id").alias("b"), F.col("text").alias("text_b"))
-    both = pairs.join(right, "b").join(left, "a").select("a", "b", "text_a", "text_b")
+    ids = pairs.selectExpr("inline(array(struct(a AS doc_id, ta AS t), struct(b AS doc_id, tb AS t)))")
+    texts = texts_of(ids, docs)
+    left = texts.select(F.col("doc_id").alias("a"), F.col("t").alias("ta"), F.col("text").alias("text_a"))
+    right = texts.select(F.col("doc_id").alias("b"), F.col("t").alias("tb"), F.col("text").alias("text_b"))
+    both = pairs.join(right, ["b", "tb"]).join(left, ["a", "ta"]).select("a", "b", "text_a", "text_b")
     counted = both.mapInArrow(_common_shingles(words), "a bigint, b bigint, n_a bigint, n_b bigint, common bigint")
     percent = round(similarity * 100)
     return counted.where(F.col("common") * 100 >= (F.col("n_a") + F.col("n_b") - F.col("common")) * percent
@@ -290,64 +291,69 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     Documents are linked when the Jaccard similarity of their sets is at least ``similarity``
     and grouped by reachability; the least id names the group and is kept. Null, empty and
     blank texts have an empty set and stay alone, as do rows without an id (component null,
-    kept). Rows that repeat an id count as one document: they share its group, and the first
-    text met stands for the id when links are confirmed. An empty table gives no rows.
+    kept). Rows that repeat an id are one document with several texts: each text is compared
+    on its own, and a link of any of them is a link of the document, so all its rows are in one
+    group. An empty table gives no rows.
     """
-    narrow = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
+    narrow = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"),
+                         F.xxhash64(F.col(text_col)).alias("t"))  # tells the texts of one id apart
     signed = staged(narrow.mapInArrow(_sign_batches(words, permutations, band_rows), SIGNED), "signed")
     with_set = signed.where("n > 0 AND doc_id IS NOT NULL")
     classes = staged(with_set.groupBy("n", "d1", "d2").agg(
-        F.min("doc_id").alias("rep"), F.first("bands").alias("bands")), "classes")
-    rows = classes.select("rep", "n", F.explode("bands").alias("key"))
+        F.min(F.struct("doc_id", "t")).alias("r"), F.first("bands").alias("bands")).select(
+        "n", "d1", "d2", F.col("r.doc_id").alias("rep"), "r.t", "bands"), "classes")
+    rows = classes.select("rep", "t", "n", F.explode("bands").alias("key"))
     crowded = rows.groupBy("key").agg(F.count(F.lit(1)).alias("c")).where("c > 1")
     member = staged(rows.join(crowded, "key"), "members")  # only buckets of two or more
 
     # hub of a bucket: the member with most company over all its buckets, then the least id
     company = member.groupBy("rep").agg(F.sum("c").alias("company"))
     member = staged(member.join(company, "rep"), "members-company")
-    hubs = member.groupBy("key").agg(F.max(F.struct("company", (-F.col("rep")).alias("rep"), "n")).alias("h"))
+    hubs = member.groupBy("key").agg(F.max(F.struct("company", (-F.col("rep")).alias("rep"), "n", "t")).alias("h"))
     fits = F.least("n_a", "n_b") * 100 >= F.greatest("n_a", "n_b") * round(similarity * 100)
-    star = staged(member.join(hubs, "key").select((-F.col("h.rep")).alias("a"), F.col("h.n").alias("n_a"),
-                                            F.col("rep").alias("b"), F.col("n").alias("n_b"))
-            .where((F.col("a") != F.col("b")) & fits).select("a", "b").distinct(), "star")
+    star = staged(member.join(hubs, "key").select(
+        (-F.col("h.rep")).alias("a"), F.col("h.t").alias("ta"), F.col("h.n").alias("n_a"),
+        F.col("rep").alias("b"), F.col("t").alias("tb"), F.col("n").alias("n_b"))
+        .where((F.col("a") != F.col("b")) & fits).select("a", "ta", "b", "tb").distinct(), "star")
     links = staged(confirmed(star, narrow, words, similarity), "links")
     labels = staged(components(links), "labels")
 
     # buckets with several components left: short ones by pairs, long ones in blocks
     labeled = member.join(labels, F.col("rep") == F.col("node"), "left").select(
-        "key", "rep", "n", F.coalesce("label", "rep").alias("label"))
+        "key", "rep", "t", "n", F.coalesce("label", "rep").alias("label"))
     left = labeled.groupBy("key").agg(F.count(F.lit(1)).alias("c"), F.sum("n").alias("total"),
                                       (F.min("label") != F.max("label")).alias("several"))
     left = staged(labeled.join(left.where("several"), "key"), "open")
     short = left.where(F.col("c") <= SHORT_BUCKET)
-    one = short.select("key", F.col("rep").alias("a"), F.col("n").alias("n_a"), F.col("label").alias("label_a"))
-    two = short.select("key", F.col("rep").alias("b"), F.col("n").alias("n_b"), F.col("label").alias("label_b"))
+    one = short.select("key", F.col("rep").alias("a"), F.col("t").alias("ta"), F.col("n").alias("n_a"), F.col("label").alias("label_a"))
+    two = short.select("key", F.col("rep").alias("b"), F.col("t").alias("tb"), F.col("n").alias("n_b"), F.col("label").alias("label_b"))
     rest = one.join(two, "key").where((F.col("a") < F.col("b")) & (F.col("label_a") != F.col("label_b")) & fits)
-    rest = rest.select("a", "b").distinct().join(
-        star.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")), ["a", "b"], "left_anti")
+    met = star.selectExpr("least(a, b) AS a", "IF(a < b, ta, tb) AS ta", "greatest(a, b) AS b", "IF(a < b, tb, ta) AS tb")
+    rest = rest.select("a", "ta", "b", "tb").distinct().join(met, ["a", "ta", "b", "tb"], "left_anti")
     more = confirmed(rest, narrow, words, similarity)
 
     long = left.where(F.col("c") > SHORT_BUCKET)
-    texts = texts_of(long.select(F.col("rep").alias("doc_id")), narrow).withColumnRenamed("doc_id", "rep")
+    texts = texts_of(long.select(F.col("rep").alias("doc_id"), "t"), narrow).withColumnRenamed("doc_id", "rep")
     blocks = F.ceil(F.greatest(F.col("c") / BLOCK_MEMBERS, F.col("total") / BLOCK_SHINGLES)).cast("int")
     dealt = long.withColumn("blocks", blocks).withColumn(
         "block", F.expr("cast(pmod(xxhash64(rep), blocks) AS int)"))
-    dealt = dealt.join(classes.select("rep", "bands"), "rep").join(texts, "rep").withColumn(
+    dealt = dealt.join(classes.select("rep", "t", "bands"), ["rep", "t"]).join(texts, ["rep", "t"]).withColumn(
         "other", F.explode(F.expr("sequence(0, blocks - 1)"))).select(
         "key", F.least("block", "other").alias("p"), F.greatest("block", "other").alias("q"),
         "rep", "block", "label", "bands", "text")
     more = more.unionByName(dealt.groupBy("key", "p", "q").applyInArrow(
         _links_in_blocks(words, similarity), "a bigint, b bigint"))
-    labels = staged(components(links.unionByName(more)), "labels")
-
-    # rows that repeat an id may sit in several classes: the id ties those classes together
-    grouped = with_set.join(classes.select("n", "d1", "d2", "rep"), ["n", "d1", "d2"])
-    grouped = grouped.join(labels, F.col("rep") == F.col("node"), "left").select(
-        "doc_id", F.col("n").alias("n_shingles"), F.coalesce("label", "rep").alias("component_id"))
-    alone = signed.where("n = 0 OR doc_id IS NULL").select(
-        "doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id"))
-    return grouped.unionByName(alone).withColumn(
-        "kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
+
+    # the classes that hold texts of one id are tied together; a row without words is a class of its own
+    owned = with_set.join(classes.select("n", "d1", "d2", "rep"), ["n", "d1", "d2"]).select("doc_id", "n", "rep")
+    owned = staged(owned.unionByName(signed.where("n = 0 OR doc_id IS NULL").select(
+        "doc_id", "n", F.col("doc_id").alias("rep"))), "owned")
+    spread = owned.groupBy("doc_id").agg(F.min("rep").alias("a"), F.max("rep").alias("most")).where("a <> most")
+    ties = owned.join(spread, "doc_id").select("a", F.col("rep").alias("b"))
+    labels = staged(components(links.unionByName(more).unionByName(ties)), "labels")
+    grouped = owned.join(labels, F.col("rep") == F.col("node"), "left")
+    return grouped.select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("label", "rep").alias("component_id")
+                          ).withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
 
 
 def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:

@@ -38,6 +38,22 @@ def test_estimates_are_unbiased():
     assert abs(agree - 0.8) < 0.05
 
 
+def test_rows_that_repeat_an_id(documents):
+    """Every text of an id is compared, whichever row comes first, and the id's rows are one group."""
+    draw = random.Random(8)
+    a, b, c = (" ".join(f"{draw.random()}" for _ in range(60)) for _ in range(3))
+    near_b = b + " more"
+    d, e, f = (" ".join(f"{draw.random()}" for _ in range(60)) for _ in range(3))
+    rows = [(3, a), (5, a), (5, b), (9, near_b), (11, c), (11, ""), (12, c), (13, "alone"), (13, None), (14, b.upper()),
+            (27, d), (27, e), (27, f), (28, e + " end"), (22, f + " end")]  # classes that share their least id
+    got = near_dedup.near_groups(documents([(i, t, "en", "a") for i, t in rows])).collect()
+    assert {(r.doc_id, r.component_id) for r in got} == {
+        (3, 3), (5, 3), (9, 3), (14, 3), (11, 11), (12, 11), (13, 13), (27, 22), (28, 22), (22, 22)}
+    assert len(got) == len(rows)
+    kept = near_dedup.drop_near_copies(documents([(i, t, "en", "a") for i, t in rows[::-1]])).collect()
+    assert sorted(r.doc_id for r in kept) == [3, 11, 11, 13, 13, 22]
+
+
 def test_awkward_rows(awkward, clashing, documents):
     got = near_dedup.near_groups(awkward).collect()
     assert len(got) == awkward.count()
