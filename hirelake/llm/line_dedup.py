@@ -3,15 +3,19 @@
 Pairs of documents are aligned by patience diff over line hashes, and common blocks of enough
 words are deleted from the later document. The result is that of aligning each document with
 every earlier one. Any such block is covered by runs of lines that hold just enough words, so
-only documents that share such a run can have one. Each later holder of a run meets the run's
-first holder; where lines of the run stay (they cross others there, or repeat), it meets more
-and more of the other earlier holders, in rounds, until its lines are gone or all were met.
+only documents that share such a run can have one. An alignment starts at equal first or last
+lines or at a line that stands once in both documents. So holders of a run meet by the run where
+it has no line that repeats inside its document, and else only if they share such a start too.
+Each later holder of a run meets the run's first holder; where lines of the run stay (they cross
+others there, or repeat), it meets more and more of the other earlier holders, in rounds, until
+its lines are gone or all were met.
 Only hashes travel; the texts are read once more at the end to cut the lines out.
 """
 
 from __future__ import annotations
 
 from bisect import bisect_left
+from collections import Counter
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -138,22 +142,50 @@ def _spans(words: list[int], min_words: int) -> list[tuple[int, int]]:
 def _runs(min_words: int):
     def runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out: tuple[list[int], ...] = ([], [], [], [])
+            out: tuple[list[int], ...] = ([], [], [], [], [])
             for doc, hashes, words in zip(*(batch.column(c).to_pylist() for c in range(3)), strict=True):
-                prefix, power = [0], [1]
-                for h in hashes:
+                prefix, power, repeats = [0], [1], [0]
+                times = Counter(hashes)
+                for h, w in zip(hashes, words, strict=True):
                     prefix.append((prefix[-1] * _BASE + h) % _PRIME)
                     power.append(power[-1] * _BASE % _PRIME)
+                    repeats.append(repeats[-1] + (w > 0 and times[h] > 1))
                 for start, stop in _spans(words, min_words):
                     key = (prefix[stop] - prefix[start] * power[stop - start]) % _PRIME
-                    for column, value in zip(out, (doc, key, start, stop), strict=True):
+                    for column, value in zip(out, (doc, key, start, stop, repeats[start] < repeats[stop]), strict=True):
                         column.append(value)
-            kinds = (pa.int64(), pa.int64(), pa.int32(), pa.int32())
+            kinds = (pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.bool_())
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(out, kinds, strict=True)],
-                                             names=["id", "run", "start", "stop"])
+                                             names=["id", "run", "start", "stop", "repeats"])
     return runs
 
 
+def _starts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Where an alignment of whole documents can start: lines that stand once, the first, the last."""
+    for batch in batches:
+        ids, starts = [], []
+        for doc, hashes in zip(*(batch.column(c).to_pylist() for c in range(2)), strict=True):
+            found = {h for h, times in Counter(hashes).items() if times == 1}
+            found |= {hashes[0] * _BASE % _PRIME, (hashes[-1] * _BASE + 1) % _PRIME}
+            ids += [doc] * len(found)
+            starts += found
+        yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(starts, pa.int64())], names=["id", "start_line"])
+
+
+def _meeting_keys(runs: DataFrame, hashed: DataFrame) -> DataFrame:
+    """``id, run, start, stop`` by keys that holders of a run meet by: the run, for documents in
+    which none of its lines repeats; the run with each start that another document has too, for all
+    holders of a run that repeats lines in one of them."""
+    several = runs.groupBy("run").agg(F.max("repeats").alias("any"), (F.min("id") < F.max("id")).alias("many"))
+    mixed = staged(runs.join(several.where("any AND many"), "run").select("id", "run", "start", "stop"), "line-mixed")
+    starts = staged(hashed.join(mixed.select("id").distinct(), "id", "left_semi").select("id", "h").mapInArrow(
+        _starts, "id bigint, start_line bigint"), "line-starts")
+    known = starts.groupBy("start_line").agg((F.min("id") < F.max("id")).alias("many")).where("many")
+    tied = mixed.join(starts.join(known, "start_line", "left_semi"), "id")
+    return runs.where("NOT repeats").select("id", "run", "start", "stop").union(
+        staged(tied.select("id", F.xxhash64("run", "start_line").alias("run"), "start", "stop"), "line-tied"))
+
+
 def _unsettled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Of each document's runs those with a line that is not gone."""
     for batch in batches:
@@ -178,8 +210,9 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
     Lines are parts between ``\\n``; lines without words are never compared or deleted. A
     block is a run of lines aligned one after the other in both documents; a line goes if the
-    alignment with any earlier document has it in a block. Earlier is the smaller id. Null texts count as empty (one empty line); rows without an id and rows that
-    repeat an id keep their text: such ids are not compared. An empty table gives no rows.
+    alignment with any earlier document has it in a block. Earlier is the smaller id. Null texts
+    count as empty (one empty line); rows without an id and rows that repeat an id keep their text:
+    such ids are not compared. An empty table gives no rows.
     """
     base = docs.select(F.col(id_col).cast("long").alias("doc_id"),
                        F.coalesce(F.col(text_col), F.lit("")).alias("text"))
@@ -190,8 +223,9 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     hashed = staged(once.where("c = 1").select(
         F.col("doc_id").alias("id"), F.expr("transform(lines, x -> x.h)").alias("h"),
         F.expr("transform(lines, x -> x.w)").alias("w")), "line-hashes")
-    runs = staged(hashed.select("id", "h", "w").mapInArrow(
-        _runs(min_block_words), "id bigint, run bigint, start int, stop int"), "line-runs")
+    found = staged(hashed.select("id", "h", "w").mapInArrow(
+        _runs(min_block_words), "id bigint, run bigint, start int, stop int, repeats boolean"), "line-runs")
+    runs = _meeting_keys(found, hashed)
     held = runs.groupBy("run").agg(F.min("id").alias("first"), F.max("id").alias("last"),
                                    F.count(F.lit(1)).alias("n")).where("first <> last").drop("last")
     shared = staged(runs.join(held, "run"), "line-shared")
@@ -221,8 +255,11 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     # merged at every size, so that small runs show what large ones shuffle
     joined = base.join(gone.hint("merge"), F.col("doc_id") == F.col("id"), "left")
     removed = F.coalesce("removed", F.expr("cast(array() AS array<int>)"))
-    kept = F.expr("CASE WHEN removed IS NULL THEN text ELSE array_join(filter(split(text, '\\n'), "
-                  "(x, i) -> NOT array_contains(removed, i)), '\\n') END")
+    # the parts between deleted lines, in time linear in the lines
+    kept = F.expr("""CASE WHEN removed IS NULL THEN text ELSE transform(
+        array(struct(split(text, '\\n') AS l, concat(array(-1), removed, array(size(split(text, '\\n')))) AS b)),
+        t -> array_join(flatten(transform(sequence(1, size(t.b) - 1),
+            k -> slice(t.l, t.b[k - 1] + 2, t.b[k] - t.b[k - 1] - 1))), '\\n'))[0] END""")
     return joined.select("doc_id", kept.alias("text"), F.size(F.split("text", "\n")).alias("n_lines"),
                          F.size(removed).alias("n_removed"), removed.alias("removed"))
 

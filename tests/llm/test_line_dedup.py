@@ -107,3 +107,51 @@ def test_equals_alignment_with_every_earlier_document(documents):
         texts[k] = "\n".join(parts)
     got = ld.dedup_lines(documents([(k, t, "en", "a") for k, t in texts.items()])).collect()
     assert {r.doc_id: list(r.removed) for r in got} == removed_by_all(texts)
+
+
+def repeating_texts(n, shared=""):
+    line = " ".join(f"r{k}" for k in range(10))
+    return {k: f"a {k}\n{line}\nb {k}\n{shared}{line}\nc {k}" for k in range(n)}
+
+
+def met_pairs(documents, texts, monkeypatch):
+    """Pairs of documents that were aligned, and the lines removed."""
+    counts, plain = [], ld.staged
+
+    def counted(df, name):
+        out = plain(df, name)
+        if name == "line-pairs":
+            counts.append(out.count())
+        return out
+
+    monkeypatch.setattr(ld, "staged", counted)
+    got = ld.dedup_lines(documents([(k, t, "en", "a") for k, t in texts.items()])).collect()
+    return sum(counts), {r.doc_id: list(r.removed) for r in got}
+
+
+def test_repeated_lines_without_a_common_start_meet_nobody(documents, monkeypatch):
+    texts = repeating_texts(60)
+    assert met_pairs(documents, texts, monkeypatch) == (0, removed_by_all(texts))
+
+
+def test_repeated_lines_meet_by_a_line_that_stands_once(documents, monkeypatch):
+    """Each copy stands once in the part before or after the line that stands once in all."""
+    texts = repeating_texts(30, shared="once in each\n")
+    want = removed_by_all(texts)
+    assert want[29] == [1, 3, 4]
+    assert met_pairs(documents, texts, monkeypatch)[1] == want
+
+
+def test_equals_alignment_where_lines_repeat(documents):
+    """Few lines, so that most repeat inside a document; equal first and last lines."""
+    draw = random.Random(12)
+    pool = [" ".join(f"w{k}{j}" for j in range(draw.randint(0, 12))) for k in range(12)]
+    texts = {}
+    for k in range(120):
+        parts = [draw.choice(pool) if draw.random() < 0.7 else f"own {k} {draw.random()}" for _ in range(draw.randint(1, 16))]
+        texts[k] = "\n".join([*(["Home"] if draw.random() < 0.2 else []), *parts, *(["End"] if draw.random() < 0.2 else [])])
+    got = ld.dedup_lines(documents([(k, t, "en", "a") for k, t in texts.items()])).collect()
+    assert {r.doc_id: list(r.removed) for r in got} == removed_by_all(texts)
+    for r in got:
+        gone = set(r.removed)
+        assert r.text == "\n".join(x for k, x in enumerate(texts[r.doc_id].split("\n")) if k not in gone)
