@@ -667,6 +667,19 @@ def q_envelope_files(spark, sf):
     return rows.select("job_id", "source", "keyword", "country", ntz("extracted_at"))
 
 
+# Envelope files above this size are read in parts by the query below: every file here.
+ENVELOPE_PART_BYTES = 32 << 10
+
+
+@register("envelope_split", LANDED_SQL.format(day=LANDING_DAY))
+def q_envelope_split(spark, sf):
+    """Envelope files read back in parts, each file by many tasks."""
+    root = scratch_path(spark, "envelopes")
+    write_envelopes(_kept(spark, sf), root, F.lit(f"{LANDING_DAY} 06:00:00").cast("timestamp"))
+    rows = landing_rows(spark, root, LANDING_DAY, layout="plain", split_bytes=ENVELOPE_PART_BYTES)
+    return rows.select("job_id", "source", "keyword", "country", ntz("extracted_at"))
+
+
 # Payloads with values of the wrong kind, by doc_id: the cycle of each column's bad value.
 BAD_VALUE_EVERY = {"salary_min": 7, "salary_max": 11, "remote": 5, "job_posted_at": 13}
 

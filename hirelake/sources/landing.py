@@ -20,6 +20,7 @@ from pyspark.sql import types as T
 
 from hirelake.functions.json_paths import json_text
 from hirelake.session import apply_sql_defaults
+from hirelake.sources.split_envelope import read_split_envelopes
 
 ENVELOPE_SCHEMA = T.StructType([
     T.StructField("extracted_at", T.StringType()),
@@ -55,17 +56,24 @@ def day_glob(root: str, day: str | None = None, source: str = "*", country: str
 
 
 def read_landing(spark: SparkSession, root: str, day: str | None = None,
-                 layout: str = "spark") -> DataFrame:
+                 layout: str = "spark", split_bytes: int | None = None) -> DataFrame:
     """Raw landing rows with their file path; unparsable files are kept as
     ``_corrupt_record`` rows (see ``split_corrupt``). Envelope files are one JSON
     document each (multi-line); job-per-line files are JSON lines. Of a key that a
-    payload repeats the last value counts (``apply_sql_defaults``)."""
+    payload repeats the last value counts (``apply_sql_defaults``). With ``split_bytes``
+    envelope files above that size are read in parts by many tasks, as one row per job
+    with its place in the file (``split_envelope``)."""
     apply_sql_defaults(spark)
-    return (spark.read.schema(ENVELOPE_SCHEMA)
+    glob = day_glob(root, day, layout=layout)
+    rows = (spark.read.schema(ENVELOPE_SCHEMA)
             .option("multiLine", layout == "plain").option("mode", "PERMISSIVE")
             .option("columnNameOfCorruptRecord", "_corrupt_record")
-            .json(day_glob(root, day, layout=layout))
-            .withColumn("_source_file", F.col("_metadata.file_path")))
+            .json(glob))
+    if split_bytes is None or layout != "plain":
+        return rows.withColumn("_source_file", F.col("_metadata.file_path"))
+    small = rows.where(F.col("_metadata.file_size") <= split_bytes).withColumn(
+        "_source_file", F.col("_metadata.file_path"))
+    return small.unionByName(read_split_envelopes(spark, glob, split_bytes), allowMissingColumns=True)
 
 
 def split_corrupt(df: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -73,6 +81,9 @@ def split_corrupt(df: DataFrame) -> tuple[DataFrame, DataFrame]:
     A record that did not parse to its end is corrupt unless its jobs are there whole
     (only a field beside them was of the wrong type)."""
     bad = F.col("_corrupt_record").isNotNull() & F.col("jobs").isNull() & F.col("job").isNull()
+    if "_source_offset" in df.columns:
+        # a job of a split file that does not parse is a job without payload
+        df = df.withColumn("jobs", F.when(F.col("_source_offset").isNotNull() & ~bad, F.array("job")).otherwise(F.col("jobs")))
     return (df.filter(~bad).drop("_corrupt_record"),
             df.filter(bad).select("_source_file", "_corrupt_record"))
 
@@ -81,6 +92,10 @@ def explode_jobs(df: DataFrame) -> DataFrame:
     """One row per job: envelope ``jobs`` elements (missing list = no rows) or the
     ``job`` of a job-per-line row; envelope fields repeated; position kept."""
     jobs = F.coalesce(F.col("jobs"), F.when(F.col("job").isNotNull(), F.array(F.col("job"))))
+    if "_source_offset" in df.columns:
+        return df.select("source", "country", "keyword", "extracted_at", "_source_file", "_source_offset",
+                         F.posexplode(jobs).alias("_pos", "raw_data")).withColumn(
+            "_source_pos", F.coalesce("_source_offset", "_pos")).drop("_source_offset", "_pos")
     return df.select("source", "country", "keyword", "extracted_at", "_source_file",
                      F.posexplode(jobs).alias("_source_pos", "raw_data"))
 
@@ -164,7 +179,7 @@ def rejected_rows(judged: DataFrame) -> DataFrame:
 
 
 def landing_rows(spark: SparkSession, root: str, day: str | None = None,
-                 layout: str = "spark") -> DataFrame:
+                 layout: str = "spark", split_bytes: int | None = None) -> DataFrame:
     """Read, explode and key: the rows a bronze load receives. What is left out is what
     ``rejected_rows(judged_rows(...))`` reports."""
-    return accepted_rows(judged_rows(read_landing(spark, root, day, layout)))
+    return accepted_rows(judged_rows(read_landing(spark, root, day, layout, split_bytes)))
