@@ -18,6 +18,7 @@ from hirelake.plans.silver import cast_rejects, silver_job_skills, silver_jobs
 from hirelake.sources.bronze import BRONZE_SCHEMA, LAYERS, bronze_rows
 from hirelake.sources.keyed_table import KeyedTable
 from hirelake.sources.landing import accepted_rows, judged_rows, read_landing, rejected_rows
+from hirelake.sources.split_envelope import SPLIT_BYTES
 
 REPORT = "step string, name string, n long"
 
@@ -56,7 +57,7 @@ class Warehouse:
 
     def load(self, landing_root: str, day: str, layout: str = "plain") -> list[tuple[str, str, int]]:
         """Load one day's files; rejects are written beside bronze with their reason."""
-        judged = judged_rows(read_landing(self.spark, landing_root, day, layout))
+        judged = judged_rows(read_landing(self.spark, landing_root, day, layout, SPLIT_BYTES))
         rejects = f"{self.root}/bronze/rejects/{uuid.uuid4().hex}"
         rejected_rows(judged).withColumn("raw_data", F.col("raw_data").cast("string")).write.parquet(rejects)
         audit = self.bronze.merge(bronze_rows(accepted_rows(judged)))
