@@ -27,7 +27,7 @@ from hirelake.session import scratch_path
 
 SPLIT_BYTES = 64 << 20
 FIELDS = ("extracted_at", "source", "country", "keyword", "total_records")
-_TOKEN = re.compile(rb'"(?:[^"\\]|\\.)*"|[{}\[\]:,]|[^\s"{}\[\]:,]+|"')
+_TOKEN = re.compile(rb'"[^"\\]*(?:\\.[^"\\]*)*"|[{}\[\]:,]|[^\s"{}\[\]:,]+|"')
 _CUT = (b",", b"[", b"{")
 _BATCH_BYTES = 8 << 20
 
