@@ -30,6 +30,8 @@ FIELDS = ("extracted_at", "source", "country", "keyword", "total_records")
 _TOKEN = re.compile(rb'"[^"\\]*(?:\\.[^"\\]*)*"|[{}\[\]:,]|[^\s"{}\[\]:,]+|"')
 _CUT = (b",", b"[", b"{")
 _BATCH_BYTES = 8 << 20
+# A task reads about this many bytes, in as many parts as that takes.
+TASK_BYTES = 16 << 20
 
 
 def _open(path: str) -> pa.NativeFile:
@@ -46,7 +48,7 @@ def _lines(path: str, start: int, stop: int) -> Iterator[tuple[int, bytes, bool]
 
     with _open(path) as raw:
         raw.seek(start)
-        file = io.BufferedReader(raw, 1 << 20)
+        file = io.BufferedReader(raw, min(1 << 20, max(1 << 16, stop - start)))
         at, own = start, True
         if start:
             while line := file.readline():
@@ -176,28 +178,34 @@ def _jobs(path: str, start: int, stop: int, depth: int, in_jobs: bool) -> Iterat
 
 
 def _job_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows of the jobs of all parts; a batch holds those of many small parts."""
     names = ["path", *FIELDS, "offset", "job", "broken"]
+    kinds = [*[pa.string()] * (1 + len(FIELDS)), pa.int64(), pa.string(), pa.bool_()]
+    rows, size = [], 0
 
-    def batch_of(part: dict, found: list[tuple[int, bytes]], broken: bool) -> pa.RecordBatch:
-        n = len(found)
-        return pa.RecordBatch.from_arrays(
-            [*(pa.array([part[c]] * n, pa.string()) for c in ("path", *FIELDS)), pa.array([o for o, _ in found], pa.int64()),
-             pa.array([j if j is None else j.decode("utf-8", "replace") for _, j in found], pa.string()),
-             pa.array([broken] * n, pa.bool_())], names=names)
+    def batch_of() -> pa.RecordBatch:
+        columns = zip(*rows, strict=True) if rows else [[]] * len(names)
+        return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=names)
 
     for batch in batches:
         for part in batch.to_pylist():
+            head = tuple(part[c] for c in ("path", *FIELDS))
             if part["broken"]:
-                yield batch_of(part, [(0, None)], True)
+                rows.append((*head, 0, None, True))
                 continue
-            found, size = [], 0
-            for job in _jobs(*(part[c] for c in ("path", "start", "stop", "depth", "in_jobs"))):
-                found.append(job)
-                size += len(job[1])
+            for offset, job in _jobs(*(part[c] for c in ("path", "start", "stop", "depth", "in_jobs"))):
+                rows.append((*head, offset, job.decode("utf-8", "replace"), False))
+                size += len(job)
                 if size > _BATCH_BYTES:
-                    yield batch_of(part, found, False)
-                    found, size = [], 0
-            yield batch_of(part, found, False)
+                    yield batch_of()
+                    rows, size = [], 0
+    yield batch_of()
+
+
+def task_count(spark: SparkSession, parts: DataFrame) -> int:
+    """Tasks that read the parts: one a part while parts are large, else each about ``TASK_BYTES``."""
+    found = parts.agg(F.count(F.lit(1)).alias("n"), F.sum(F.col("stop") - F.col("start")).alias("size")).first()
+    return max(1, min(found["n"], max(2 * spark.sparkContext.defaultParallelism, (found["size"] or 0) // TASK_BYTES)))
 
 
 def large_files(spark: SparkSession, glob: str, split_bytes: int = SPLIT_BYTES) -> DataFrame:
@@ -209,8 +217,8 @@ def large_files(spark: SparkSession, glob: str, split_bytes: int = SPLIT_BYTES)
 
 
 def read_split_envelopes(spark: SparkSession, glob: str, split_bytes: int = SPLIT_BYTES) -> DataFrame:
-    """One row per job of the envelope files above ``split_bytes``, each read by as many tasks as
-    it has parts: the envelope's fields, ``job``, ``_source_file`` and ``_source_offset`` (the byte
+    """One row per job of the envelope files above ``split_bytes``, read in parts of that size, small
+    ones by the dozen in a task: the envelope's fields, ``job``, ``_source_file`` and ``_source_offset`` (the byte
     at which the job starts, in the order of the list). An envelope's field that is an object or
     list counts as null; of a repeated field the last value counts, of a repeated ``jobs`` list all
     jobs. A job that does not parse has a null ``job``. A file whose brackets or strings do not
@@ -219,7 +227,7 @@ def read_split_envelopes(spark: SparkSession, glob: str, split_bytes: int = SPLI
     path = scratch_path(spark, "envelope-parts")
     large_files(spark, glob, split_bytes).write.parquet(path)
     parts = spark.read.parquet(path)
-    tasks = max(1, parts.count())
+    tasks = task_count(spark, parts)
     summaries = parts.repartition(tasks).mapInArrow(
         _summaries, "path string, start bigint, stop bigint, closes bigint, opened string, fields string, broken boolean")
     fields = ", ".join(f"{f} string" for f in FIELDS)
