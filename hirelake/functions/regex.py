@@ -108,7 +108,23 @@ def pg_to_java(pattern: str) -> str:
 
 def ci_pattern(pattern: str) -> str:
     """Java pattern equal to PostgreSQL ``~* pattern``."""
-    return "(?iUs)" + pg_to_java(pattern)
+    first, body = first_chars(pattern), pg_to_java(pattern)
+    # one look at the next character, where most places fail, before boundaries and alternatives
+    return f"(?iUs)(?=[{first}])(?:{body})" if first else "(?iUs)" + body
+
+
+def first_chars(pattern: str) -> str | None:
+    """The characters that a match can begin with (one case of each); None unless every
+    alternative begins with an ASCII letter, digit or slash of its own."""
+    if pattern.startswith(("(?", "***")):
+        return None
+    found = []
+    for alt in _alternatives(pattern):
+        c = alt[:1]
+        if not (c.isascii() and (c.isalnum() or c == "/")) or alt[1:2] in ("?", "*", "{"):
+            return None
+        found.append(c)
+    return "".join(dict.fromkeys(found))
 
 
 def cs_pattern(pattern: str) -> str:

@@ -33,8 +33,10 @@ def flatten_whitespace(text: Column) -> Column:
         text = F.replace(text, F.lit(c), F.lit(" "))
     t = F.replace(text, F.lit("&nbsp;"), F.lit(" "))
     # the class of all spaces is slow to test at every character: most texts need only the plain one
-    return F.when(t.rlike(_MAYBE_OTHER_SPACE), F.regexp_replace(t, _MULTI_SPACE, " ")) \
-        .otherwise(F.regexp_replace(t, "  +", " "))
+    # texts of ASCII hold no others but two
+    other = F.when(F.octet_length(t) == F.length(t), t.contains("\x0B") | t.contains("\f")).otherwise(t.rlike(_MAYBE_OTHER_SPACE))
+    return F.when(other, F.regexp_replace(t, _MULTI_SPACE, " ")) \
+        .when(t.contains("  "), F.regexp_replace(t, "  +", " ")).otherwise(t)
 
 
 def clean_description(text: Column) -> Column:

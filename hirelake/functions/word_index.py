@@ -5,11 +5,13 @@ word, the run of word characters that any match of it must hold as a whole word,
 with, or end a word with. A text is cut into its words once; looking these up gives the few patterns that can match, and only
 those run as regular expressions. Where the entry word is only a word's beginning or end, the
 text is searched for it; a pattern with an alternative that has no entry word is a candidate for
-every text. Candidates are a superset, so results are the regexes' own.
+every text. Candidates are a superset, so results are the regexes' own. An alternative that is one
+whole word needs no regular expression: the look-up tells.
 """
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import Column
@@ -19,6 +21,7 @@ from hirelake.functions.regex import _alternatives, _bracket_end, _split_top
 
 WORDS = r"(?U)[\w]+"
 WHOLE, BEGIN, END = "whole", "begin", "end"
+_ONE_WORD = re.compile(r"\\y([A-Za-z0-9_]+)\\y")
 
 
 def words_of(lowered: Column) -> Column:
@@ -110,6 +113,18 @@ def entry_words(pattern: str) -> list[tuple[str, str]] | None:
     return None if None in found else found
 
 
+def one_words(pattern: str) -> tuple[list[str], str | None]:
+    """The alternatives that are one whole word of ASCII characters, in lower case, and the pattern
+    of all others (None if there are none). A text matches ``pattern`` exactly when it holds one of
+    the words or matches the rest. Embedded options hold for all alternatives: nothing is cut off."""
+    if pattern.startswith("***") or re.match(r"\(\?[a-z]", pattern):
+        return [], pattern
+    parts = _split_top(pattern)
+    words = [m[1].lower() for p in parts if (m := _ONE_WORD.fullmatch(p))]
+    rest = [p for p in parts if not _ONE_WORD.fullmatch(p)]
+    return words, "|".join(rest) if rest else None
+
+
 def sql_text(text: str) -> str:
     """A SQL string literal, whatever the session's escape setting for plain ones."""
     if "'" not in text and all(ch >= " " for ch in text):
@@ -118,7 +133,8 @@ def sql_text(text: str) -> str:
 
 
 class WordIndex:
-    """Candidate patterns (by their number) of a text, from its words."""
+    """Candidate patterns (by their number) of a text, from its words. A pattern that one of its
+    :func:`one_words` settles has its number plus ``size``."""
 
     def __init__(self, patterns: Sequence[str]) -> None:
         self.size = len(patterns)
@@ -126,7 +142,10 @@ class WordIndex:
         self.whole: dict[str, list[int]] = {}
         self.parts: dict[str, list[int]] = {}
         for i, pattern in enumerate(patterns):
-            entries = entry_words(pattern)
+            words, rest = one_words(pattern)
+            for word in dict.fromkeys(words):
+                self.whole.setdefault(word, []).append(self.size + i)
+            entries = entry_words(rest) if rest else []
             if entries is None:
                 self.always.append(i)
             for word, kind in dict.fromkeys(entries or []):

@@ -188,11 +188,12 @@ def normalized_currency(raw_currency: Column) -> Column:
                           "EUR")
 
 
-def description_quality_tier(description: Column, country: Column) -> Column:
+def description_quality_tier(description: Column, country: Column, desc_lc: Column | None = None) -> Column:
     n = F.length(description)
+    desc_lc = desc_lc if desc_lc is not None else F.lower(description)
     geo = None
     for w in TIER_GEO_WORDS:
-        c = description.ilike(w)
+        c = desc_lc.like(w.lower())
         geo = c if geo is None else (geo | c)
     geo = geo | country.isin(*TIER_GEO_COUNTRIES)
     return (F.when(description.isNull(), F.lit(TIER_MISSING))

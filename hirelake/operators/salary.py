@@ -31,7 +31,9 @@ AMOUNT = "decimal(38,4)"
 
 # The suffix pattern as searched: same matches, but a run of digits is entered at its start
 # only, and blanks before the currency are tried once, so long runs cost linear time.
-_SUFFIX_SEARCH = "(?<![0-9])" + SALARY_SUFFIX.replace(r"(k)?\s*(?:[-–]", r"(k)?(?:\s*[-–]", 1)
+# The first character is tested before all else, as most places have another one.
+_SUFFIX_SEARCH = "(?=[0-9])(?<![0-9])" + SALARY_SUFFIX.replace(r"(k)?\s*(?:[-–]", r"(k)?(?:\s*[-–]", 1)
+_PREFIX_SEARCH = r"(?=[eu€$£])" + SALARY_PREFIX
 
 
 def _amount(number: Column, k_flag: Column) -> Column:
@@ -45,7 +47,7 @@ def _amount(number: Column, k_flag: Column) -> Column:
 
 def with_salary_matches(df: DataFrame, text: str = "salary_text") -> DataFrame:
     """Add the two first matches (``_sal_pre``, ``_sal_suf``; '' when absent)."""
-    return df.withColumns({"_sal_pre": first_match(F.col(text), SALARY_PREFIX),
+    return df.withColumns({"_sal_pre": first_match(F.col(text), _PREFIX_SEARCH),
                            "_sal_suf": first_match(F.col(text), _SUFFIX_SEARCH)})
 
 

@@ -1,9 +1,10 @@
 """Skill matching: postings x taxonomy on ``text ~* pattern`` (a theta join).
 
 The taxonomy is a seed file. An inverted index from words to patterns
-(``functions.word_index``) turns the distinct words of a text into candidate patterns, and only
-those run as regular expressions, inside the row. The result is exact; everything stays in
-the JVM and one scan of the postings serves seeds of every size.
+(``functions.word_index``) turns the distinct words of a text into patterns that match, where an
+alternative is one word, and candidate patterns. Of these only the alternatives of several words or
+marks run as regular expressions, inside the row, if the text holds their literals. The result is
+exact; everything stays in the JVM and one scan of the postings serves seeds of every size.
 """
 
 from __future__ import annotations
@@ -11,18 +12,37 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from hirelake.functions.regex import ci_pattern, fold_hazard
-from hirelake.functions.word_index import WordIndex, sql_text, words_of
+from hirelake.functions.regex import ci_pattern, fold_hazard, needles
+from hirelake.functions.word_index import WordIndex, one_words, sql_text, words_of
 
 
-def _matches_sql(text: str, i: str, patterns: list[str]) -> str:
-    """``text ~* patterns[i]``: a balanced tree of comparisons leads to the one constant pattern."""
+def _match_sql(pattern: str) -> str:
+    """``_text ~* pattern``, given that no word of ``_words`` settles it. The text is searched for
+    literals that a match must hold first. Where case folding differs (``_hz``), words and literals
+    say nothing: the whole pattern runs."""
+    def found(p: str) -> str:
+        return f"regexp(_text, {sql_text(ci_pattern(p))})"
+
+    _, rest = one_words(pattern)
+    if rest is None:
+        return f"(_hz AND {found(pattern)})"
+    literals = needles(rest)
+    if literals is None:
+        return found(pattern)
+    held = " OR ".join(f"contains(_low, {sql_text(x)})" for x in literals)
+    if rest == pattern:
+        return f"((_hz OR {held}) AND {found(pattern)})"
+    return f"CASE WHEN _hz THEN {found(pattern)} ELSE ({held}) AND {found(rest)} END"
+
+
+def _matches_sql(i: str, patterns: list[str]) -> str:
+    """``_text ~* patterns[i]``: a balanced tree of comparisons leads to the one constant pattern."""
     def pick(low: int, high: int) -> str:
         if high - low == 1:
-            return f"regexp(`{text}`, {sql_text(ci_pattern(patterns[low]))})"
+            return _match_sql(patterns[low])
         mid = (low + high) // 2
         return f"CASE WHEN {i} < {mid} THEN {pick(low, mid)} ELSE {pick(mid, high)} END"
-    return pick(0, len(patterns))
+    return f"CASE WHEN {i} >= {len(patterns)} THEN true ELSE {pick(0, len(patterns))} END"
 
 
 def skill_match(jobs: DataFrame, taxonomy: DataFrame, id_col: str = "job_id",
@@ -36,10 +56,10 @@ def skill_match(jobs: DataFrame, taxonomy: DataFrame, id_col: str = "job_id",
     text = F.col(text_col)
     prepared = jobs.select(F.col(id_col), text.alias("_text"), fold_hazard(text).alias("_hz"), F.lower(text).alias("_low"))
     prepared = prepared.withColumn("_words", words_of(F.col("_low")))
-    tried = prepared.select(id_col, "_text", WordIndex(patterns).candidates("_low", "_words", "_hz").alias("_ids"))
+    tried = prepared.select(id_col, "_text", "_low", "_hz", WordIndex(patterns).candidates("_low", "_words", "_hz").alias("_ids"))
     # candidates are tested inside their row, each against a constant pattern (compiled once a
     # task), and only hits are exploded: no copy of the text per candidate
-    hits = tried.select(id_col, F.explode(F.expr(f"filter(_ids, i -> {_matches_sql('_text', 'i', patterns)})")).alias("_i"))
+    hits = tried.select(id_col, F.explode(F.expr(f"filter(_ids, i -> {_matches_sql('i', patterns)})")).alias("_i"))
     names = ", ".join(f"struct({sql_text(c or '')} AS c, {sql_text(n or '')} AS n)" for c, n, _ in rows)
-    return hits.select(id_col, F.expr(f"get(array({names}), _i)").alias("_s")).select(
+    return hits.select(id_col, F.expr(f"get(array({names}), _i % {len(rows)})").alias("_s")).select(
         id_col, F.col("_s.c").alias("skill_category"), F.col("_s.n").alias("skill_name")).distinct()

@@ -102,7 +102,7 @@ def enrich(fields: DataFrame) -> DataFrame:
         "normalized_currency": C.normalized_currency(F.col("raw_currency")),
         "salary_min_yearly": S.salary_floor(S.to_yearly(F.col("base_salary_min"), F.col("salary_period"))),
         "salary_max_yearly": S.salary_floor(S.to_yearly(F.col("base_salary_max"), F.col("salary_period"))),
-        "description_quality_tier": C.description_quality_tier(F.col(desc), F.col("job_country")),
+        "description_quality_tier": C.description_quality_tier(F.col(desc), F.col("job_country"), F.col(dlc)),
     })
     return stage4
 

@@ -155,3 +155,20 @@ def test_blanks(spark):
     texts = ["a \t\r\n b", "a b", "a  b", "a – b", "x\x0by  z", "\x0b\x0c", " a  ", "a  b", "a&nbsp; b", None, ""]
     got = [r.c for r in spark.createDataFrame([(t,) for t in texts], "t string").select(clean_description(F.col("t")).alias("c")).collect()]
     assert got == ["a b", "a b", "a b", "a – b", "x\x0by z", " ", " a ", "a  b", "a b", None, ""]
+
+
+def test_skills_by_words_alone(spark):
+    """Alternatives of one word run as no regular expression; odd words and folds agree with it."""
+    from hirelake.functions.word_index import one_words
+    from hirelake.operators import skills
+    assert one_words(r"\ysap\y|\ysap bw\y|\yS_4\y") == (["sap", "s_4"], r"\ysap bw\y")
+    assert one_words(r"(?i)\ysap\y") == ([], r"(?i)\ysap\y")
+    assert "RLIKE" not in skills._match_sql(r"\yphp\y").upper() and skills._match_sql(r"\yphp\y").startswith("(_hz AND")
+    patterns = [r"\ysap\y|\ysap bw\y", r"\ykafka\y", r"\yc\+\+\y|\ycpp\y", r"\yai\y|\yai lab[s]?\y|lab", r"\yit_s\y", "x+y"]
+    texts = ["SAP", "ſap bw", "\u212aafka!", "kafka\u0301", "sap_bw", "C++x cpp", "İt ai", "Aİ", "it_s", "LABS", "sap-ähnlich", "äsap", "XXY", "cppx", ""]
+    seed = spark.createDataFrame([("c", f"p{i}", p) for i, p in enumerate(patterns)], "category string, standard_name string, regex_pattern string")
+    jobs = spark.createDataFrame([(str(k), t) for k, t in enumerate(texts)], "job_id string, searchable_text string")
+    got = {(r.job_id, r.skill_name) for r in skills.skill_match(jobs, seed).collect()}
+    plain = {(r.job_id, f"p{i}") for i, p in enumerate(patterns)
+             for r in jobs.where(F.col("searchable_text").rlike(ci_pattern(p))).collect()}
+    assert got == plain and len(got) > 8

@@ -53,3 +53,16 @@ def test_regex_cases(spark, text, pattern, expected):
     if expected != "same":
         assert got == expected
     assert got == plain                            # pre-filter never changes the answer
+
+
+def test_first_characters(spark):
+    """The look at the first character leaves every match, folded ones too."""
+    from hirelake.functions.regex import first_chars
+    assert first_chars(r"\y(sr\.?|lead|100%)\y") == "sl1"
+    assert [first_chars(p) for p in (r"s?ap", r"(?<!\w)\.net", r"österreich|at", "(a|b)?c", "a|", ".x")] == [None] * 6
+    texts = ["SAP", "ſap", "x sap", "\u212aafka", "K8S", "İt", "it", "ıt", "sapx", "no", "K8s it"]
+    rows = spark.createDataFrame([(t,) for t in texts], "t string")
+    for pattern in (r"\ysap\y|\ykafka\y", r"\y(k8s|it)\y"):
+        plain = "(?iUs)" + pg_to_java(pattern)
+        assert all(r.a == r.b for r in rows.select(F.col("t").rlike(ci_pattern(pattern)).alias("a"),
+                                                   F.col("t").rlike(plain).alias("b")).collect())
