@@ -91,14 +91,16 @@ class KeyedTable:
         """The rows of all committed loads."""
         return self._read(self.manifest().loads).select(*self.schema.names)
 
-    def _without(self, rows: DataFrame, loads: list[dict]) -> DataFrame:
+    def _without(self, rows: DataFrame, loads: list[dict], batch_keys: DataFrame | None = None) -> DataFrame:
         """``rows`` (with ``_bucket``) whose key no load has. Only the buckets that hold rows of
-        the batch are read, and of them the keys: the filter prunes folders."""
-        hit = [r._bucket for r in rows.select("_bucket").distinct().collect()]  # at most ``buckets``
+        the batch are read, and of them the keys: the filter prunes folders. ``batch_keys`` are
+        the buckets and keys of ``rows``, if they lie ready."""
+        batch_keys = rows if batch_keys is None else batch_keys
+        hit = [r._bucket for r in batch_keys.select("_bucket").distinct().collect()]  # at most ``buckets``
         there = self._read(loads).where(F.col("_bucket").isin(hit)).select("_bucket", *self.keys)
         names = ["_bucket", *self.keys]
         # first the keys of the table that are in the batch, so the table is not shuffled for a small batch
-        known = there.join(rows.select(*names), names, "left_semi")
+        known = there.join(batch_keys.select(*names), names, "left_semi")
         return rows.join(known, names, "left_anti")
 
     def _write(self, rows: DataFrame) -> tuple[str, int]:
@@ -116,12 +118,14 @@ class KeyedTable:
         (file, then position); existing rows never change. Returns the load's audit, which is
         also kept with the table: ``batch_records, new_records, skipped_records``."""
         bucket = F.pmod(F.xxhash64(*self.keys), F.lit(self.buckets)).cast("int")
-        total = batch.count()
-        fresh = first_per_key(batch, self.keys).select(*self.schema.names, bucket.alias("_bucket"))
-        seen = self.manifest()
-        if seen.loads:  # written, as it is looked at three times
-            fresh = self._without(written(fresh, "fresh"), seen.loads)
-        load, new = self._write(fresh)
+        rows, seen = batch.withColumn("_bucket", bucket), self.manifest()
+        if seen.loads:
+            # keys alone tell which rows are known; only the others are put in order and moved
+            batch_keys = written(rows.select("_bucket", *self.keys), "batch-keys")
+            total, rows = batch_keys.count(), self._without(rows, seen.loads, batch_keys)
+        else:
+            total = batch.count()
+        load, new = self._write(first_per_key(rows, self.keys).select(*self.schema.names, "_bucket"))
         while True:
             audit = {"load_id": load, "batch_records": total, "new_records": new, "skipped_records": total - new}
             if self._publish(seen.version + 1, [*seen.loads, audit]):

@@ -164,3 +164,29 @@ def test_refresh_that_readers_survive(spark, tmpdir_path):
     house.refresh("gold", "t", spark.range(5))
     assert reader.count() == 3 and house.table("gold", "t").count() == 5
     assert house.drop_versions("gold", "t") == 2 and house.table("gold", "t").count() == 5
+
+
+def test_known_rows_are_neither_ordered_nor_moved(spark, tmpdir_path, monkeypatch):
+    """A load told twice: keys alone tell that all is there, payloads are not shuffled again."""
+    from hirelake.sources import keyed_table
+    sizes, plain = [], keyed_table.first_per_key
+    monkeypatch.setattr(keyed_table, "first_per_key", lambda rows, keys: sizes.append(rows.count()) or plain(rows, keys))
+    table = KeyedTable(spark, f"{tmpdir_path}/t", SCHEMA, buckets=4)
+    for ids in ([1, 2, 2], [1, 2, 2], [2, 3]):
+        table.merge(_batch(spark, ids))
+    assert sizes == [3, 0, 1]
+
+
+def test_a_load_parses_its_files_once(spark, tmpdir_path, monkeypatch):
+    from hirelake.plans import warehouse
+    seen, plain = [], warehouse.accepted_rows
+    monkeypatch.setattr(warehouse, "accepted_rows", lambda rows: seen.append(rows) or plain(rows))
+    folder = f"{tmpdir_path}/lake/board/austria/2026/04/01"
+    os.makedirs(folder)
+    with open(f"{folder}/cloud_jobs.json", "w") as out:
+        json.dump({"extracted_at": "2026-04-01T06:00:00", "source": "board", "country": "austria", "keyword": "Cloud",
+                   "jobs": [{"id": "1"}, {"id": "2"}, {"title": "none"}]}, out)
+    house = warehouse.Warehouse(spark, f"{tmpdir_path}/house", buckets=2)
+    assert dict(x[1:] for x in house.load(f"{tmpdir_path}/lake", "2026-04-01")) == {
+        "batch_records": 2, "new_records": 2, "skipped_records": 0, "no_key": 1}
+    assert not any(f.endswith(".json") for f in seen[0].inputFiles())
