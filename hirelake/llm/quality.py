@@ -3,31 +3,36 @@
 A document has a strength linear in features of its whole text; that one document is
 preferred to another has the logistic of the difference of their strengths as probability.
 Weights come from pairs of a document labelled good and one labelled bad, by Newton steps on
-the logistic loss of feature differences. The cut is a quantile of the strengths of the
-labelled sample, and scores are the logistic of the distance to it, moved so that the cut
-lies at ``CUT_SCORE``.
+the logistic loss of feature differences. Every labelled document that is not held out is in a
+pair; features, pairs and sums over them are Spark jobs, and the driver sees sums only. The cut
+is a quantile of the strengths of all these documents, and scores are the logistic of the
+distance to it, moved so that the cut lies at ``CUT_SCORE``.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
 
-from hirelake.llm.common import crc32_remainder, ship_by_value, table
+from hirelake.llm.common import crc32_remainder, ship_by_value, staged, table
 
-# Labelled rows taken per label (by a hash of the id); each bad one meets this many good ones.
-TRAIN_ROWS = 2500
+# Each bad row meets this many good ones, or as many as it takes that every good one is met.
 PAIRS_PER_ROW = 8
 HELD_OUT = (5, 0)
 CUT_SCORE = 0.3
 RIDGE = 1.0
 NEWTON_STEPS = 12
-# Quantiles of the sample's strengths that are tried as the cut.
+# Steps end early once no weight moves by more.
+SETTLED = 1e-9
+# Rows numbered by one task.
+RANK_ROWS = 50_000
+# Quantiles of the strengths that are tried as the cut.
 QUANTILES = np.arange(0.005, 0.6, 0.005)
 
 # Byte classes: lower, upper, digit, blank, line end, sentence mark, other mark, non-ASCII.
@@ -62,56 +67,116 @@ def text_features(text: str) -> np.ndarray:
     return np.concatenate((counts, np.sqrt(pairs / size), np.sqrt(marks / n)))
 
 
-def training_rows(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, label_col: str,
-                  rows_per_label: int = TRAIN_ROWS) -> DataFrame:
-    """(draw, label, features) of about ``rows_per_label`` labelled rows of each label, none
-    held out. Null labels and ids are left out."""
+def packed_features(text: Column) -> Column:
+    """:func:`text_features` as the bytes of float32 values."""
+    @pandas_udf("binary")
+    def packed(texts: pd.Series) -> pd.Series:
+        return texts.map(lambda t: text_features(t or "").astype(np.float32).tobytes())
+    return packed(text)
+
+
+def _unpacked(packed: pa.Array) -> np.ndarray:
+    """A row of features per value."""
+    return np.frombuffer(b"".join(packed.to_pylist()), dtype=np.float32).reshape(len(packed), -1).astype(float)
+
+
+def training_rows(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, label_col: str) -> DataFrame:
+    """(draw, label, features) of all labelled rows but the held out ones. Null labels and ids are
+    left out. Only features meet the labels: texts stay in the task that reads them."""
     modulus, remainder = HELD_OUT
     key = F.col(id_col).cast("string")
     usable = labels.where(F.col(label_col).isin(0, 1) & F.col(id_col).isNotNull()
                           & (crc32_remainder(key, modulus) != remainder))
     usable = usable.select(F.col(id_col).alias("_id"), F.col(label_col).cast("int").alias("label"))
-    share = usable.groupBy(F.col("label").alias("_label")).agg(
-        (F.lit(float(rows_per_label)) / F.count(F.lit(1))).alias("_share"))
+    found = docs.where(F.col(id_col).isNotNull() & (crc32_remainder(key, modulus) != remainder)).select(
+        F.col(id_col).alias("_id"), packed_features(F.col(text_col)).alias("features"))
     draw = F.pmod(F.xxhash64(F.lit("quality"), F.col("_id")), F.lit(1 << 30)) / float(1 << 30)
-    taken = (usable.withColumn("draw", draw).join(F.broadcast(share), F.col("label") == F.col("_label"))
-             .where("draw < _share").select("_id", "label", "draw"))
-    # bounded by rows_per_label, so the documents are only scanned
-    text = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text"))
-    found = text.join(F.broadcast(taken), "_id")
+    return found.join(usable, "_id").select(draw.alias("draw"), "label", "features")
+
+
+def _ranked(rows: DataFrame, order: list[str], n: int) -> DataFrame:
+    """The ``n`` rows with their number ``_rank`` from 0 in ascending ``order``: ranges are sorted on
+    their own, and the sizes of the ranges before one are added."""
+    rows = rows.repartitionByRange(max(1, -(-n // RANK_ROWS)), *order).sortWithinPartitions(*order)
+    rows = staged(rows.withColumn("_at", F.monotonically_increasing_id()), "quality-ranks")
+    part = F.shiftright("_at", 33)
+    sizes = dict(rows.groupBy(part.alias("p")).count().collect())
+    before, starts = 0, []
+    for p in sorted(sizes):
+        starts.append((p, before))
+        before += sizes[p]
+    starts = rows.sparkSession.createDataFrame(starts, "_part bigint, _before bigint")
+    return rows.withColumn("_part", part).join(F.broadcast(starts), "_part").select(
+        *[c for c in rows.columns if c != "_at"],
+        (F.col("_before") + F.col("_at") - F.shiftleft("_part", 33)).alias("_rank"))
+
+
+def _summed(rows: DataFrame, of_batch: Callable[[pa.RecordBatch], np.ndarray], width: int) -> np.ndarray:
+    """Sum of ``of_batch`` over all rows: one row of sums a task, added up in the order of tasks."""
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(width)
+        for batch in batches:
+            if batch.num_rows:
+                total += of_batch(batch)
+        yield pa.RecordBatch.from_arrays([pa.array([total.tobytes()], pa.binary())], names=["sums"])
+
+    return sum((np.frombuffer(r.sums) for r in rows.mapInArrow(task, "sums binary").collect()), np.zeros(width))
+
+
+def _newton_sums(delta: np.ndarray, weights: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Gradient and Hessian of the pairs' logistic loss."""
+    p = 1.0 / (1.0 + np.exp(-np.clip(delta @ weights, -30, 30)))
+    return delta.T @ (1.0 - p), (delta * (p * (1.0 - p))[:, None]).T @ delta
+
+
+def _newton(sums: Callable[[np.ndarray], tuple[np.ndarray, np.ndarray]], width: int) -> np.ndarray:
+    weights = np.zeros(width)
+    for _ in range(NEWTON_STEPS):
+        gradient, hessian = sums(weights)
+        step = np.linalg.solve(hessian + RIDGE * np.eye(width), gradient - RIDGE * weights)
+        weights = weights + step
+        if np.abs(step).max() < SETTLED:
+            break
+    return weights
 
-    @pandas_udf("array<double>")
-    def features(texts: pd.Series) -> pd.Series:
-        return texts.map(lambda t: text_features(t or ""))
 
-    return found.select("draw", "label", features("_text").alias("features"))
+def _standard(x: np.ndarray, mean: np.ndarray, scale: np.ndarray) -> np.ndarray:
+    return np.clip((x - mean) / scale, -6, 6)
+
+
+def _pair_count(good: int, bad: int) -> int:
+    """Good rows that each bad one meets."""
+    return max(PAIRS_PER_ROW, -(-good // bad))
 
 
 class Ranker:
     """Strength weights over standardised features, and the cut."""
 
     def __init__(self, x: np.ndarray, label: np.ndarray) -> None:
+        """From rows in memory; :func:`train` does the same over tables."""
         self.mean, self.scale = x.mean(axis=0), x.std(axis=0) + 1e-3
+        self.weights, self.cut = np.zeros(x.shape[1]), -np.inf
         z = self._standard(x)
         good, bad = np.flatnonzero(label == 1), np.flatnonzero(label == 0)
-        self.weights = np.zeros(z.shape[1])
-        self.cut = -np.inf
         if not len(good) or not len(bad):
             return
-        partner = good[(np.arange(len(bad))[:, None] * PAIRS_PER_ROW + np.arange(PAIRS_PER_ROW)) % len(good)]
+        n = _pair_count(len(good), len(bad))
+        partner = good[(np.arange(len(bad))[:, None] * n + np.arange(n)) % len(good)]
         delta = (z[partner] - z[bad][:, None]).reshape(-1, z.shape[1])
-        for _ in range(NEWTON_STEPS):
-            p = 1.0 / (1.0 + np.exp(-np.clip(delta @ self.weights, -30, 30)))
-            gradient = delta.T @ (1.0 - p) - RIDGE * self.weights
-            hessian = (delta * (p * (1.0 - p))[:, None]).T @ delta + RIDGE * np.eye(len(self.weights))
-            self.weights = self.weights + np.linalg.solve(hessian, gradient)
+        self.weights = _newton(lambda w: _newton_sums(delta, w), z.shape[1])
         strength = z @ self.weights
         cuts = np.quantile(strength, QUANTILES)
         right = [(strength[good] >= c).mean() + (strength[bad] < c).mean() for c in cuts]
         self.cut = float(cuts[int(np.argmax(right))])
 
+    @classmethod
+    def of(cls, mean: np.ndarray, scale: np.ndarray, weights: np.ndarray, cut: float) -> Ranker:
+        ranker = cls.__new__(cls)
+        ranker.mean, ranker.scale, ranker.weights, ranker.cut = mean, scale, weights, cut
+        return ranker
+
     def _standard(self, x: np.ndarray) -> np.ndarray:
-        return np.clip((x - self.mean) / self.scale, -6, 6)
+        return _standard(x, self.mean, self.scale)
 
     def scores(self, x: np.ndarray) -> np.ndarray:
         above = np.clip(self._standard(x) @ self.weights - self.cut, -30, 30)
@@ -119,13 +184,62 @@ class Ranker:
 
 
 def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-          label_col: str = "quality", rows_per_label: int = TRAIN_ROWS) -> Ranker:
-    """Ranker from a bounded sample of labelled rows; without both labels all score alike."""
-    sample = training_rows(docs, labels, id_col, text_col, label_col, rows_per_label).orderBy("draw", "label").toPandas()
-    width = len(text_features(""))
-    x = np.stack(sample["features"].to_list()) if len(sample) else np.zeros((1, width))
-    label = sample["label"].to_numpy() if len(sample) else np.ones(1, dtype=int)
-    return Ranker(x, label)
+          label_col: str = "quality") -> Ranker:
+    """Ranker from all labelled rows but the held out ones; without both labels all score alike."""
+    rows = staged(training_rows(docs, labels, id_col, text_col, label_col), "quality-rows")
+    counts = dict(rows.groupBy("label").count().collect())
+    good, bad = counts.get(1, 0), counts.get(0, 0)
+    width, n = len(text_features("")), good + bad
+    if not good or not bad:
+        return Ranker.of(np.zeros(width), np.ones(width), np.zeros(width), -np.inf)
+
+    mean = _summed(rows, lambda b: _unpacked(b["features"]).sum(axis=0), width) / n
+    scale = np.sqrt(_summed(rows, lambda b: ((_unpacked(b["features"]) - mean) ** 2).sum(axis=0), width) / n) + 1e-3
+
+    each = _pair_count(good, bad)
+    order = ["draw", "features"]
+    firsts = _ranked(rows.where("label = 1").select(*order), order, good).select(
+        F.col("features").alias("good"), F.col("_rank").alias("_of"))
+    seconds = _ranked(rows.where("label = 0").select(*order), order, bad).select(
+        F.col("features").alias("bad"), F.explode(F.expr(f"sequence(_rank * {each}, _rank * {each} + {each - 1})")).alias("_pair"))
+    seconds = seconds.select("bad", (F.col("_pair") % good).alias("_of"))
+
+    def differences(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                delta = _standard(_unpacked(batch["good"]), mean, scale) - _standard(_unpacked(batch["bad"]), mean, scale)
+                packed = [row.tobytes() for row in delta.astype(np.float32)]
+                yield pa.RecordBatch.from_arrays([pa.array(packed, pa.binary())], names=["delta"])
+
+    pairs = staged(seconds.join(firsts, "_of").select("good", "bad").mapInArrow(differences, "delta binary"), "quality-pairs")
+
+    def sums(weights: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        total = _summed(pairs, lambda b: np.concatenate([s.ravel() for s in _newton_sums(_unpacked(b["delta"]), weights)]),
+                        width + width * width)
+        return total[:width], total[width:].reshape(width, width)
+
+    weights = _newton(sums, width)
+
+    def strengths(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                found = _standard(_unpacked(batch["features"]), mean, scale) @ weights
+                yield pa.RecordBatch.from_arrays([pa.array(found), batch["label"]], names=["strength", "label"])
+
+    ranked = _ranked(rows.mapInArrow(strengths, "strength double, label int"), ["strength"], n)
+    at = QUANTILES * (n - 1)
+    low = np.floor(at).astype(int)
+    needed = sorted({int(k) for k in low} | {min(n - 1, int(k) + 1) for k in low})
+    values = {r._rank: r.strength for r in ranked.where(F.col("_rank").isin(needed)).collect()}
+    cuts = np.array([values[k] + (values[min(n - 1, k + 1)] - values[k]) * (q - k) for k, q in zip(low.tolist(), at, strict=True)])
+
+    def below(batch: pa.RecordBatch) -> np.ndarray:
+        strength, label = np.asarray(batch["strength"]), np.asarray(batch["label"])
+        return np.concatenate([(strength[label == k][:, None] < cuts).sum(axis=0) for k in (1, 0)])
+
+    under = _summed(ranked.select("strength", "label"), below, 2 * len(cuts)).reshape(2, -1)
+    right = (good - under[0]) / good + under[1] / bad
+    return Ranker.of(mean, scale, weights, float(cuts[int(np.argmax(right))]))
 
 
 def quality_score(docs: DataFrame, ranker: Ranker, text_col: str = "text") -> Column:

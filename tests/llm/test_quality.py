@@ -50,3 +50,19 @@ def test_awkward_rows(spark, awkward, clashing, documents):
     assert none.scores(np.stack([quality.text_features("x")])).shape == (1,)
     empty = documents([])
     assert empty.select(quality.quality_score(empty, none)).count() == 0
+
+
+def test_every_labelled_row_trains(spark, documents, monkeypatch):
+    """More rows than a sample would hold; the sums over tables equal those over arrays."""
+    draw = random.Random(5)
+    good = [draw.random() < 0.9 for _ in range(5000)]
+    docs = documents([(k, text(draw, g) if k % 9 else None, "en", "a") for k, g in enumerate(good)])
+    labels = spark.createDataFrame([(k, int(g), 0) for k, g in enumerate(good)], LABELS)
+    rows = quality.training_rows(docs, labels, "doc_id", "text", "quality").orderBy("draw", "features").toPandas()
+    assert len(rows) == sum(zlib.crc32(str(k).encode()) % 5 != 0 for k in range(5000))
+    monkeypatch.setattr(quality, "RANK_ROWS", 700)
+    ranker = quality.train(docs, labels)
+    x = np.stack([np.frombuffer(f, np.float32).astype(float) for f in rows["features"]])
+    plain = quality.Ranker(x, rows["label"].to_numpy())
+    assert np.allclose(ranker.weights, plain.weights, atol=1e-4) and np.isclose(ranker.cut, plain.cut, atol=1e-4)
+    assert np.allclose(ranker.scores(x), plain.scores(x), atol=1e-4)
