@@ -68,16 +68,16 @@ def text_features(text: str) -> np.ndarray:
 
 
 def packed_features(text: Column) -> Column:
-    """:func:`text_features` as the bytes of float32 values."""
+    """:func:`text_features` as the bytes of its values."""
     @pandas_udf("binary")
     def packed(texts: pd.Series) -> pd.Series:
-        return texts.map(lambda t: text_features(t or "").astype(np.float32).tobytes())
+        return texts.map(lambda t: text_features(t or "").tobytes())
     return packed(text)
 
 
 def _unpacked(packed: pa.Array) -> np.ndarray:
     """A row of features per value."""
-    return np.frombuffer(b"".join(packed.to_pylist()), dtype=np.float32).reshape(len(packed), -1).astype(float)
+    return np.frombuffer(b"".join(packed.to_pylist())).reshape(len(packed), -1)
 
 
 def training_rows(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, label_col: str) -> DataFrame:
@@ -208,7 +208,7 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
         for batch in batches:
             if batch.num_rows:
                 delta = _standard(_unpacked(batch["good"]), mean, scale) - _standard(_unpacked(batch["bad"]), mean, scale)
-                packed = [row.tobytes() for row in delta.astype(np.float32)]
+                packed = [row.tobytes() for row in delta]
                 yield pa.RecordBatch.from_arrays([pa.array(packed, pa.binary())], names=["delta"])
 
     pairs = staged(seconds.join(firsts, "_of").select("good", "bad").mapInArrow(differences, "delta binary"), "quality-pairs")

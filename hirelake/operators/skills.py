@@ -16,33 +16,26 @@ from hirelake.functions.regex import ci_pattern, fold_hazard, needles
 from hirelake.functions.word_index import WordIndex, one_words, sql_text, words_of
 
 
-def _match_sql(pattern: str) -> str:
-    """``_text ~* pattern``, given that no word of ``_words`` settles it. The text is searched for
-    literals that a match must hold first. Where case folding differs (``_hz``), words and literals
-    say nothing: the whole pattern runs."""
-    def found(p: str) -> str:
-        return f"regexp(_text, {sql_text(ci_pattern(p))})"
-
+def _literals_sql(pattern: str) -> str:
+    """Literals one of which a text must hold to match ``pattern`` if no word of it settles that:
+    none if there are no other alternatives, the empty one if they have no literals."""
     _, rest = one_words(pattern)
-    if rest is None:
-        return f"(_hz AND {found(pattern)})"
-    literals = needles(rest)
-    if literals is None:
-        return found(pattern)
-    held = " OR ".join(f"contains(_low, {sql_text(x)})" for x in literals)
-    if rest == pattern:
-        return f"((_hz OR {held}) AND {found(pattern)})"
-    return f"CASE WHEN _hz THEN {found(pattern)} ELSE ({held}) AND {found(rest)} END"
+    literals = (needles(rest) or [""]) if rest is not None else []
+    return f"cast(array({', '.join(map(sql_text, literals))}) AS array<string>)"
 
 
 def _matches_sql(i: str, patterns: list[str]) -> str:
-    """``_text ~* patterns[i]``: a balanced tree of comparisons leads to the one constant pattern."""
+    """``_text ~* patterns[i]``; numbers from ``len(patterns)`` on are settled by a word. The text is
+    searched for literals first, but where case folding differs (``_hz``), as these say nothing
+    there. A balanced tree of comparisons leads to the one constant pattern."""
     def pick(low: int, high: int) -> str:
         if high - low == 1:
-            return _match_sql(patterns[low])
+            return f"regexp(_text, {sql_text(ci_pattern(patterns[low]))})"
         mid = (low + high) // 2
         return f"CASE WHEN {i} < {mid} THEN {pick(low, mid)} ELSE {pick(mid, high)} END"
-    return f"CASE WHEN {i} >= {len(patterns)} THEN true ELSE {pick(0, len(patterns))} END"
+    literals = f"array({', '.join(map(_literals_sql, patterns))})"
+    held = f"exists(get({literals}, {i}), x -> contains(_low, x))"
+    return f"CASE WHEN {i} >= {len(patterns)} THEN true WHEN _hz OR {held} THEN {pick(0, len(patterns))} ELSE false END"
 
 
 def skill_match(jobs: DataFrame, taxonomy: DataFrame, id_col: str = "job_id",
