@@ -11,15 +11,17 @@ generated code. The differences that change results:
   Java needs ``(?iUs)``.
 * ``\\s`` is the locale's space class; ``$`` is the end of the string only.
 
-``regex_any_ci`` also adds an exact pre-filter: every top-level alternative of a
-pattern contains a literal run that any match must contain, so a cheap byte search
-on the lower-cased text decides most rows before the regex runs. Characters whose
-case folding differs between ``lower()`` and the regex engine (dotted/dotless i,
-long s) bypass the pre-filter, so the result is always the regex's own answer.
+``regex_any_ci`` searches the lower-cased text first. An alternative that is a plain literal
+is settled by that search, one that is a whole word by a case-sensitive match; every other
+alternative contains a literal that any match must contain, so that its regex runs only where
+the text holds one. Characters whose case folding differs between ``lower()`` and the regex
+engine (dotted/dotless i, long s) send a row to the whole regex, so the result is always the
+regex's own answer.
 """
 
 from __future__ import annotations
 
+import re
 from functools import reduce
 
 from pyspark.sql import Column
@@ -34,6 +36,11 @@ PG_SPACE_CHARS = (r"\t\n\x0B\f\r \x{1680}\x{2000}-\x{2006}\x{2008}-\x{200A}"
 # lower() maps them elsewhere: they disable the literal pre-filter for a row.
 FOLD_HAZARDS = ("İ", "ı", "ſ")
 
+_COMMON = " enisratodlhucmgpfbwyvk"  # the frequent characters of English and German texts, by frequency
+_META = set("\\^$.|?*+()[]{}")
+_ONE_WORD = re.compile(r"\\y([A-Za-z0-9_]+)\\y")
+_TWO_PARTS = re.compile(r"([^\\^$.|?*+()\[\]{}]+)\[- \](\?)?([^\\^$.|?*+()\[\]{}]+)")
+
 
 def _bracket_end(p: str, i: int) -> int:
     """Index just past the bracket expression starting at ``p[i] == '['``."""
@@ -262,29 +269,85 @@ def fold_hazard(col: Column) -> Column:
     return reduce(lambda a, b: a | b, [col.contains(h) for h in FOLD_HAZARDS])
 
 
-def prefilter(pattern: str, lowered: Column, hazard: Column) -> Column | None:
-    nd = needles(pattern)
-    if nd is None:
+def sql_text(text: str) -> str:
+    """A SQL string literal, whatever the session's escape setting for plain ones."""
+    if "'" not in text and all(ch >= " " for ch in text):
+        return f"r'{text}'"
+    return "concat(" + ", ".join(f"char({ord(ch)})" if ch == "'" or ch < " " else f"r'{ch}'" for ch in text) + ")"
+
+
+def rare_tail(literal: str) -> str:
+    """``literal`` from one of its rarer characters on: a byte search compares the rest only where
+    the first byte agrees, so it passes a text faster. At least four characters stay."""
+    starts = range(max(1, len(literal) - 3))
+    return literal[min(starts, key=lambda i: (_COMMON.find(literal[i]) + 1 and len(_COMMON) - _COMMON.find(literal[i]), i)):]
+
+
+def settled(pattern: str) -> tuple[list[str], list[str], str | None]:
+    """The alternatives that are plain literals and those that are one whole word of ASCII
+    characters (both in lower case), and the pattern of all others (None if there are none).
+    Embedded options hold for all alternatives: nothing is cut off."""
+    if pattern.startswith("***") or re.match(r"\(\?[a-z]", pattern):
+        return [], [], pattern
+    inner = pattern
+    while inner.startswith("(") and not inner.startswith("(?") and _group_end(inner, 0) == len(inner):
+        inner = inner[1:-1]
+    literals, words, rest = [], [], []
+    for part in _split_top(inner):
+        if part and not set(part) & _META:
+            literals.append(part.lower())
+        elif m := _ONE_WORD.fullmatch(part):
+            words.append(m[1].lower())
+        else:
+            rest.append(part)
+    return literals, words, "|".join(rest) if rest else None
+
+
+def held_forms(pattern: str) -> list[str] | None:
+    """As :func:`needles`, but an alternative of two literals with a blank or hyphen between them
+    (``a[- ]?b``) counts with all its forms, which few texts hold by chance."""
+    if needles(pattern) is None:
         return None
-    hit = reduce(lambda a, b: a | b, [lowered.contains(x) for x in nd])
-    return hit | hazard
+    out: list[str] = []
+    for alt in _alternatives(pattern):
+        m = _TWO_PARTS.fullmatch(alt)
+        out += [m[1] + c + m[3] for c in ["-", " "] + [""] * bool(m[2])] if m else [_required_literal(alt)]
+    return list(dict.fromkeys(x.lower() for x in out))
+
 
+def holds(lowered: Column, literal: str) -> Column:
+    """``contains``, by a tail of the literal that is quicker to search for."""
+    tail = rare_tail(literal)
+    return lowered.contains(literal) if tail == literal else lowered.contains(tail) & lowered.contains(literal)
 
-def _sql_safe(text: str) -> bool:
-    return "'" not in text and all(ch >= " " for ch in text)
 
+def _word_pattern(word: str) -> str:
+    """``\\bword\\b`` with the literal in front, where the search for a place begins."""
+    return rf"(?U){word}\b(?<=\b{word})"
 
-def regex_any_ci_sql(col: str, pattern: str, lowered: str, hazard: str) -> str | None:
+
+def regex_any_ci_sql(col: str, pattern: str, lowered: str, hazard: str) -> str:
     """The same test as ``regex_any_ci`` as one SQL expression over named columns (one
-    round trip to build instead of one per needle); None when a literal needs escaping."""
-    java, nd = ci_pattern(pattern), needles(pattern)
-    if not _sql_safe(java) or (nd is not None and not all(_sql_safe(x) and "\\" not in x for x in nd)):
-        return None
-    match = f"(`{col}` RLIKE r'{java}')"
-    if nd is None:
-        return match
-    hits = " OR ".join(f"contains(`{lowered}`, '{x}')" for x in nd)
-    return f"((({hits}) OR `{hazard}`) AND {match})"
+    round trip to build instead of one per literal)."""
+    def has(x: str) -> str:
+        return f"contains(`{lowered}`, {sql_text(x)})"
+
+    def held(x: str) -> str:  # as :func:`holds`
+        return has(x) if rare_tail(x) == x else f"({has(rare_tail(x))} AND {has(x)})"
+
+    def like(name: str, java: str) -> str:
+        return f"rlike(`{name}`, {sql_text(java)})"
+    whole = like(col, ci_pattern(pattern))
+    literals, words, rest = settled(pattern)
+    tests = [held(x) for x in literals]
+    tests += [f"({has(w)} AND {like(lowered, _word_pattern(w))})" for w in words]
+    if rest is not None:
+        forms = held_forms(rest)
+        if forms is None and not tests:
+            return whole
+        match = like(col, ci_pattern(rest))
+        tests.append(match if forms is None else f"(({' OR '.join(map(held, forms))}) AND {match})")
+    return f"CASE WHEN `{hazard}` THEN {whole} ELSE {' OR '.join(tests)} END"
 
 
 def regex_any_ci(col: Column | str, pattern: str, lowered: Column | str | None = None,
@@ -292,17 +355,23 @@ def regex_any_ci(col: Column | str, pattern: str, lowered: Column | str | None =
     """PostgreSQL ``col ~* pattern``: NULL on NULL input, else a boolean. With column
     names for all three inputs the test is built as one SQL expression."""
     if isinstance(col, str) and isinstance(lowered, str) and isinstance(hazard, str):
-        sql = regex_any_ci_sql(col, pattern, lowered, hazard)
-        if sql is not None:
-            return F.expr(sql)
+        return F.expr(regex_any_ci_sql(col, pattern, lowered, hazard))
     col = F.col(col) if isinstance(col, str) else col
     lowered = F.col(lowered) if isinstance(lowered, str) else lowered
     hazard = F.col(hazard) if isinstance(hazard, str) else hazard
-    match = col.rlike(ci_pattern(pattern))
-    pre = prefilter(pattern,
-                    lowered if lowered is not None else F.lower(col),
-                    hazard if hazard is not None else fold_hazard(col))
-    return match if pre is None else (pre & match)
+    lowered = lowered if lowered is not None else F.lower(col)
+    hazard = hazard if hazard is not None else fold_hazard(col)
+    whole = col.rlike(ci_pattern(pattern))
+    literals, words, rest = settled(pattern)
+    tests = [holds(lowered, x) for x in literals]
+    tests += [lowered.contains(w) & lowered.rlike(_word_pattern(w)) for w in words]
+    if rest is not None:
+        forms = held_forms(rest)
+        if forms is None and not tests:
+            return whole
+        match = col.rlike(ci_pattern(rest))
+        tests.append(match if forms is None else reduce(lambda a, b: a | b, [holds(lowered, x) for x in forms]) & match)
+    return F.when(hazard, whole).otherwise(reduce(lambda a, b: a | b, tests))
 
 
 def regex_any(col: Column, pattern: str) -> Column:
@@ -311,8 +380,13 @@ def regex_any(col: Column, pattern: str) -> Column:
 
 
 def first_group(col: Column, pattern: str, idx: int = 1) -> Column:
-    """``(regexp_match(col, pattern))[idx]``: NULL when nothing or an empty group matched."""
-    return F.nullif(F.regexp_extract(col, cs_pattern(pattern), idx), F.lit(""))
+    """``(regexp_match(col, pattern))[idx]``: NULL when nothing or an empty group matched. A pattern
+    in lower case is searched for only in texts that hold a literal of it."""
+    lower = pattern == pattern.lower()
+    first, forms = (first_chars(pattern), held_forms(pattern)) if lower else (None, None)
+    java = f"(?Us)(?=[{first}])(?:{pg_to_java(pattern)})" if first else cs_pattern(pattern)
+    found = F.nullif(F.regexp_extract(col, java, idx), F.lit(""))
+    return F.when(reduce(lambda a, b: a | b, [holds(col, x) for x in forms]), found) if forms else found
 
 
 def first_match(col: Column, pattern: str) -> Column:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -9,34 +11,42 @@ from hirelake.functions.regex import PG_SPACE_CHARS
 
 # The cleaning patterns.
 _HTML_TAG = "<[^>]+>"
-_LINE_BREAKS = "\r\n\t"
+_TO_SPACE = ("\r", "\n", "\t", "&nbsp;")
 _MULTI_SPACE = "[" + PG_SPACE_CHARS + "]{2,}"
 
 # Texts with one of these may hold other spaces than the plain one (once line breaks are gone).
 _MAYBE_OTHER_SPACE = r"[\x0B\f\x{1680}-\x{3000}]"
 
 
+def _bound(text: Column, step: Callable[[Column], Column]) -> Column:
+    """``step`` of the text, which is computed once however often ``step`` or a filter on the
+    result names it."""
+    return F.get(F.transform(F.array(text), step), F.lit(0))
+
+
 def strip_html(text: Column) -> Column:
     """Every ``<...>`` tag becomes one space. Only the text up to its last ``>`` is
-    searched: behind it no tag can end, and a row of ``<`` would be scanned once each.
-    The text is bound once, so that a filter on the result does not copy its expression."""
+    searched: behind it no tag can end, and a row of ``<`` would be scanned once each."""
     def stripped(t: Column) -> Column:
         tail = F.substring_index(t, ">", -1)
         head = F.left(t, F.length(t) - F.length(tail))
-        return F.concat(F.regexp_replace(head, _HTML_TAG, " "), tail)
-    return F.get(F.transform(F.array(text), stripped), F.lit(0))
+        return F.when(t.contains("<") & t.contains(">"), F.concat(F.regexp_replace(head, _HTML_TAG, " "), tail)).otherwise(t)
+    return _bound(text, stripped)
 
 
 def flatten_whitespace(text: Column) -> Column:
     """CR/LF/TAB runs to a space, ``&nbsp;`` to a space, 2+ spaces to one; no trim."""
-    for c in _LINE_BREAKS:  # runs collapse in the last step
-        text = F.replace(text, F.lit(c), F.lit(" "))
-    t = F.replace(text, F.lit("&nbsp;"), F.lit(" "))
-    # the class of all spaces is slow to test at every character: most texts need only the plain one
-    # texts of ASCII hold no others but two
-    other = F.when(F.octet_length(t) == F.length(t), t.contains("\x0B") | t.contains("\f")).otherwise(t.rlike(_MAYBE_OTHER_SPACE))
-    return F.when(other, F.regexp_replace(t, _MULTI_SPACE, " ")) \
-        .when(t.contains("  "), F.regexp_replace(t, "  +", " ")).otherwise(t)
+    # runs collapse in the last step; a text is searched faster than it is searched for replacing
+    marks = F.array(*[F.lit(c) for c in _TO_SPACE])
+    text = F.aggregate(marks, text, lambda t, c: F.when(F.contains(t, c), F.replace(t, c, F.lit(" "))).otherwise(t))
+
+    def collapsed(t: Column) -> Column:
+        # the class of all spaces is slow to test at every character: most texts need only the plain one
+        # texts of ASCII hold no others but two
+        other = F.when(F.octet_length(t) == F.length(t), t.contains("\x0B") | t.contains("\f")).otherwise(t.rlike(_MAYBE_OTHER_SPACE))
+        return F.when(other, F.regexp_replace(t, _MULTI_SPACE, " ")) \
+            .when(t.contains("  "), F.regexp_replace(t, "  +", " ")).otherwise(t)
+    return _bound(text, collapsed)
 
 
 def clean_description(text: Column) -> Column:

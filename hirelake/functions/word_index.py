@@ -17,11 +17,10 @@ from collections.abc import Sequence
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from hirelake.functions.regex import _alternatives, _bracket_end, _split_top
+from hirelake.functions.regex import _ONE_WORD, _alternatives, _bracket_end, _split_top, sql_text
 
-WORDS = r"(?U)[\w]+"
+WORDS = r"(?U)[a-z0-9_\w]+"  # the plain letters, tested first, are quicker than the class of all
 WHOLE, BEGIN, END = "whole", "begin", "end"
-_ONE_WORD = re.compile(r"\\y([A-Za-z0-9_]+)\\y")
 
 
 def words_of(lowered: Column) -> Column:
@@ -125,13 +124,6 @@ def one_words(pattern: str) -> tuple[list[str], str | None]:
     return words, "|".join(rest) if rest else None
 
 
-def sql_text(text: str) -> str:
-    """A SQL string literal, whatever the session's escape setting for plain ones."""
-    if "'" not in text and all(ch >= " " for ch in text):
-        return f"r'{text}'"
-    return "concat(" + ", ".join(f"char({ord(ch)})" if ch == "'" or ch < " " else f"r'{ch}'" for ch in text) + ")"
-
-
 class WordIndex:
     """Candidate patterns (by their number) of a text, from its words. A pattern that one of its
     :func:`one_words` settles has its number plus ``size``."""

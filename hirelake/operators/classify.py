@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from hirelake.functions.regex import first_group
+from hirelake.functions.regex import first_group, holds
 from hirelake.functions.rules import classify_rules, regex_rules
 from hirelake.functions.text import before_first_comma
 
@@ -193,7 +193,7 @@ def description_quality_tier(description: Column, country: Column, desc_lc: Colu
     desc_lc = desc_lc if desc_lc is not None else F.lower(description)
     geo = None
     for w in TIER_GEO_WORDS:
-        c = desc_lc.like(w.lower())
+        c = holds(desc_lc, w.lower().strip("%"))
         geo = c if geo is None else (geo | c)
     geo = geo | country.isin(*TIER_GEO_COUNTRIES)
     return (F.when(description.isNull(), F.lit(TIER_MISSING))

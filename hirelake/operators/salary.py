@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from hirelake.functions.regex import first_match, groups_of_match
+from hirelake.functions.regex import PG_SPACE_CHARS, first_match, groups_of_match, sql_text
 from hirelake.functions.text import decimal_text
 
 # ----------------------------------------------------------------------------------
@@ -45,10 +45,31 @@ def _amount(number: Column, k_flag: Column) -> Column:
                   F.when(F.coalesce(k_flag == "k", F.lit(False)), with_k).otherwise(plain))
 
 
+# Currency tokens of both patterns; the characters an amount before a currency can consist of, none
+# of which a token begins with; and how much of the text before the first token is looked at first.
+_TOKENS = ("€", "$", "£", "usd", "brutto", "eur")
+_NO_AMOUNT = f"[^0-9.,k{PG_SPACE_CHARS}–-]"
+_AMOUNT_CHARS = 200
+
+
 def with_salary_matches(df: DataFrame, text: str = "salary_text") -> DataFrame:
-    """Add the two first matches (``_sal_pre``, ``_sal_suf``; '' when absent)."""
-    return df.withColumns({"_sal_pre": first_match(F.col(text), _PREFIX_SEARCH),
-                           "_sal_suf": first_match(F.col(text), _SUFFIX_SEARCH)})
+    """Add the two first matches (``_sal_pre``, ``_sal_suf``; '' when absent).
+
+    No match begins before the first currency token but for the amount that stands right before
+    it, so both patterns search from there on only: from the last characters before the token if
+    one of them cannot be part of an amount, else from the start."""
+    tokens = ", ".join(map(sql_text, _TOKENS))
+    before = F.expr(f"aggregate(array({tokens}), `{text}`, (t, c) -> IF(contains(t, c), substring_index(t, c, 1), t))")
+    cut = df.withColumn("_sal_before", before).withColumns({
+        "_sal_rest": F.substring(F.col(text), F.length("_sal_before") + 1, F.length(text)),
+        "_sal_near": F.right("_sal_before", F.lit(_AMOUNT_CHARS)),
+    })
+    near = F.when(F.col("_sal_near").rlike(_NO_AMOUNT), F.col("_sal_near")).otherwise(F.col("_sal_before"))
+    none = F.col("_sal_rest") == ""
+    return cut.withColumns({
+        "_sal_pre": F.when(none, F.lit("")).otherwise(first_match(F.col("_sal_rest"), _PREFIX_SEARCH)),
+        "_sal_suf": F.when(none, F.lit("")).otherwise(first_match(F.concat(near, F.col("_sal_rest")), _SUFFIX_SEARCH)),
+    })
 
 
 def salary_fields(pre_match: Column, suf_match: Column) -> dict[str, Column]:

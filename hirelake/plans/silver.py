@@ -34,14 +34,12 @@ SILVER_COLUMNS = (
 def extract_fields(bronze: DataFrame) -> DataFrame:
     """Typed fields cut from the VARIANT payload, per source path."""
     raw, src = F.col("raw_data"), F.col("source")
-    return bronze.select(
+    fields = bronze.select(
         "job_id", "source", "keyword", "extracted_at",
         json_text(raw, "$.title").alias("job_title"),
         per_source(src, {"adzuna": json_text(raw, "$.company.display_name"),
                          "jooble": json_text(raw, "$.company")},
                    json_text(raw, "$.company_name")).alias("company_name"),
-        per_source(src, {"jooble": json_text(raw, "$.snippet")},
-                   json_text(raw, "$.description")).alias("_desc_raw"),
         json_text(raw, "$.description").alias("_description"),
         json_text(raw, "$.snippet").alias("_snippet"),
         json_text(raw, "$.salary").alias("_salary"),
@@ -62,6 +60,8 @@ def extract_fields(bronze: DataFrame) -> DataFrame:
         json_decimal(raw, "$.salary_min").alias("_salary_min"),
         json_decimal(raw, "$.salary_max").alias("_salary_max"),
     )
+    # the texts, cut from the payload once
+    return fields.withColumn("_desc_raw", per_source(src, {"jooble": F.col("_snippet")}, F.col("_description")))
 
 
 def enrich(fields: DataFrame) -> DataFrame:

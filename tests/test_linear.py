@@ -72,3 +72,19 @@ def test_checkpoint_folder_needed_on_a_cluster(spark, monkeypatch):
             master, applicationId = "spark://host:7077", "x"
     with pytest.raises(RuntimeError):
         session.checkpoint_root(Cluster)
+
+
+def test_salary_search_from_first_currency(spark):
+    """Searching from the first currency token on gives the first matches in the whole text; of what
+    stands before only the last characters are looked at, unless all of them may belong to an amount."""
+    draw = random.Random(4)
+    bits = ["1", "23", ".", ",", " ", "-", "k", "eur", "\u20ac", "brutto", "x", "\u2013", "$", "usd", "\u00a3", "e", "u", "\U0001f600", "\u00fc",
+            "x" * 250, "1" * 250, " " * 250, "7" + " " * 250]
+    texts = ["".join(draw.choice(bits) for _ in range(draw.randint(0, 12))) for _ in range(3000)] + [""]
+    rows = spark.createDataFrame([(t,) for t in texts], "salary_text string")
+    pre, suf = re.compile(S.SALARY_PREFIX), re.compile(S.SALARY_SUFFIX)
+    for r in S.with_salary_matches(rows).collect():
+        a, b = pre.search(r["salary_text"]), suf.search(r["salary_text"])
+        assert (r["_sal_pre"], r["_sal_suf"]) == (a[0] if a else "", b[0] if b else ""), r["salary_text"]
+    cut = S.with_salary_matches(spark.createDataFrame([("x" * 5000 + " 40 eur and more",)], "salary_text string")).first()
+    assert len(cut["_sal_near"]) == 200 and cut["_sal_rest"] == "eur and more" and cut["_sal_suf"] == "40 eur"

@@ -66,3 +66,54 @@ def test_first_characters(spark):
         plain = "(?iUs)" + pg_to_java(pattern)
         assert all(r.a == r.b for r in rows.select(F.col("t").rlike(ci_pattern(pattern)).alias("a"),
                                                    F.col("t").rlike(plain).alias("b")).collect())
+
+
+def test_settled_alternatives():
+    """Literals and whole words are told apart from what only a regex can tell."""
+    from hirelake.functions.regex import held_forms, rare_tail, settled
+    assert settled(r"(usa|new york|\btx\b|\yat\y)") == (["usa", "new york"], ["at"], r"\btx\b")
+    assert settled(r"\y(remote|wfh)\y|100%") == (["100%"], [], r"\y(remote|wfh)\y")
+    assert settled("(?i)a|b") == ([], [], "(?i)a|b") and settled("a.b|c+") == ([], [], "a.b|c+")
+    assert held_forms(r"\y(full[- ]time|home[- ]?office|100%)\y") == [
+        "full-time", "full time", "home-office", "home office", "homeoffice", "100%"]
+    assert held_forms("(a|[bc])") is None
+    assert [rare_tail(x) for x in ("hourly", "per month", "at", "c1")] == ["urly", "per month", "at", "c1"]
+
+
+def test_rules_equal_plain_regex(spark):
+    """Every rule, by names and by columns, against its whole regex on odd texts."""
+    import random
+    draw = random.Random(3)
+    tables = [getattr(C, n) for n in dir(C) if n.endswith("_RULES") and n != "EMPLOYMENT_FIELD_RULES"]
+    patterns = list(dict.fromkeys(p for table in tables for p, _ in table))
+    bits = ["at", "AT", "de", "ch", " ", " ", "-", "/", "_", ".", "\n", "x", "1", "\x08", "\x08in\x08", "\u0130", "\u017f", "\u212a", "\u00f6",
+            "\u00d6sterreich", "M\u00dcNCHEN", "usa", "Basel", "u\u017fa", "\u0130ndia", "new york", "full/ part-time: full time", "Full-Time", "part time",
+            "homeoffice", "home office", "on-site", "on site", "100%", "c1", "german", "required", "per month", "/hr", "hourly", "sr.", "Lead",
+            "mid-level", "intern", "internship", "nice to have", "working language", "english", "pr\u00e4senz", "Fran\u212afurt", "wor\u212a from home"]
+    texts = ["".join(draw.choice(bits) for _ in range(draw.randint(0, 7))) for _ in range(1500)] + ["", None]
+    from hirelake.functions.regex import fold_hazard
+    rows = spark.createDataFrame([(t,) for t in texts], "t string").select("t", F.lower("t").alias("low"), fold_hazard(F.col("t")).alias("hz"))
+    for part in (patterns[::2], patterns[1::2]):
+        out = rows.select("t", *[c.alias(f"{k}{i}") for i, p in enumerate(part) for k, c in
+                                 (("a", F.col("t").rlike(ci_pattern(p))), ("b", regex_any_ci("t", p, "low", "hz")), ("c", regex_any_ci(F.col("t"), p)))])
+        for r in out.collect():
+            for i, p in enumerate(part):
+                assert r[f"a{i}"] == r[f"b{i}"] == r[f"c{i}"], (p, r["t"])
+
+
+def test_first_group_equals_plain(spark):
+    from hirelake.functions.regex import cs_pattern, first_group
+    texts = ["in wien, graz", "wiener", "x m\u00fcnchen", "linz_", "frankfurt am main", "Wien", "", None, "\u00f6wien linz"]
+    rows = spark.createDataFrame([(t,) for t in texts], "t string")
+    for p in (C.JOOBLE_CITY_PATTERN, "([A-Z]ien)"):
+        out = rows.select(first_group(F.col("t"), p).alias("a"), F.nullif(F.regexp_extract("t", cs_pattern(p), 1), F.lit("")).alias("b"))
+        assert all(r.a == r.b for r in out.collect())
+
+
+def test_words(spark):
+    """The quick class of word characters is the same class."""
+    from hirelake.functions.word_index import words_of
+    texts = ["c++ node.js \u00fcber_2 \u00e9te\u0301 \u0660\u0661 k\u200dx \u2167 a\u00b2 \u4e2d\u6587 -- _", "", None]
+    rows = spark.createDataFrame([(t,) for t in texts], "t string")
+    plain = F.regexp_extract_all("t", F.lit(r"(?U)[\w]+"), F.lit(0))
+    assert all(r.a == r.b for r in rows.select(words_of(F.col("t")).alias("a"), plain.alias("b")).collect())
