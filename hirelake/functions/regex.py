@@ -12,9 +12,10 @@ generated code. The differences that change results:
 * ``\\s`` is the locale's space class; ``$`` is the end of the string only.
 
 ``regex_any_ci`` searches the lower-cased text first. An alternative that is a plain literal
-is settled by that search, one that is a whole word by a case-sensitive match; every other
-alternative contains a literal that any match must contain, so that its regex runs only where
-the text holds one. Characters whose case folding differs between ``lower()`` and the regex
+is settled by that search; every other alternative contains a literal that any match must
+contain, so that its regex runs only where the text holds one. Where the alternative allows it,
+this is a case-sensitive regex on the lower-cased text that begins with a literal, which Java
+searches for by skips; else the case-insensitive one. Characters whose case folding differs between ``lower()`` and the regex
 engine (dotted/dotless i, long s) send a row to the whole regex, so the result is always the
 regex's own answer.
 """
@@ -39,6 +40,7 @@ FOLD_HAZARDS = ("İ", "ı", "ſ")
 _COMMON = " enisratodlhucmgpfbwyvk"  # the frequent characters of English and German texts, by frequency
 _META = set("\\^$.|?*+()[]{}")
 _ONE_WORD = re.compile(r"\\y([A-Za-z0-9_]+)\\y")
+_LITERAL_FIRST = re.compile(r"([^\\^$.|?*+()\[\]{}]+)((?:\[- \]\??|\\s\*|\.\{\d+,\d+\}|[^\\^$.|?*+()\[\]{}])*)")
 _TWO_PARTS = re.compile(r"([^\\^$.|?*+()\[\]{}]+)\[- \](\?)?([^\\^$.|?*+()\[\]{}]+)")
 
 
@@ -315,6 +317,27 @@ def held_forms(pattern: str) -> list[str] | None:
     return list(dict.fromkeys(x.lower() for x in out))
 
 
+def lowered_alternatives(pattern: str) -> list[tuple[list[str], str]] | None:
+    """For each alternative the literals one of which a lower-cased text must hold, and a
+    case-sensitive Java pattern that matches the lower-cased text where the alternative matches the
+    text (but for rows of :func:`fold_hazard`). It begins with the alternative's first literal, the
+    boundary before it tested behind it. None unless every alternative begins with a literal and
+    goes on with literals, ``[- ]``, ``\\s*`` and ``.{m,n}`` only, none of which a change of case touches."""
+    found: list[tuple[list[str], str]] = []
+    for part in _split_top(pattern):
+        lead, tail = part.startswith(r"\y"), part.endswith(r"\y") and not part.endswith(r"\\y")
+        inner = part[2 * lead:len(part) - 2 * tail]
+        if inner.startswith("(") and not inner.startswith("(?") and _group_end(inner, 0) == len(inner):
+            inner = inner[1:-1]
+        for alt in _split_top(inner):
+            m = _LITERAL_FIRST.fullmatch(alt)
+            if not m or alt != alt.lower() or any(h in alt for h in FOLD_HAZARDS):
+                return None
+            behind = rf"(?<=\b{m[1]})" if lead else ""
+            found.append((held_forms(alt), f"(?Us){m[1]}{behind}{pg_to_java(m[2])}" + r"\b" * tail))
+    return found
+
+
 def holds(lowered: Column, literal: str) -> Column:
     """``contains``, by a tail of the literal that is quicker to search for."""
     tail = rare_tail(literal)
@@ -342,11 +365,14 @@ def regex_any_ci_sql(col: str, pattern: str, lowered: str, hazard: str) -> str:
     tests = [held(x) for x in literals]
     tests += [f"({has(w)} AND {like(lowered, _word_pattern(w))})" for w in words]
     if rest is not None:
-        forms = held_forms(rest)
+        alternatives, forms = lowered_alternatives(rest), held_forms(rest)
         if forms is None and not tests:
             return whole
-        match = like(col, ci_pattern(rest))
-        tests.append(match if forms is None else f"(({' OR '.join(map(held, forms))}) AND {match})")
+        if alternatives is not None:
+            tests += [f"(({' OR '.join(map(held, xs))}) AND {like(lowered, java)})" for xs, java in alternatives]
+        else:
+            match = like(col, ci_pattern(rest))
+            tests.append(match if forms is None else f"(({' OR '.join(map(held, forms))}) AND {match})")
     return f"CASE WHEN `{hazard}` THEN {whole} ELSE {' OR '.join(tests)} END"
 
 
@@ -366,11 +392,14 @@ def regex_any_ci(col: Column | str, pattern: str, lowered: Column | str | None =
     tests = [holds(lowered, x) for x in literals]
     tests += [lowered.contains(w) & lowered.rlike(_word_pattern(w)) for w in words]
     if rest is not None:
-        forms = held_forms(rest)
+        alternatives, forms = lowered_alternatives(rest), held_forms(rest)
         if forms is None and not tests:
             return whole
-        match = col.rlike(ci_pattern(rest))
-        tests.append(match if forms is None else reduce(lambda a, b: a | b, [holds(lowered, x) for x in forms]) & match)
+        if alternatives is not None:
+            tests += [reduce(lambda a, b: a | b, [holds(lowered, x) for x in xs]) & lowered.rlike(java) for xs, java in alternatives]
+        else:
+            match = col.rlike(ci_pattern(rest))
+            tests.append(match if forms is None else reduce(lambda a, b: a | b, [holds(lowered, x) for x in forms]) & match)
     return F.when(hazard, whole).otherwise(reduce(lambda a, b: a | b, tests))
 
 

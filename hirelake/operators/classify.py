@@ -189,7 +189,8 @@ def normalized_currency(raw_currency: Column) -> Column:
 
 
 def description_quality_tier(description: Column, country: Column, desc_lc: Column | None = None) -> Column:
-    n = F.length(description)
+    # characters are counted up to the larger limit only
+    n = F.length(F.left(description, F.lit(max(TIER_SHORT_CHARS, TIER_PARTIAL_CHARS))))
     desc_lc = desc_lc if desc_lc is not None else F.lower(description)
     geo = None
     for w in TIER_GEO_WORDS:

@@ -60,9 +60,12 @@ def with_salary_matches(df: DataFrame, text: str = "salary_text") -> DataFrame:
     one of them cannot be part of an amount, else from the start."""
     tokens = ", ".join(map(sql_text, _TOKENS))
     before = F.expr(f"aggregate(array({tokens}), `{text}`, (t, c) -> IF(contains(t, c), substring_index(t, c, 1), t))")
+    none = F.octet_length("_sal_before") == F.octet_length(text)  # most texts hold no token
+    # what stands before is a prefix: cut off by bytes, as characters would have to be counted
+    rest = F.expr(f"cast(substring(cast(`{text}` AS binary), octet_length(_sal_before) + 1) AS string)")
     cut = df.withColumn("_sal_before", before).withColumns({
-        "_sal_rest": F.substring(F.col(text), F.length("_sal_before") + 1, F.length(text)),
-        "_sal_near": F.right("_sal_before", F.lit(_AMOUNT_CHARS)),
+        "_sal_rest": F.when(none, F.lit("")).otherwise(rest),
+        "_sal_near": F.when(none, F.lit("")).otherwise(F.right("_sal_before", F.lit(_AMOUNT_CHARS))),
     })
     near = F.when(F.col("_sal_near").rlike(_NO_AMOUNT), F.col("_sal_near")).otherwise(F.col("_sal_before"))
     none = F.col("_sal_rest") == ""

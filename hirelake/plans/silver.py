@@ -9,6 +9,8 @@ rows as classifying first, because every later column is a function of its own r
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
@@ -72,22 +74,22 @@ def enrich(fields: DataFrame) -> DataFrame:
         "salary_text": salary_text(F.col("_description"), F.col("_snippet"), F.col("_salary")),
         "_snip_lc": F.lower(F.col("_snippet")),
     })
+    # cleaning and lower() bring no such character in, so one flag of the raw texts serves all three
+    raw_hazards = [F.coalesce(fold_hazard(F.col(c)), F.lit(False)) for c in ("_description", "_snippet", "_salary")]
     stage2 = stage1.withColumns({
         "_desc_lc": F.lower(F.col("job_description")),
-        "_desc_hz": fold_hazard(F.col("job_description")),
-        "_snip_hz": fold_hazard(F.col("_snippet")),
-        "_sal_hz": fold_hazard(F.col("salary_text")),
+        "_hazard": reduce(lambda a, b: a | b, raw_hazards),
     })
     stage2 = S.with_salary_matches(stage2, "salary_text")
     # rule inputs by name: each rule test is then built as one SQL expression
-    desc, dlc, dhz = "job_description", "_desc_lc", "_desc_hz"
+    desc, dlc, dhz = "job_description", "_desc_lc", "_hazard"
     sal = S.salary_fields(F.col("_sal_pre"), F.col("_sal_suf"))
     stage3 = stage2.withColumns({
         "job_country": C.job_country(src, F.col("_area_first"), "_snippet",
-                                     F.col("_location"), "_snip_lc", "_snip_hz"),
+                                     F.col("_location"), "_snip_lc", dhz),
         "job_city": C.job_city(src, F.col("_area_first"), F.col("_area_last"),
                                F.col("_snippet"), F.col("_location"), F.col("_snip_lc")),
-        "salary_period": C.salary_period("salary_text", "_sal_hz"),
+        "salary_period": C.salary_period("salary_text", dhz),
         "employment_type": C.employment_type(src, F.col("_contract_time"), F.col("_jtype"),
                                              desc, dlc, dhz),
         "is_remote": C.is_remote(src, F.col("_remote"), desc, dlc, dhz),

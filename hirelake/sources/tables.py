@@ -20,3 +20,11 @@ def spread_scan(scan: DataFrame, per_core: int = 2) -> DataFrame:
     every table of a size that matters among them, stay as they are: no shuffle."""
     cores = scan.sparkSession.sparkContext.defaultParallelism
     return scan if len(scan.inputFiles()) >= cores else scan.repartition(per_core * cores)
+
+
+def deal_evenly(scan: DataFrame, per_core: int = 4) -> DataFrame:
+    """A scan of fewer tasks than ``per_core`` for each core, dealt into so many of equal size: a
+    few tasks more than cores make a second round in which most cores wait, and so do the files
+    written from them. A scan of more tasks, as any large table is, stays as it is: no shuffle."""
+    tasks = per_core * scan.sparkSession.sparkContext.defaultParallelism
+    return scan if scan.rdd.getNumPartitions() >= tasks else scan.repartition(tasks)

@@ -172,3 +172,21 @@ def test_skills_by_words_alone(spark):
     plain = {(r.job_id, f"p{i}") for i, p in enumerate(patterns)
              for r in jobs.where(F.col("searchable_text").rlike(ci_pattern(p))).collect()}
     assert got == plain and len(got) > 8
+
+
+def test_silver_tasks_are_even(spark, tmpdir_path, monkeypatch):
+    """A table of a few more files than cores is dealt evenly before bronze is written."""
+    import glob
+
+    from hirelake.sources.tables import deal_evenly
+    cores = spark.sparkContext.defaultParallelism
+    rows = spark.range(400).selectExpr("id AS doc_id", "concat('text ', id) AS text", "'web' AS source")
+    rows.repartition(cores + 2).write.parquet(f"{tmpdir_path}/documents.parquet")
+    monkeypatch.setattr(catalog, "scratch_path", lambda spark, name: f"{tmpdir_path}/{name}")
+    silver = catalog.silver(spark, tmpdir_path)
+    files = glob.glob(f"{tmpdir_path}/bronze/part-*")
+    assert len(files) == 4 * cores and silver.count() > 380
+    counts = [r[0] for r in spark.read.parquet(f"{tmpdir_path}/bronze").groupBy("_metadata.file_path").count().select("count").collect()]
+    assert sum(counts) == 400 and max(counts) <= 2 * 400 / (4 * cores)
+    many = spark.range(0, 400, 1, 4 * cores)
+    assert deal_evenly(many) is many

@@ -108,3 +108,31 @@ def test_first_group_equals_plain(spark):
     for p in (C.JOOBLE_CITY_PATTERN, "([A-Z]ien)"):
         out = rows.select(first_group(F.col("t"), p).alias("a"), F.nullif(F.regexp_extract("t", cs_pattern(p), 1), F.lit("")).alias("b"))
         assert all(r.a == r.b for r in out.collect())
+
+
+def test_alternatives_on_lowered_text(spark):
+    """Alternatives of literals run as patterns that begin with a literal; others keep the whole regex."""
+    from hirelake.functions.regex import fold_hazard, lowered_alternatives
+    assert lowered_alternatives(r"\y(wfh|home[- ]?office)\y|no.{0,3}x") == [
+        (["wfh"], r"(?Us)wfh(?<=\bwfh)\b"),
+        (["home-office", "home office", "homeoffice"], r"(?Us)home(?<=\bhome)[- ]?office\b"),
+        (["no"], "(?Us)no.{0,3}x")]
+    for other in (r"\y(sr\.?|lead)\y", r"a?b", r"\wb", "[a-c]d", "Ab", "ıb", r"(?i)ab", "ab+", r"\bin\b", "(ab", "a(b|c)"):
+        try:
+            assert lowered_alternatives(other) is None, other
+        except ValueError:
+            assert other == "(ab"
+    texts = ["WFH", "xwfh wfh", "wfhx", "äwfh", "wfh́", "HOME OFFICE", "home--office home-office", "homeofficex", "NO12X", "no\nÄßx",
+             "no1234x", "homehome office", "İ wfh", "wfK", "", None]
+    rows = spark.createDataFrame([(t,) for t in texts], "t string").select("t", F.lower("t").alias("low"), fold_hazard(F.col("t")).alias("hz"))
+    for p in (r"\y(wfh|home[- ]?office)\y|no.{0,3}x", r"\y(100%|c\yx|on[- ]?site)\y", r"\ywf\y|\y(no.{0,3}x)"):
+        for r in rows.select("t", F.col("t").rlike(ci_pattern(p)).alias("a"), regex_any_ci("t", p, "low", "hz").alias("b"),
+                             regex_any_ci(F.col("t"), p).alias("c")).collect():
+            assert r.a == r.b == r.c, (p, r.t)
+
+
+def test_tier_limits(spark):
+    sizes = [0, 149, 150, 499, 500, 5000]
+    rows = spark.createDataFrame([(n, ch * n) for n in sizes for ch in ("x", "ä", "\U0001f600")], "n int, t string")
+    for r in rows.select("n", C.description_quality_tier(F.col("t"), F.lit("AT")).alias("tier")).collect():
+        assert r.tier == (C.TIER_SHORT if r.n < 150 else C.TIER_PARTIAL if r.n < 500 else C.TIER_VALID)
