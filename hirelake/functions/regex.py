@@ -344,6 +344,37 @@ def holds(lowered: Column, literal: str) -> Column:
     return lowered.contains(literal) if tail == literal else lowered.contains(tail) & lowered.contains(literal)
 
 
+def shared_part(literals: list[str]) -> str:
+    """The longest part (of four characters at least, else '') that all literals hold; of equally long
+    ones the one with the rarest character."""
+    first = min(literals, key=len)
+    parts = {first[i:j] for i in range(len(first)) for j in range(i + 4, len(first) + 1)}
+    held = [p for p in parts if all(p in x for x in literals)]
+    return max(held, key=lambda p: (len(p), max(_COMMON.find(c) % (len(_COMMON) + 1) for c in p), p)) if held else ""
+
+
+def sharing(literals: list[str]) -> list[tuple[str, list[str]]]:
+    """The literals in groups that share a part (``shared_part``; '' for a literal alone): a text without it holds none
+    of them, so it is searched once for a group."""
+    groups: list[list[str]] = []
+    for literal in dict.fromkeys(literals):
+        group = next((g for g in groups if shared_part([*g, literal])), None)
+        if group is None:
+            groups.append([literal])
+        else:
+            group.append(literal)
+    return [(shared_part(g) if len(g) > 1 else "", g) for g in groups]
+
+
+def holds_any(lowered: Column, literals: list[str]) -> Column:
+    """Whether the text holds one of the literals."""
+    tests = []
+    for part, group in sharing(literals):
+        found = reduce(lambda a, b: a | b, [holds(lowered, x) for x in group])
+        tests.append(lowered.contains(rare_tail(part)) & found if part else found)
+    return reduce(lambda a, b: a | b, tests)
+
+
 def _word_pattern(word: str) -> str:
     """``\\bword\\b`` with the literal in front, where the search for a place begins."""
     return rf"(?U){word}\b(?<=\b{word})"
@@ -358,21 +389,25 @@ def regex_any_ci_sql(col: str, pattern: str, lowered: str, hazard: str) -> str:
     def held(x: str) -> str:  # as :func:`holds`
         return has(x) if rare_tail(x) == x else f"({has(rare_tail(x))} AND {has(x)})"
 
+    def held_any(xs: list[str]) -> str:  # as :func:`holds_any`
+        tests = [(part, " OR ".join(map(held, group))) for part, group in sharing(xs)]
+        return " OR ".join(f"({has(rare_tail(part))} AND ({found}))" if part else found for part, found in tests)
+
     def like(name: str, java: str) -> str:
         return f"rlike(`{name}`, {sql_text(java)})"
     whole = like(col, ci_pattern(pattern))
     literals, words, rest = settled(pattern)
-    tests = [held(x) for x in literals]
+    tests = [held_any(literals)] if literals else []
     tests += [f"({has(w)} AND {like(lowered, _word_pattern(w))})" for w in words]
     if rest is not None:
         alternatives, forms = lowered_alternatives(rest), held_forms(rest)
         if forms is None and not tests:
             return whole
         if alternatives is not None:
-            tests += [f"(({' OR '.join(map(held, xs))}) AND {like(lowered, java)})" for xs, java in alternatives]
+            tests += [f"(({held_any(xs)}) AND {like(lowered, java)})" for xs, java in alternatives]
         else:
             match = like(col, ci_pattern(rest))
-            tests.append(match if forms is None else f"(({' OR '.join(map(held, forms))}) AND {match})")
+            tests.append(match if forms is None else f"(({held_any(forms)}) AND {match})")
     return f"CASE WHEN `{hazard}` THEN {whole} ELSE {' OR '.join(tests)} END"
 
 
@@ -389,17 +424,17 @@ def regex_any_ci(col: Column | str, pattern: str, lowered: Column | str | None =
     hazard = hazard if hazard is not None else fold_hazard(col)
     whole = col.rlike(ci_pattern(pattern))
     literals, words, rest = settled(pattern)
-    tests = [holds(lowered, x) for x in literals]
+    tests = [holds_any(lowered, literals)] if literals else []
     tests += [lowered.contains(w) & lowered.rlike(_word_pattern(w)) for w in words]
     if rest is not None:
         alternatives, forms = lowered_alternatives(rest), held_forms(rest)
         if forms is None and not tests:
             return whole
         if alternatives is not None:
-            tests += [reduce(lambda a, b: a | b, [holds(lowered, x) for x in xs]) & lowered.rlike(java) for xs, java in alternatives]
+            tests += [holds_any(lowered, xs) & lowered.rlike(java) for xs, java in alternatives]
         else:
             match = col.rlike(ci_pattern(rest))
-            tests.append(match if forms is None else reduce(lambda a, b: a | b, [holds(lowered, x) for x in forms]) & match)
+            tests.append(match if forms is None else holds_any(lowered, forms) & match)
     return F.when(hazard, whole).otherwise(reduce(lambda a, b: a | b, tests))
 
 
@@ -415,7 +450,7 @@ def first_group(col: Column, pattern: str, idx: int = 1) -> Column:
     first, forms = (first_chars(pattern), held_forms(pattern)) if lower else (None, None)
     java = f"(?Us)(?=[{first}])(?:{pg_to_java(pattern)})" if first else cs_pattern(pattern)
     found = F.nullif(F.regexp_extract(col, java, idx), F.lit(""))
-    return F.when(reduce(lambda a, b: a | b, [holds(col, x) for x in forms]), found) if forms else found
+    return F.when(holds_any(col, forms), found) if forms else found
 
 
 def first_match(col: Column, pattern: str) -> Column:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -14,8 +15,10 @@ _HTML_TAG = "<[^>]+>"
 _TO_SPACE = ("\r", "\n", "\t", "&nbsp;")
 _MULTI_SPACE = "[" + PG_SPACE_CHARS + "]{2,}"
 
-# Texts with one of these may hold other spaces than the plain one (once line breaks are gone).
+# Texts with one of these may hold other spaces than the plain one (once line breaks are gone), and
+# no text without one of the marks, the last a byte, does: bytes are searched faster than classes.
 _MAYBE_OTHER_SPACE = r"[\x0B\f\x{1680}-\x{3000}]"
+_OTHER_SPACE_MARKS = ("\x0B", "\f", "\u1680", "\u3000", b"\xe2")
 
 
 def _bound(text: Column, step: Callable[[Column], Column]) -> Column:
@@ -42,8 +45,8 @@ def flatten_whitespace(text: Column) -> Column:
 
     def collapsed(t: Column) -> Column:
         # the class of all spaces is slow to test at every character: most texts need only the plain one
-        # texts of ASCII hold no others but two
-        other = F.when(F.octet_length(t) == F.length(t), t.contains("\x0B") | t.contains("\f")).otherwise(t.rlike(_MAYBE_OTHER_SPACE))
+        marked = [F.contains(t.cast("binary") if isinstance(m, bytes) else t, F.lit(m)) for m in _OTHER_SPACE_MARKS]
+        other = reduce(lambda a, b: a | b, marked) & t.rlike(_MAYBE_OTHER_SPACE)
         return F.when(other, F.regexp_replace(t, _MULTI_SPACE, " ")) \
             .when(t.contains("  "), F.regexp_replace(t, "  +", " ")).otherwise(t)
     return _bound(text, collapsed)

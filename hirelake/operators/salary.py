@@ -50,6 +50,7 @@ def _amount(number: Column, k_flag: Column) -> Column:
 _TOKENS = ("€", "$", "£", "usd", "brutto", "eur")
 _NO_AMOUNT = f"[^0-9.,k{PG_SPACE_CHARS}–-]"
 _AMOUNT_CHARS = 200
+_LAST_WORDS = 8  # of the text, where the salary field stands
 
 
 def with_salary_matches(df: DataFrame, text: str = "salary_text") -> DataFrame:
@@ -57,19 +58,31 @@ def with_salary_matches(df: DataFrame, text: str = "salary_text") -> DataFrame:
 
     No match begins before the first currency token but for the amount that stands right before
     it, so both patterns search from there on only: from the last characters before the token if
-    one of them cannot be part of an amount, else from the start."""
+    one of them cannot be part of an amount, else from the start. A text is searched for a token much
+    faster than for its place, and most have their first one in the salary field at their end: the
+    last words are looked at on their own, as no token holds a blank."""
     tokens = ", ".join(map(sql_text, _TOKENS))
-    before = F.expr(f"aggregate(array({tokens}), `{text}`, (t, c) -> IF(contains(t, c), substring_index(t, c, 1), t))")
+
+    def to_token(t: str) -> Column:
+        return F.expr(f"aggregate(array({tokens}), `{t}`, (t, c) -> IF(contains(t, c), substring_index(t, c, 1), t))")
+    df = df.withColumn("_sal_last", F.substring_index(text, " ", -_LAST_WORDS))
+    df = df.withColumn("_sal_body", F.expr(f"cast(left(cast(`{text}` AS binary), octet_length(`{text}`) - octet_length(_sal_last)) AS string)"))
+    df = df.withColumns({"_sal_in_body": to_token("_sal_body"), "_sal_in_last": to_token("_sal_last")})
+    in_body = F.octet_length("_sal_in_body") < F.octet_length("_sal_body")
+    before = F.when(in_body, F.col("_sal_in_body")).otherwise(F.concat("_sal_body", "_sal_in_last"))
     none = F.octet_length("_sal_before") == F.octet_length(text)  # most texts hold no token
     # what stands before is a prefix: cut off by bytes, as characters would have to be counted
     rest = F.expr(f"cast(substring(cast(`{text}` AS binary), octet_length(_sal_before) + 1) AS string)")
+    # as many bytes as the characters have at most, and a few more
+    last_bytes = 4 * _AMOUNT_CHARS + 4
+    near = F.expr(f"cast(substring(cast(_sal_before AS binary), -{last_bytes}, {last_bytes}) AS string)")
     cut = df.withColumn("_sal_before", before).withColumns({
         "_sal_rest": F.when(none, F.lit("")).otherwise(rest),
-        "_sal_near": F.when(none, F.lit("")).otherwise(F.right("_sal_before", F.lit(_AMOUNT_CHARS))),
+        "_sal_near": F.when(none, F.lit("")).otherwise(F.right(near, F.lit(_AMOUNT_CHARS))),
     })
     near = F.when(F.col("_sal_near").rlike(_NO_AMOUNT), F.col("_sal_near")).otherwise(F.col("_sal_before"))
     none = F.col("_sal_rest") == ""
-    return cut.withColumns({
+    return cut.drop("_sal_last", "_sal_body", "_sal_in_body", "_sal_in_last").withColumns({
         "_sal_pre": F.when(none, F.lit("")).otherwise(first_match(F.col("_sal_rest"), _PREFIX_SEARCH)),
         "_sal_suf": F.when(none, F.lit("")).otherwise(first_match(F.concat(near, F.col("_sal_rest")), _SUFFIX_SEARCH)),
     })

@@ -136,3 +136,26 @@ def test_tier_limits(spark):
     rows = spark.createDataFrame([(n, ch * n) for n in sizes for ch in ("x", "ä", "\U0001f600")], "n int, t string")
     for r in rows.select("n", C.description_quality_tier(F.col("t"), F.lit("AT")).alias("tier")).collect():
         assert r.tier == (C.TIER_SHORT if r.n < 150 else C.TIER_PARTIAL if r.n < 500 else C.TIER_VALID)
+
+
+def test_literals_that_share_a_part(spark):
+    """One search settles a text without the part that several literals share."""
+    from hirelake.functions.regex import holds_any, shared_part, sharing
+    assert sharing(["full-time", "full time", "100%"]) == [("full", ["full-time", "full time"]), ("", ["100%"])]
+    assert sharing(["on-site", "on site", "onsite"]) == [("site", ["on-site", "on site", "onsite"])]
+    assert shared_part(["at", "ate"]) == "" and shared_part(["hourly", "per hour"]) == "hour"
+    texts = ["full moon", "full time", "xfull-timex", "100%", "100 %", "", None]
+    rows = spark.createDataFrame([(t,) for t in texts], "t string")
+    found = [r.m for r in rows.select(holds_any(F.col("t"), ["full-time", "full time", "100%"]).alias("m")).collect()]
+    assert found == [False, True, True, True, False, False, None]
+
+
+def test_other_spaces_collapse(spark):
+    """Runs with any of PostgreSQL's spaces become one blank, whatever else the text holds."""
+    from hirelake.functions.text import PG_SPACE_CHARS, flatten_whitespace
+    spaces = [chr(c) for c in (0x0B, 0x0C, 0x20, 0xA0, 0x1680, 0x2000, 0x2007, 0x200A, 0x2028, 0x2029, 0x202F, 0x205F, 0x3000)]
+    texts = [f"{a}x{s}{t}y{b}" for s in spaces for t in spaces for a, b in (("", ""), ("„ä", "€"))] + ["", None, "– –"]
+    rows = spark.createDataFrame([(t,) for t in texts], "t string")
+    out = rows.select("t", flatten_whitespace(F.col("t")).alias("a"), F.regexp_replace("t", f"[{PG_SPACE_CHARS}]{{2,}}", " ").alias("b"))
+    for r in out.collect():
+        assert r.a == r.b, repr(r.t)

@@ -59,3 +59,18 @@ def test_payload_number_wins(spark):
     r = enrich(extract_fields(df)).first()
     assert r["base_salary_min"] == D(5000)
     assert r["salary_min_yearly"] == D(70000)   # a payload amount is still x14 when text says monthly
+
+
+def test_token_in_body_or_last_words(spark):
+    """The first token of a text counts, wherever it stands; its match is the whole text's."""
+    from hirelake.functions.regex import first_match
+    from hirelake.operators import salary as S
+    amounts = ["€ 65.000", "50k usd", "neuro", "12 brutto 3", "$", "a£900", "7eur8"]
+    fill = ["", "w " * 30, "ä" * 300, "\U0001f600 " * 20, "1" * 250, "  "]
+    texts = [f"{a}{x}{b}{y}{c}" for a in fill for x in amounts for b in fill for y in ("", amounts[1], "eur") for c in ("", " a b", fill[1])]
+    rows = spark.createDataFrame([(t,) for t in [*texts, "", None]], "salary_text string")
+    out = S.with_salary_matches(rows).select("salary_text", "_sal_pre", "_sal_suf",
+                                             first_match(F.col("salary_text"), S.SALARY_PREFIX).alias("p"),
+                                             first_match(F.col("salary_text"), S.SALARY_SUFFIX).alias("s"))
+    for r in out.collect():
+        assert (r._sal_pre, r._sal_suf) == (r.p, r.s), r.salary_text
